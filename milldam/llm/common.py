@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,7 +48,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
     """Cuts a batch so that one column has about `most` bytes in each part (one row at least)."""
     if not batch.num_rows:
         return
-    sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_pylist()
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
     start = total = 0
     for i, n in enumerate(sizes):
         if i > start and total + n > most:

@@ -3,9 +3,15 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe_encode
+from .ogg import op5_ogg_columns
+from .shards import op4_sharding
+from .tokens import op2_token_counts
 
 QUERIES = {
     "op1_bpe_encode": op1_bpe_encode,
+    "op2_token_counts": op2_token_counts,
+    "op4_sharding": op4_sharding,
+    "op5_ogg_columns": op5_ogg_columns,
 }
 
 ORACLE_SQL: dict[str, str] = {}
