@@ -5,13 +5,17 @@ from __future__ import annotations
 from .bpe import op1_bpe_encode
 from .ogg import op5_ogg_columns
 from .shards import op4_sharding
+from .simhash import op9_simhash_near_dedup
 from .tokens import op2_token_counts
+from .toxicity import op10_toxicity
 
 QUERIES = {
     "op1_bpe_encode": op1_bpe_encode,
     "op2_token_counts": op2_token_counts,
     "op4_sharding": op4_sharding,
     "op5_ogg_columns": op5_ogg_columns,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
