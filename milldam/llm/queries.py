@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe_encode
+from .lattice import op7_lattice_score
 from .ogg import op5_ogg_columns
 from .shards import op4_sharding
 from .simhash import op9_simhash_near_dedup
@@ -16,6 +17,7 @@ QUERIES = {
     "op5_ogg_columns": op5_ogg_columns,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
+    "op7_lattice_score": op7_lattice_score,
 }
 
 ORACLE_SQL: dict[str, str] = {}
