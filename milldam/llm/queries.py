@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .bpe import op1_bpe_encode
+from .decontaminate import op8_decontamination
 from .lattice import op7_lattice_score
 from .ogg import op5_ogg_columns
 from .shards import op4_sharding
@@ -18,6 +19,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_toxicity": op10_toxicity,
     "op7_lattice_score": op7_lattice_score,
+    "op8_decontamination": op8_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {}
