@@ -6,6 +6,7 @@ from .bpe import op1_bpe_encode
 from .decontaminate import op8_decontamination
 from .lattice import op7_lattice_score
 from .ogg import op5_ogg_columns
+from .pii import op6_pii_pseudonyms
 from .shards import op4_sharding
 from .simhash import op9_simhash_near_dedup
 from .tokens import op2_token_counts
@@ -20,6 +21,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op7_lattice_score": op7_lattice_score,
     "op8_decontamination": op8_decontamination,
+    "op6_pii_pseudonyms": op6_pii_pseudonyms,
 }
 
 ORACLE_SQL: dict[str, str] = {}
