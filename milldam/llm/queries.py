@@ -5,6 +5,7 @@ from __future__ import annotations
 from .bpe import op1_bpe_encode
 from .decontaminate import op8_decontamination
 from .lattice import op7_lattice_score
+from .licenses import op3_license_scan
 from .ogg import op5_ogg_columns
 from .pii import op6_pii_pseudonyms
 from .shards import op4_sharding
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_lattice_score": op7_lattice_score,
     "op8_decontamination": op8_decontamination,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
+    "op3_license_scan": op3_license_scan,
 }
 
 ORACLE_SQL: dict[str, str] = {}
