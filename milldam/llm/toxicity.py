@@ -255,8 +255,8 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 0.05, rounds: int = 40
 _scorers: dict[int, Scorer] = {}
 
 
-def scored(df: DataFrame, machine: Machine, text: str = "text", raw: bool = False) -> DataFrame:
-    """Adds `score` (or `tops`, the highest decisions) of each whole text."""
+def scored(df: DataFrame, machine: Machine, text: str = "text", result: str = "score", raw: bool = False) -> DataFrame:
+    """Adds the score (or `tops`, the highest decisions) of each whole text."""
     bounded_batches(df.sparkSession)
     model = df.sparkSession.sparkContext.broadcast(machine)
     key = id(model)
@@ -269,10 +269,10 @@ def scored(df: DataFrame, machine: Machine, text: str = "text", raw: bool = Fals
         for whole in batches:
             for batch in slices(whole, text):
                 tops = scorer.tops(batch.column(text).to_pylist())
-                more = {"tops": pa.array(tops.tolist(), pa.list_(pa.float64()))} if raw else {"score": pa.array(scorer.machine.score(tops))}
+                more = {"tops": pa.array(tops.tolist(), pa.list_(pa.float64()))} if raw else {result: pa.array(scorer.machine.score(tops))}
                 yield with_columns(batch, **more)
 
-    return df.mapInArrow(run, schema_with(df, **({"tops": T.ArrayType(T.DoubleType())} if raw else {"score": T.DoubleType()})))
+    return df.mapInArrow(run, schema_with(df, **({"tops": T.ArrayType(T.DoubleType())} if raw else {result: T.DoubleType()})))
 
 
 def learned(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> Machine:
