@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import bounded_batches, crc_of_id, durable, table
 
 #: Bytes of text in a block, about, and distinct words that a task counts before it passes them on.
-BLOCK_BYTES, HELD_WORDS = 6 << 20, 400_000
+BLOCK_BYTES, HELD_WORDS = 12 << 20, 400_000
 ROUNDS = 2
 #: Words of more letters go through the recursion one by one.
 LONG = 160
@@ -256,24 +256,32 @@ def score(docs: DataFrame, path: str, taught: str = "taught") -> DataFrame:
     blocks = max(1, math.ceil(size / BLOCK_BYTES))
     dealt = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", F.xxhash64("text")), F.lit(blocks)).cast("int")).repartition(max(blocks, 1), "block")
 
-    def asked(group: pa.Table) -> pa.Table:
+    def spelling(texts: pa.Table) -> list[bytes]:
         found: set = set()
-        for text in group.column("text").to_pylist():
+        for text in texts.column("text").to_pylist():
             found.update(words(text))
-        return pa.table({"block": pa.array([group.column("block")[0].as_py()] * len(found), pa.int32()), "word": pa.array(list(found), pa.binary()).cast(pa.string())})
+        return sorted(found)
+
+    def asked(texts: pa.Table) -> pa.Table:
+        found = spelling(texts)
+        block = texts.column("block")[0].as_py()
+        return pa.table({"block": pa.array([block] * len(found), pa.int32()), "word": pa.array(found, pa.binary()).cast(pa.string()), "at": pa.array(range(len(found)), pa.int32())})
 
-    wanted = dealt.select("block", "text").groupBy("block").applyInArrow(asked, "block int, word string")
-    answers = wanted.join(figures, "word").select("block", "word", "c", "log")
+    # both uses of `dealt` read all its columns, so that its exchange is made once
+    wanted = dealt.groupBy("block").applyInArrow(asked, "block int, word string, at int")
+    answers = wanted.join(figures, "word").select("block", "at", "c", "log")
     bottom, end_log = tokens + 0.5 * (distinct + 1), pieces.end / math.log(10)
 
     def sums(texts: pa.Table, answer: pa.Table) -> pa.Table:
-        place = {w: i for i, w in enumerate(answer.column("word").cast(pa.binary()).to_pylist())}
-        c = answer.column("c").to_numpy()
-        logs = answer.column("log").to_numpy()
+        spelled = spelling(texts)
+        place = dict(zip(spelled, range(len(spelled)), strict=True))
+        c, logs = np.zeros(len(spelled), np.int64), np.zeros(len(spelled))
+        at = answer.column("at").to_numpy()
+        c[at], logs[at] = answer.column("c").to_numpy(), answer.column("log").to_numpy()
         base = np.log10((c + 0.5) / bottom)
         rows = []
         for text in texts.column("text").to_pylist():
-            at = np.array([place[w] for w in words(text)], dtype=np.int64)
+            at = np.array(list(map(place.__getitem__, words(text))), dtype=np.int64)
             rows.append((len(at) + 1, int((c[at] > 0).sum()) + (ends > 0), float(base[at].sum()) + math.log10((ends + 0.5) / bottom), float(logs[at].sum()) + end_log))
         cols = list(zip(*rows, strict=True))
         n = len(rows)

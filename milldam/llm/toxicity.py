@@ -70,14 +70,19 @@ def scale(lengths: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 1e-9))
 
 
-def features(words: list[str], columns: np.ndarray | None = None) -> np.ndarray:
-    """Rows of the kernel's feature space, for the few words that a model is fitted on; columns: only these entries."""
+def entries(words: list[str]) -> np.ndarray:
+    """The table entries that any of the words has: the only columns in which kernels with them differ from zero."""
+    codes, _ = letters(words)
+    return np.unique(np.concatenate([entry for _, entry, _ in subsequences(codes)]))
+
+
+def features(words: list[str], columns: np.ndarray) -> np.ndarray:
+    """Rows of the kernel's feature space, in these columns, for the few words that a model is fitted on."""
     codes, begins = letters(words)
     owner = np.searchsorted(begins, np.arange(len(codes)), side="right") - 1
-    place = np.arange(TABLE) if columns is None else np.full(TABLE, -1)
-    if columns is not None:
-        place[columns] = np.arange(len(columns))
-    rows = np.zeros((len(words), TABLE if columns is None else len(columns)), np.float32)
+    place = np.full(TABLE, -1, np.int32)
+    place[columns] = np.arange(len(columns))
+    rows = np.zeros((len(words), len(columns)), np.float32)
     for at, entry, weight in subsequences(codes):
         to = place[entry]
         np.add.at(rows, (owner[at][to >= 0], to[to >= 0]), np.float32(weight))
@@ -85,11 +90,8 @@ def features(words: list[str], columns: np.ndarray | None = None) -> np.ndarray:
     return rows
 
 
-def kernel(words: list[str], landmarks: np.ndarray) -> np.ndarray:
-    """Kernels of words with landmarks; entries that no landmark has add nothing."""
-    columns = np.flatnonzero(landmarks.any(axis=0))
-    narrow = np.ascontiguousarray(landmarks[:, columns].T)
-    return np.concatenate([features(words[i : i + 256], columns) @ narrow for i in range(0, len(words), 256)])
+def kernel(words: list[str], landmarks: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    return np.concatenate([features(words[i : i + 128], columns) @ landmarks.T for i in range(0, len(words), 128)])
 
 
 def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 20.0, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -229,11 +231,15 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     y = np.array([1.0] * (len(positive) + len(disguised)) + [-1.0] * len(negative))
     weight = np.concatenate([np.array([r["toxic"] for r in telling]) / len(telling), np.full(len(disguised), 0.3), np.full(len(negative), 1.0)])
     weight[: len(positive)] *= len(positive) / max(1e-9, weight[: len(positive)].sum())
-    landmarks = features(positive[: LANDMARKS // 2] + negative[:: max(1, len(negative) // (LANDMARKS // 2))][: LANDMARKS // 2])
-    value, vector = np.linalg.eigh(landmarks.astype(np.float64) @ landmarks.T.astype(np.float64))
+    picked = positive[: LANDMARKS // 2] + negative[:: max(1, len(negative) // (LANDMARKS // 2))][: LANDMARKS // 2]
+    columns = entries(picked)
+    landmarks = features(picked, columns)
+    value, vector = np.linalg.eigh((landmarks @ landmarks.T).astype(np.float64))
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
-    w, bias = train(kernel(everything, landmarks) @ root, y, weight)
-    machine = Machine((root @ w) @ landmarks, bias, np.zeros(TOP + 1))
+    w, bias = train(kernel(everything, landmarks, columns) @ root, y, weight)
+    weights = np.zeros(TABLE)
+    weights[columns] = (root @ w) @ landmarks
+    machine = Machine(weights, bias, np.zeros(TOP + 1))
     tops = scored(rows.select("text", "toxic"), machine, raw=True).select("tops", "toxic").collect()  # SAMPLE rows at most
     x = np.array([r[0] for r in tops])
     machine.logistic = logistic(x, np.array([float(r[1]) for r in tops]))
