@@ -8,12 +8,14 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from milldam.config import EngineConfig
 from milldam.dims import CANONICAL
 from milldam.operators.fuzzy import best_match
 
 RULE = "source_system string, province_type string, field_mapping map<string,string>, llm_model string, llm_prompt_version string, confidence_score double, sample_schema_signature string, is_active boolean, generated_at timestamp, updated_at timestamp"
+TEXTS = T.MapType(T.StringType(), T.StringType())
 MODEL_ERRORS = ("llm_timeout", "llm_rate_limited", "llm_http_error", "llm_invalid_json", "llm_missing_api_key", "llm_unexpected_error")
 
 
@@ -132,7 +134,7 @@ def stub_client(records: list[str]) -> list[dict]:
 def call_model(df: DataFrame, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(), record: str = "raw_fragment", pause: Callable[[float], None] | None = None) -> DataFrame:
     """Adds fields and truthy from the client's answers, and model_error. Records go to it in small batches; with a pause,
     all in one task, since a rate limit holds for one caller."""
-    schema = df.drop("fields", "truthy").schema.add("fields", "map<string,string>").add("truthy", "map<string,string>").add("model_error", "string")
+    schema = df.drop("fields", "truthy").schema.add("fields", TEXTS).add("truthy", TEXTS).add("model_error", "string")
     names = [c for c in df.columns if c not in ("fields", "truthy")]
 
     def run(batches: Iterator) -> Iterator:

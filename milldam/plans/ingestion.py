@@ -94,7 +94,7 @@ def message_check(spark, sf_dir):
 NAMES = ("telefon", "telefono_movil", "nombre_estacion", "Código Postal", "lat", "longitude_deg", "ciudad", "provincia", "e-mail", "identificador", "direccio", "cityish")
 _CANON = "(VALUES " + ", ".join(f"('{n}', '{field_name(n)}')" for n in NAMES) + ") n(name, plain), (VALUES " + ", ".join(f"('{t}')" for t in CANONICAL) + ") t(target)"
 _ALIAS = "(VALUES " + ", ".join(f"('{t}', '{a}')" for t, names in ALIASES.items() for a in names) + ")"
-_SCORES = f"scores AS (SELECT name, target, CASE WHEN plain = target OR EXISTS (SELECT 1 FROM {_ALIAS} a(at, an) WHERE at = target AND an = plain) THEN 1.0 ELSE jaro_winkler_similarity(plain, target) END AS score FROM {_CANON})"
+_SCORES = f"scores AS (SELECT name, target, CASE WHEN plain = target OR EXISTS (SELECT 1 FROM {_ALIAS} a(of_target, alias_name) WHERE of_target = target AND alias_name = plain) THEN 1.0 ELSE jaro_winkler_similarity(plain, target) END AS score FROM {_CANON})"
 _ORDER = "(VALUES " + ", ".join(f"('{n}', {i})" for i, n in enumerate(NAMES)) + ") o(oname, place)"
 _RANKED = f"ranked AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY target ORDER BY score DESC, place) AS rn FROM scores JOIN {_ORDER} ON name = oname)"
 

@@ -89,7 +89,7 @@ _STAMPS = {
     )
 )
 def timing_breakdown(spark, sf_dir):
-    rows = log(spark, sf_dir)
+    rows = log(spark, sf_dir).withColumn("processed_at", F.col("processed_at").cast("timestamp"))
 
     def stamp(seconds: int, missing: str):
         at = F.timestamp_micros(F.unix_micros("processed_at") + seconds * (1_000_000 + F.col("message_id") % 7 * 10_000))

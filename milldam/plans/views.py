@@ -28,7 +28,7 @@ def _places() -> list[tuple]:
 
 
 PLACES = _places()
-PLACE_SQL = "(VALUES " + ", ".join(f"({i}, '{n}', '{p}', {a}, {w}, {o}, {v})" for i, n, p, a, w, o, v in PLACES) + ") AS t(place, place_name, prefix, lat, lat_width, lon, lon_width)"
+PLACE_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"({i}, '{n}', '{p}', {a}, {w}, {o}, {v})" for i, n, p, a, w, o, v in PLACES) + ") AS t(place, place_name, prefix, lat, lat_width, lon, lon_width))"
 
 _whole = lambda x, n: f"CAST(({x} - ({x}) % {n}) / {n} AS BIGINT)"
 _degrees = lambda x: f"CASE WHEN {x} < 0 THEN '-' ELSE '' END || CAST({_whole(f'ABS({x})', 10000)} AS VARCHAR(20)) || (CASE WHEN k % 3 = 0 THEN ',' ELSE '.' END) || LPAD(CAST(ABS({x}) % 10000 AS VARCHAR(20)), 4, '0')"
