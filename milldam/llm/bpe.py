@@ -31,6 +31,8 @@ CACHE_WORDS = 600_000
 #: Failing words of more symbols are merged one by one with a heap, shorter ones in lockstep.
 LOCKSTEP = 48
 END = 256
+# Marks whose place among other marks differs between versions of Unicode.
+REORDERED = frozenset("\u1df6\U0001e4ec\U0001e4ed")
 NEVER = np.int64(1 << 40)
 
 
@@ -298,6 +300,7 @@ class Encoder:
         self.marks = list(vocabulary.special)
         self.space = regex.compile(r"\s+")
         self.spelled = [t.encode() for t in vocabulary.written]
+        self.rare = None
 
     def chunks(self, text: str) -> list[str]:
         """What stands between white space. str.split also cuts at four control characters, which are none."""
@@ -305,6 +308,14 @@ class Encoder:
             return [x for x in self.space.split(text) if x]
         return text.split()
 
+    def unassigned(self, chunk: str) -> list[str]:
+        """Pieces of a chunk with letters that Python's Unicode tables may lack: their case, kind and order are the library's."""
+        if self.rare is None:
+            from tokenizers import Regex, normalizers, pre_tokenizers
+
+            self.rare = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()]), pre_tokenizers.Split(Regex(self.v.pattern), "removed", invert=True)
+        return [p for p, _ in self.rare[1].pre_tokenize_str(self.rare[0].normalize_str(chunk))]
+
     def learn(self, chunks: list[str]) -> None:
         words: dict[str, int] = {}
         place = words.setdefault
@@ -312,6 +323,10 @@ class Encoder:
         for chunk in chunks:
             if chunk.isascii():
                 plain = chunk.lower()
+            elif not (chunk.isprintable() and REORDERED.isdisjoint(chunk)):
+                several.append(chunk)
+                several_at.append([place(p, len(words)) for p in self.unassigned(chunk)])
+                continue
             else:
                 plain = unicodedata.normalize("NFC", chunk)
                 plain = "".join([c.lower() for c in plain]) if "Σ" in plain else plain.lower()
