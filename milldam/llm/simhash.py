@@ -1,4 +1,4 @@
-"""SimHash near-duplicates: deletion-variant signatures over two segments.
+"""Near-duplicates: by SimHash over deletion variants of two segments, and by verified Jaccard similarity.
 
 Two fingerprints at 2 or fewer differing bits, cut into two segments of 32 bits, agree in one segment up
 to one bit. So each distinct fingerprint is indexed under all one-wildcard variants of both segments (64
@@ -16,11 +16,12 @@ other; copies share a fingerprint; an empty table gives an empty table.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,21 +32,30 @@ from .components import components
 BUCKET = 24
 #: Hashes that are counted bit by bit at once.
 AT_ONCE = 1 << 15
+#: Keys of a set of shingles, minima in a key, and sets of a key that the others are compared with in a round.
+BANDS, ROWS, HEADS = 32, 4, 8
+_factors = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def fingerprint(text: bytes, width: int) -> int:
-    """Bits set in over half of the hashes of the text's shingles; bytes.lower and bytes.split know ASCII only, as is meant."""
+def shingles(text: bytes, width: int) -> list[int]:
+    """Hashes of the runs of width words; bytes.lower and bytes.split know ASCII only, as is meant."""
     words = text.lower().split()
     if not words:
-        return 0
+        return []
     joined = b" ".join(words)
     if len(words) < width:
-        hashes = [xxhash.xxh64_intdigest(joined, 42)]
-    else:
-        ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-        begins = np.concatenate(([0], ends[:-1] + 1))
-        digest = xxhash.xxh64_intdigest
-        hashes = [digest(joined[i:j], 42) for i, j in zip(begins[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)]
+        return [xxhash.xxh64_intdigest(joined, 42)]
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
+    begins = np.concatenate(([0], ends[:-1] + 1))
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[i:j], 42) for i, j in zip(begins[: len(words) - width + 1].tolist(), ends[width - 1 :].tolist(), strict=True)]
+
+
+def fingerprint(text: bytes, width: int) -> int:
+    """Bits set in over half of the hashes of the text's shingles."""
+    hashes = shingles(text, width)
+    if not hashes:
+        return 0
     counts = np.zeros(64, np.int64)
     for i in range(0, len(hashes), AT_ONCE):
         part = np.array(hashes[i : i + AT_ONCE], dtype=">u8")
@@ -90,7 +100,7 @@ def links(values: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return pairs.union(stars)
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def fingerprint_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest id that can be reached over links."""
     marked = durable(fingerprints(df.select(doc_id, text), text).select(F.col(doc_id).alias("doc_id"), "fp"))
     values = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
@@ -100,6 +110,72 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -
     return marked.join(named, "fp")
 
 
+def band_keys(values: np.ndarray) -> list[int]:
+    """Keys of a set of distinct hashes: for each band, a digest of its minima."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max, np.uint64)
+    for i in range(0, len(values), AT_ONCE >> 3):
+        least = np.minimum(least, (values[i : i + (AT_ONCE >> 3), None] * _factors).min(axis=0))
+    raw = least.tobytes()
+    return [xxhash.xxh64_intdigest(raw[8 * ROWS * k : 8 * ROWS * (k + 1)], k) - (1 << 63) for k in range(BANDS)]
+
+
+def shingle_sets(df: DataFrame, width: int, full: bool) -> DataFrame:
+    """(doc_id, text) -> (doc_id, fp, n, x): digest and size of the set of shingles (0 if there are none); x: its hashes if full, else its keys."""
+    bounded_batches(df.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text", 1 << 20):
+                sets = [np.unique(np.array(shingles(x or b"", width), dtype=np.uint64)) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+                fps = np.array([xxhash.xxh64_intdigest(v.tobytes(), 42) if len(v) else 0 for v in sets], dtype=np.uint64).view(np.int64)
+                if full:
+                    ends = np.cumsum([0, *map(len, sets)])
+                    x = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64()))
+                else:
+                    x = pa.array([band_keys(v) if len(v) else [] for v in sets], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(list(map(len, sets)), pa.int64()), x], names=["doc_id", "fp", "n", "x"])
+
+    return df.select("doc_id", "text").mapInArrow(run, T.StructType([df.schema["doc_id"], *T._parse_datatype_string("fp long, n long, x array<long>").fields]))
+
+
+def similar(members: DataFrame, heads: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(u, v, at): sets under a common key with at least this similarity, v being the smaller by id, its id being at."""
+    u, v = (d.select("key", F.col("fp").alias(x), F.col("n").alias(f"{x}n"), F.col("at").alias(f"{x}at")) for d, x in ((members, "u"), (heads, "v")))
+    ordered = F.struct("vat", "v") < F.struct("uat", "u")
+    sized = F.least("un", "vn") >= F.lit(similarity) * F.greatest("un", "vn") - 1e-9
+    pairs = u.join(v, "key").where(ordered & sized).select("u", "v", F.col("vat").alias("at"), (F.col("un") + F.col("vn")).alias("both")).distinct()
+    held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
+    return held.withColumn("c", F.size(F.array_intersect("ux", "vx"))).where(F.col("c") / (F.col("both") - F.col("c")) >= similarity).select("u", "v", "at")
+
+
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, heads: int = HEADS) -> DataFrame:
+    """(doc_id, fp, component_id) of every row: component_id is the smallest id of the set that stays for it, its own or a similar one."""
+    docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    marked = durable(shingle_sets(docs, width, False))
+    values = marked.groupBy("fp").agg(F.min("doc_id").alias("at"), F.first("n").alias("n"), F.first("x").alias("x"))
+    keyed = values.where("at is not null").select("fp", "at", "n", F.explode("x").alias("key"))  # rows without an id stay anyhow
+    members = durable(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key"))
+    wanted = members.select(F.col("at").alias("doc_id"), "fp").distinct()
+    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
+    sets = durable(shingle_sets(texts, width, True).join(wanted, ["doc_id", "fp"], "left_semi").dropDuplicates(["fp"]))
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    gone = []
+    while not members.isEmpty():
+        place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))
+        first = durable(members.withColumn("place", place).where(F.col("place") <= heads).drop("place"))
+        edges = durable(similar(members, first, sets, similarity))
+        waiting = members.join(first.select("key", "fp"), ["key", "fp"], "left_anti").select("fp")
+        stay = members.select("fp").distinct().join(waiting.union(edges.select("u")).distinct(), "fp", "left_anti")
+        stay = durable(stay)
+        goes = durable(edges.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy("u").agg(F.min("at").alias("kept")).withColumnRenamed("u", "fp"))
+        gone.append(goes)
+        members = durable(members.join(stay.union(goes.select("fp")), "fp", "left_anti"))
+    named = least
+    if gone:
+        named = least.join(reduce(DataFrame.union, gone), "fp", "left").withColumn("least", F.coalesce("kept", "least"))
+    return marked.select("doc_id", "fp").join(named.select("fp", F.col("least").alias("component_id")), "fp").select("doc_id", "fp", "component_id")
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(table(spark, sf_dir, "documents"))
+    found = fingerprint_groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -258,3 +258,32 @@ def test_pipeline_on_nothing_and_nulls(spark, sf_dir):
         for _, stage in pipeline.STAGES:
             rows = stage(spark, rows, sf_dir)
         assert rows.count() == least
+
+
+@pytest.mark.parametrize("heads", [8, 1])
+def test_lightly_edited_copies_are_near_duplicates(spark, heads):
+    """Of two texts that stay none have 5-word similarity 0.8; each that goes has it to the one it is named after."""
+    rng = random.Random(7)
+    texts = [None, "", "one two"]
+    for _ in range(6):
+        base = [f"w{rng.randrange(4000)}" for _ in range(150)]
+        for _ in range(12):
+            copy = list(base)
+            for _ in range(rng.randrange(5)):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(4000)}"
+            texts.append(" ".join(copy))
+    sets = [set(simhash.shingles((t or "").encode(), 5)) for t in texts]
+    similar = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])
+    kept, want = [], {}
+    for i in range(len(texts)):
+        want[i] = next((k for k in kept if similar(i, k)), i)
+        if want[i] == i:
+            kept.append(i)
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(frame(spark, texts), heads=heads).collect()} == want
+    assert 10 < len(kept) < len(texts) - 20
+
+
+def test_fingerprint_group_edges(spark):
+    got = {r.doc_id: (r.fp, r.component_id) for r in simhash.fingerprint_groups(frame(spark, [None, "", " \t", "a b", "a  B", "one two three four"])).collect()}
+    assert [got[i] for i in range(3)] == [(0, 0)] * 3 and got[3][1] == got[4][1] == 3 and got[5][1] == 5
+    assert simhash.fingerprint_groups(frame(spark, ["x"]).limit(0)).count() == 0
