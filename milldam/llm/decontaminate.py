@@ -6,7 +6,8 @@ passage is a query. What is retrieved is every part whose score is at least RETR
 would give itself. Each part's commonest words, up to COMMON of its threshold, are set aside: a passage that has less
 than the rest from the part's other words cannot reach the threshold. So passages are first summed up over these
 short postings, all of a text at once; those that some part may be retrieved for go through block-max WAND. For retrieved items the overlap of question (all but the last sentence) and answer (the last
-one) with the text around the passage is verified by runs of three words.
+one) with the text around the passage is verified by runs of three words: each of the two, or the whole item, must reach
+OVERLAP. So a copy that lacks the answer, or has a word of a short answer edited, is verified by the whole item.
 
 The items are broadcast in blocks of bounded size, and all texts query each block; item statistics are taken over
 all items. Defined results: null and empty texts and items match nothing; an item of fewer than three words is
@@ -65,7 +66,7 @@ class Index:
             d = df.get(t, 1)
             idf[i] = math.log(1 + (n - d + 0.5) / (d + 0.5))
         self.ids = [i for i, _ in items]
-        self.question, self.answer, self.owner = [], [], []
+        self.question, self.answer, self.whole, self.owner = [], [], [], []
         lists: list[list[tuple[int, float]]] = [[] for _ in self.vocabulary]
         self.least: list[float] = []
         needed: list[list[tuple[int, float]]] = [[] for _ in range(len(self.vocabulary) + 1)]
@@ -76,6 +77,7 @@ class Index:
             asked, told = [i for s in spelled[:-1] for i in s], spelled[-1]
             self.question.append(grams(asked if len(asked) > 2 else whole))
             self.answer.append(grams(told if len(told) > 2 else whole))
+            self.whole.append(grams(whole))
             for k in range(0, len(whole), PART):
                 part = whole[k : k + PART]
                 if k and len(part) < PART // 2:
@@ -190,8 +192,8 @@ class Finder:
         last = max(0, -(-(len(ids) - PASSAGE) // STRIDE))
         return sorted({min(k, last) for k in out})
 
-    def find(self, text: str | None) -> list[tuple[int, float, float, float, int]]:
-        """(item's place, score, overlap of question and answer, first word of the passage), the best of each item."""
+    def find(self, text: str | None) -> list[tuple[int, float, float, float, float, int]]:
+        """(item's place, score, overlap of question, answer and whole item, first word of the passage), the best of each item."""
         x = self.index
         ids = self.ids(text) if text else np.zeros(0, np.int64)
         if not len(ids) or not x.owner:
@@ -204,9 +206,9 @@ class Finder:
                 item = x.owner[part]
                 span = len(x.question[item]) + len(x.answer[item]) + PASSAGE
                 near = set(grams(ids[max(0, i - span) : j + span].tolist()))
-                asked, told = ([sum(g in near for g in gs) / len(gs) for gs in (x.question[item], x.answer[item])])
-                if asked >= OVERLAP and told >= OVERLAP and (item not in best or score > best[item][1]):
-                    best[item] = (item, score, asked, told, i)
+                asked, told, both = ([sum(g in near for g in gs) / len(gs) for gs in (x.question[item], x.answer[item], x.whole[item])])
+                if (min(asked, told) >= OVERLAP or both >= OVERLAP) and (item not in best or score > best[item][1]):
+                    best[item] = (item, score, asked, told, both, i)
         return list(best.values())
 
 
@@ -233,7 +235,7 @@ _finders: dict[int, Finder] = {}
 
 
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
-    """(doc_id, item_id, bm25, question_overlap, answer_overlap, first_word) of every verified match."""
+    """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap, first_word) of every verified match."""
     spark = docs.sparkSession
     bounded_batches(spark)
     slim = docs.select("doc_id", F.col(text).alias("text"))
@@ -250,13 +252,13 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
             for whole in batches:
                 for batch in slices(whole, "text"):
                     rows = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for m in finder.find(t)]
-                    cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
+                    cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int64()), pa.array([finder.index.ids[i] for i in cols[1]], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:5]), pa.array(cols[5], pa.int64())],
-                        names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "first_word"],
+                        [pa.array(cols[0], pa.int64()), pa.array([finder.index.ids[i] for i in cols[1]], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:6]), pa.array(cols[6], pa.int64())],
+                        names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "item_overlap", "first_word"],
                     )
 
-        return slim.mapInArrow(run, "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, first_word long")
+        return slim.mapInArrow(run, "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, item_overlap double, first_word long")
 
     return reduce(DataFrame.union, map(matches, indexes(items)))
 

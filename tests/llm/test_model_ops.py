@@ -287,3 +287,12 @@ def test_fingerprint_group_edges(spark):
     got = {r.doc_id: (r.fp, r.component_id) for r in simhash.fingerprint_groups(frame(spark, [None, "", " \t", "a b", "a  B", "one two three four"])).collect()}
     assert [got[i] for i in range(3)] == [(0, 0)] * 3 and got[3][1] == got[4][1] == 3 and got[5][1] == 5
     assert simhash.fingerprint_groups(frame(spark, ["x"]).limit(0)).count() == 0
+
+
+def test_cut_and_edited_items_are_found(spark):
+    item = "A farmer has seventeen sheep and sells all but nine of them before the cold winter comes. How many sheep are left to feed on the farm? It is nine sheep."
+    question, words = item.rsplit("? ", 1)[0] + "?", item.split()
+    edited = [" ".join(words[:i] + ["changed"] + words[i + 1 :]) for i in range(len(words))]
+    docs = frame(spark, ["filler " * 80 + t + " filler" * 80 for t in (question, *edited, "nothing of it")])
+    found = {r.doc_id: r for r in decontaminate.contamination(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
+    assert set(found) == set(range(len(edited) + 1)) and found[0].item_overlap > 0.8 > 0.5 > found[0].answer_overlap
