@@ -241,7 +241,12 @@ def stream_vs_batch(spark, sf_dir):
     from milldam.plans.views import LOG
 
     schema = table(spark, sf_dir, "events").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path).isDirectory():
+        stream = reader.parquet(f"{sf_dir}/events.parquet")
+    else:  # a stream reads folders only
+        stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     rows = spark.sql(LOG, events=stream)
     sums = rows.groupBy("source").agg(F.count("*").alias("total"), F.count_if(F.col("status") == "success").alias("successful"))
     shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"

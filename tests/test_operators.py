@@ -50,3 +50,11 @@ def test_learned_rules():
     with pytest.raises(learned.ModelError) as e:
         learned.stub_client(["[1]"])
     assert e.value.reason == "llm_invalid_json"
+
+
+def test_stream_reads_a_folder_and_a_file(spark, sf_dir, tmp_path):
+    from milldam.plans.ingestion import stream_vs_batch
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(2).write.parquet(f"{tmp_path}/events.parquet")
+    file, folder = (sorted(map(tuple, stream_vs_batch(spark, d).collect())) for d in (sf_dir, str(tmp_path)))
+    assert len(file) == 3 and folder == file
