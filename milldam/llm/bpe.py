@@ -6,8 +6,9 @@ across the border of the two would have come before the merges that built its si
 All pairs of a batch are tested at once; words with a bad pair are merged exactly, in
 lockstep. A word is encoded once per batch of texts, however often it occurs.
 
-Defined results: null and empty texts have no tokens and decode to ''; repeated rows and
-extra columns pass through; a column that has the name of a result is replaced.
+Defined results: null and empty texts have no tokens and decode to ''; whole texts are encoded, whatever their
+length; an empty table gives an empty table; repeated rows and extra columns pass through; a column that has the
+name of a result is replaced.
 """
 
 from __future__ import annotations

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -26,15 +27,26 @@ def bounded_batches(spark: SparkSession) -> None:
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage: the rows are written to the shared checkpoint folder and read from there.
 
-    spark.checkpoint.dir names the folder; only where it is unset (tests, local mode) one is chosen here.
+    spark.checkpoint.dir names the folder; only where it is unset, and all is one machine, one is chosen here.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(shared or "/tmp/checkpoints")
+        if shared is None and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="checkpoints-"))
     return df.checkpoint()
 
 
+def join_named(rows: DataFrame, named: DataFrame, key: str, n: str = "n", heavy: int = 16384) -> DataFrame:
+    """rows with the one row of `named` for their key; n says how many rows have it. Keys of 1/heavy of all rows, `heavy` of
+    them at most, are joined by a broadcast, so that no task gets all rows of a large one. Both tables are read twice."""
+    total = named.agg(F.coalesce(F.sum(n), F.lit(0))).first()[0]
+    large = F.col(n) * heavy >= F.lit(total)
+    few, many = F.broadcast(named.where(large).drop(n)), named.where(~large).drop(n)
+    return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(many, key))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,13 +11,16 @@ OVERLAP. So a copy that lacks the answer, or has a word of a short answer edited
 
 The items are broadcast in blocks of bounded size, and all texts query each block; item statistics are taken over
 all items. Defined results: null and empty texts and items match nothing; an item of fewer than three words is
-verified as a whole; repeated rows match alike; extra columns are left out.
+verified as a whole; of several passages with an item the best counts, of equal ones the first; repeated rows match
+alike; whole texts are searched, whatever their length; an empty table on either side gives an empty one; ids keep
+their types; extra columns are left out.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -26,6 +29,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bounded_batches, durable, slices, table
 
@@ -56,10 +61,19 @@ def grams(ids: list[int]) -> list[tuple]:
     return [tuple(ids[i : i + 3]) for i in range(max(1, len(ids) - 2))] if ids else []
 
 
+def parts(words: list) -> list[list]:
+    """A text's words in parts of PART; a last one of less than half of that is filled up from those before."""
+    out = [words[k : k + PART] for k in range(0, len(words), PART)]
+    if len(out) > 1 and len(out[-1]) < PART // 2:
+        out[-1] = words[-PART:]
+    return out
+
+
 class Index:
     """A block of items: postings with block maxima, and what verification needs."""
 
     def __init__(self, items: list[tuple[int, str]], df: dict[str, int], n: int, mean: float):
+        self.name = uuid.uuid4().hex
         self.vocabulary = {t: i for i, t in enumerate(sorted({t for _, text in items for t in terms(text)}))}
         idf = np.zeros(len(self.vocabulary) + 1)
         for t, i in self.vocabulary.items():
@@ -78,10 +92,7 @@ class Index:
             self.question.append(grams(asked if len(asked) > 2 else whole))
             self.answer.append(grams(told if len(told) > 2 else whole))
             self.whole.append(grams(whole))
-            for k in range(0, len(whole), PART):
-                part = whole[k : k + PART]
-                if k and len(part) < PART // 2:
-                    part = whole[-PART:]
+            for part in parts(whole):
                 impact = {i: idf[i] * c * (K1 + 1) / (c + K1 * (1 - B + B * len(part) / mean)) for i, c in Counter(part).items()}
                 least = RETRIEVE * sum(impact.values())
                 aside, rest = 0.0, []
@@ -212,6 +223,18 @@ class Finder:
         return list(best.values())
 
 
+def average(items: DataFrame) -> float:
+    """The mean number of words in the parts of all items."""
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cut = [len(p) for t in batch.column("text").to_pylist() for p in parts(terms(t))]
+            yield pa.RecordBatch.from_arrays([pa.array([len(cut)], pa.int64()), pa.array([sum(cut)], pa.int64())], names=["n", "words"])
+
+    n, words = items.select("text").mapInArrow(sizes, "n long, words long").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    return words / n if n else float(PART)
+
+
 def indexes(items: DataFrame) -> list[Index]:
     """The items in blocks; only one block at a time is on the driver before it is broadcast."""
     items = durable(items.where("text is not null").select("item_id", "text"))
@@ -226,23 +249,23 @@ def indexes(items: DataFrame) -> list[Index]:
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)).cast("long"))
     listed = dealt.mapInArrow(distinct, "block long, term string").groupBy("block", "term").agg(F.count("*").alias("n"))
     frequency = durable(listed.join(listed.groupBy("term").agg(F.sum("n").alias("df")), "term").select("block", "term", "df"))
+    mean = average(items)
     for b in range(blocks):
         rows = [(r[0], r[1]) for r in dealt.where(F.col("block") == b).select("item_id", "text").sort("item_id", "text").collect() if terms(r[1])]
-        yield Index(rows, {r[0]: r[1] for r in frequency.where(F.col("block") == b).select("term", "df").collect()}, n, PART)
+        yield Index(rows, {r[0]: r[1] for r in frequency.where(F.col("block") == b).select("term", "df").collect()}, n, mean)
 
 
-_finders: dict[int, Finder] = {}
+_finders: dict[str, Finder] = {}
 
 
 def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """(doc_id, item_id, bm25, question_overlap, answer_overlap, item_overlap, first_word) of every verified match."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    slim = docs.select("doc_id", F.col(text).alias("text"))
+    slim, of_item = docs.select("doc_id", F.col(text).alias("text")), to_arrow_type(items.schema["item_id"].dataType)
 
     def matches(index: Index) -> DataFrame:
-        shared = spark.sparkContext.broadcast(index)
-        key = id(shared)
+        shared, key, keys, of_id = spark.sparkContext.broadcast(index), index.name, pa.array(index.ids, of_item), to_arrow_type(docs.schema["doc_id"].dataType)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if key not in _finders:
@@ -254,11 +277,12 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text") -> Data
                     rows = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for m in finder.find(t)]
                     cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(cols[0], pa.int64()), pa.array([finder.index.ids[i] for i in cols[1]], pa.int64()), *(pa.array(c, pa.float64()) for c in cols[2:6]), pa.array(cols[6], pa.int64())],
+                        [pa.array(cols[0], of_id), keys.take(pa.array(cols[1], pa.int64())), *(pa.array(c, pa.float64()) for c in cols[2:6]), pa.array(cols[6], pa.int64())],
                         names=["doc_id", "item_id", "bm25", "question_overlap", "answer_overlap", "item_overlap", "first_word"],
                     )
 
-        return slim.mapInArrow(run, "doc_id long, item_id long, bm25 double, question_overlap double, answer_overlap double, item_overlap double, first_word long")
+        figures = T._parse_datatype_string("bm25 double, question_overlap double, answer_overlap double, item_overlap double, first_word long")
+        return slim.mapInArrow(run, T.StructType([docs.schema["doc_id"], items.schema["item_id"], *figures.fields]))
 
     return reduce(DataFrame.union, map(matches, indexes(items)))
 

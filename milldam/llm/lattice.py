@@ -9,8 +9,9 @@ Corpus statistics are tables: word counts are summed up in Spark and never gathe
 for each piece of the vocabulary. For scoring, texts are dealt into blocks of bounded size; each block asks for
 the figures of its own distinct words by a join, and scores its texts with them.
 
-Defined results: null and empty texts are the end alone; repeated rows are scored alike and count as often as
-they occur; without any training text every count is 0; an empty table gives an empty table.
+Defined results: null and empty texts are the end alone; words of any length are fitted and scored whole; repeated rows
+are scored alike and count as often as they occur; a row without an id is learned from; without any training text every
+count is 0; an empty table gives an empty table; ids keep their type, and extra columns are left out.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import bounded_batches, crc_of_id, durable, table
 
@@ -154,15 +157,36 @@ class Pieces:
             alpha.append(top + math.log(sum(math.exp(t - top) for t in terms)))
         return alpha
 
+    def use(self, word: str, count: float, total: np.ndarray) -> None:
+        """Adds how often a single long word uses each piece and byte, over all its segmentations."""
+        alpha, n = self.one(word), len(word)
+        beta = [0.0] * (n + 1)  # log probability of what stands behind a place
+        for i in range(n - 1, -1, -1):
+            terms = []
+            for k in range(1, min(n - i, self.most) + 1):
+                p = self.index.get(word[i : i + k], -1)
+                if p >= 0:
+                    terms.append((p, k, float(self.logs[p]) + beta[i + k]))
+                elif k == 1:
+                    terms.append((-1, 1, self.spare(word[i]) + beta[i + 1]))
+            top = max(t for _, _, t in terms)
+            beta[i] = top + math.log(sum(math.exp(t - top) for _, _, t in terms))
+            for p, _, t in terms:
+                used = count * math.exp(alpha[i] + t - alpha[n])
+                if p >= 0:
+                    total[p] += used
+                else:
+                    for b in word[i].encode("utf-8", "surrogatepass"):
+                        total[self.bytes_at + b] += used
+
     def expected(self, texts: list[str], counts: np.ndarray) -> np.ndarray:
         """How often each piece (and byte) is used over all segmentations of the words, by their counts."""
         total = np.zeros(len(self.logs))
         for at, codes in self.groups(texts):
             n, width = codes.shape
-            if width > LONG:  # cut, for fitting only: a word of that length has all its letters in some part
-                parts = [texts[i][k : k + LONG - 1] for i in at.tolist() for k in range(0, len(texts[i]), LONG - 1)]
-                times = [counts[i] for i in at.tolist() for _ in range(0, len(texts[i]), LONG - 1)]
-                total += self.expected(parts, np.array(times))
+            if width > LONG:
+                for i in at.tolist():
+                    self.use(MARK + texts[i], float(counts[i]), total)
                 continue
             arcs = self.arcs(codes)
             alpha = self.forward(arcs, n, width)
@@ -239,7 +263,7 @@ def score(docs: DataFrame, path: str, taught: str = "taught") -> DataFrame:
     """(doc_id, text, taught) -> doc_id, taught, n_tokens, n_known, train_tokens, base_score, score (log10)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    docs = docs.select("doc_id", "text", F.col(taught).alias("taught"))
+    docs = docs.select("doc_id", "text", F.coalesce(F.col(taught), F.lit(False)).alias("taught"))
     size, ends = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count_if("taught")).first()
     counts = durable(word_counts(docs))
     tokens, distinct = counts.where("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -291,12 +315,13 @@ def score(docs: DataFrame, path: str, taught: str = "taught") -> DataFrame:
             "base_score": pa.array(cols[2], pa.float64()), "score": pa.array(cols[3], pa.float64()),
         }) if n else schema.empty_table()
 
-    schema = pa.schema([("doc_id", pa.int64()), ("taught", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
-    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sums, "doc_id long, taught boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    of_id = docs.schema["doc_id"]
+    schema = pa.schema([("doc_id", to_arrow_type(of_id.dataType)), ("taught", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
+    return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(sums, T.StructType([of_id, *T._parse_datatype_string("taught boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double").fields]))
 
 
 def op7_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_of_id() % 5 != 1).alias("taught"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(crc_of_id() % 5 != 1, F.lit(True)).alias("taught"))
     return score(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", (~F.col("taught")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -5,8 +5,9 @@ checksum form another; their pages are interleaved. Reading verifies every page'
 together from lacing values, also over page borders, takes the logical streams apart by serial number,
 and derives times from granule positions.
 
-Defined results: a null text is stored like an empty one; a null or damaged file is not `ok`, has an
-`error` and null payload; equal bytes give equal results; extra columns pass through, columns with the
+Defined results: a null text is stored like an empty one, as blanks; a null or damaged file is not `ok`, has an
+`error` and null payload; equal bytes give equal results, repeated rows each their own; whole texts are stored,
+whatever their length; an empty table gives an empty table; extra columns pass through, columns with the
 names of results are replaced.
 """
 
@@ -116,6 +117,21 @@ def streams(media: bytes) -> dict[int, list[tuple[bytes, int]]]:
     return out
 
 
+def timed(packets: list[tuple[bytes, int]]) -> list[tuple[int, int]]:
+    """First sample of each packet and the one behind its last, from granule positions: a page's position is where the last
+    packet that ends on it ends; those before it end where the next one begins. A gap or an overlap is an error."""
+    out, then = [], None
+    for data, position in reversed(packets):
+        end = position if position >= 0 else then
+        if end is None or end < len(data) or then not in (None, end):
+            raise ValueError("granule position off")
+        then = end - len(data)
+        out.append((then, end))
+    if then:
+        raise ValueError("granule position off")
+    return out[::-1]
+
+
 def read(media: bytes) -> dict:
     """Payload, counts, times and features of a file as write() makes it; raises ValueError when damaged."""
     found = streams(media)
@@ -123,10 +139,7 @@ def read(media: bytes) -> dict:
         raise ValueError("not the streams that are expected")
     rate = struct.unpack_from("<I", found[SOUND][0][0], 16)[0]
     sound, cues = found[SOUND][1:], found[CUES][1:]
-    ends = np.cumsum([len(x) for x, _ in sound], dtype=np.int64)
-    for (_, position), end in zip(sound, ends.tolist(), strict=True):
-        if position not in (-1, end):
-            raise ValueError("granule position off")
+    spans = timed(sound)
     cue = [struct.unpack("<III", x) for x, _ in cues]
     if len(cue) != len(sound) or any(c[1:] != (len(x), zlib.crc32(x)) for c, (x, _) in zip(cue, sound, strict=True)):
         raise ValueError("cues and packets differ")
@@ -134,14 +147,14 @@ def read(media: bytes) -> dict:
     samples = np.frombuffer(payload, np.uint8)
     centred = samples.astype(np.int64) - 128
     crossed = int(np.count_nonzero((centred[1:] < 0) != (centred[:-1] < 0)))
-    seconds = len(samples) / rate
+    last = spans[-1][1] if spans else 0
     return {
         "payload": payload,
         "n_streams": len(found),
         "n_packets": len(sound),
-        "starts_s": [0.0, *(ends[:-1] / rate).tolist()] if len(ends) else [],
-        "duration_s": seconds,
-        "feature": f"s={len(samples)};ms={1000 * len(samples) // rate};mean={int(centred.sum())};energy={int((centred * centred).sum())};cross={crossed};lo={int(samples.min())};hi={int(samples.max())}",
+        "starts_s": [begin / rate for begin, _ in spans],
+        "duration_s": last / rate,
+        "feature": f"s={len(samples)};ms={1000 * last // rate};mean={int(centred.sum())};energy={int((centred * centred).sum())};cross={crossed};lo={int(samples.min())};hi={int(samples.max())}",
     }
 
 
@@ -208,4 +221,6 @@ def op5_ogg_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.octet_length("media").cast("long").alias("media_bytes"),
         F.sha2("media", 256).alias("media_sha256"),
         F.col("probe.feature").alias("feature"),
+        F.col("probe.duration_s").alias("duration_s"),
+        F.element_at("probe.starts_s", -1).alias("last_start_s"),
     )

@@ -1,17 +1,20 @@
 """Personal data: format-preserving Feistel pseudonyms, with DataFrame functions only.
 
-Emails, phone numbers, card and account numbers, social security numbers, IP addresses, dates and hexadecimal
-secrets are found by pattern and validated; each is then permuted within its format by a keyed Feistel network.
-So a card number's digits stay digits and its check digit stays as right (or as wrong) as it was, a date becomes a
-date of the same 400 years, an address a valid address, and equal values become equal pseudonyms in all documents,
-whatever they are written with between the digits. The permutation can be undone with the key.
+Emails, phone numbers, card numbers, social security numbers, IP addresses, dates and hexadecimal secrets are found by
+pattern and validated: a card number's check digit is right, an international phone number has a country's code, a social
+security number has an area, group and serial that are given out, a date is in the calendar. Each is then permuted
+within its format by a keyed Feistel network. So a card number becomes one with a right check digit, a social security
+number a valid one, a date a date of the same 400 years, an address a valid address, and equal values become equal
+pseudonyms in all documents, whatever they are written with between the digits. What is not valid stays as it is. A mail's
+domain stays as well, and so does a phone's country code. The permutation can be undone with the key.
 
 The network alternates over two halves of the value's letters: each letter of one half is shifted, within its own
 alphabet, by a number drawn from SHA-256 of key, kind, round and other half. Addresses and dates are permuted as
 numbers, over 2^16 x 2^16 and 189 x 773 (the days of 400 years).
 
-Defined results: null stays null, empty stays empty, texts without a match are returned as they are; repeated rows
-are treated alike; extra columns pass through; columns with the names of results are replaced.
+Defined results: null stays null, empty stays empty, texts without a match are returned as they are; of patterns that begin at
+one place the first in the list counts; repeated rows are treated alike; whole texts are looked through, whatever their
+length; an empty table gives an empty table; extra columns pass through; columns with the names of results are replaced.
 """
 
 from __future__ import annotations
@@ -24,15 +27,19 @@ from pyspark.sql import functions as F
 from .common import table
 
 ROUNDS = 8
+#: Used where the session does not set spark.milldam.pseudonyms.key; for trials only.
+DEMONSTRATION = "demonstration key"
+# Country calling codes; of those with three digits the zones, as nearly all codes in them are in use.
+_COUNTRIES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|(?:2[1-689]|35|37|38|42|50|59|6[789]|80|85|87|88|96|97|99)[0-9]"
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 #: What is looked for, in this order where several begin at one place.
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9]{0,63}[A-Fa-f])(?=[A-Fa-f]{0,63}[0-9])[0-9A-Fa-f]{32,64}(?![0-9A-Za-z])",
-    "phone": r"(?<![0-9A-Za-z+])\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])|(?<![0-9A-Za-z.-])[0-9]{3}(?<dot>[.-])[0-9]{3}\k<dot>[0-9]{4}(?![0-9A-Za-z-])",
+    "phone": rf"(?<![0-9A-Za-z+])\+(?={_COUNTRIES})[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)[ .-]?)?[0-9]{{2,4}}(?:[ .-]?[0-9]{{2,4}}){{1,4}}(?![0-9A-Za-z])|(?<![0-9A-Za-z])\([0-9]{{3}}\) ?[0-9]{{3}}[ .-][0-9]{{4}}(?![0-9A-Za-z])|(?<![0-9A-Za-z.-])[0-9]{{3}}(?<dot>[.-])[0-9]{{3}}\k<dot>[0-9]{{4}}(?![0-9A-Za-z-])",
     "date": r"(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})(?![0-9A-Za-z/-]|\.[0-9])",
     "address": rf"(?<![0-9A-Za-z.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9A-Za-z]|\.[0-9])",
-    "social": r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])",
+    "social": r"(?<![0-9A-Za-z-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z-])",
     "number": r"(?<![0-9A-Za-z.-])(?:[0-9]{13,19}|[0-9]{4}(?<four>[ -])[0-9]{4}\k<four>[0-9]{4}\k<four>[0-9]{4}|[0-9]{4}(?<six>[ -])[0-9]{6}\k<six>[0-9]{5})(?![0-9A-Za-z]|[.-][0-9])",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -130,12 +137,11 @@ def luhn(d: Column) -> Column:
 
 
 def card(text: Column, key: str) -> Column:
-    """All digits but the last are permuted; the last is as far from the right check digit as before."""
+    """All digits but the last are permuted; the last is their check digit again."""
 
     def changed(d: Column) -> Column:
         body = F.slice(d, 1, F.size(d) - 1)
-        off = F.element_at(d, -1) - luhn(body)
-        return let(feistel(body, F.transform(body, lambda _: F.lit(10)), key, "number"), lambda p: F.concat(p, F.array(((luhn(p) + off + 10) % 10).cast("int"))))
+        return let(feistel(body, F.transform(body, lambda _: F.lit(10)), key, "number"), lambda p: F.concat(p, F.array(luhn(p).cast("int"))))
 
     return refilled(text, let(digits(text), changed), "[0-9]", as_digit)
 
@@ -144,6 +150,15 @@ def right_card(text: Column) -> Column:
     return let(digits(text), lambda d: luhn(F.slice(d, 1, F.size(d) - 1)) == F.element_at(d, -1))
 
 
+def social(text: Column, key: str) -> Column:
+    """Area (001 to 899 without 666), group and serial number are permuted within those that are given out."""
+    parts = F.transform(F.split(text, "-"), lambda x: x.cast("int"))
+    index = let(parts, lambda p: F.array(p[0] - 1 - (p[0] > 666).cast("int"), p[1] - 1, p[2] - 1))
+    to = feistel(index, F.array(F.lit(898), F.lit(99), F.lit(9999)), key, "social")
+    padded = lambda x, n: F.lpad(x.cast("string"), n, "0")
+    return let(to, lambda v: F.concat_ws("-", padded(v[0] + 1 + (v[0] >= 665).cast("int"), 3), padded(v[1] + 1, 2), padded(v[2] + 1, 4)))
+
+
 def pair(n: Column, a: int, b: int, key: str, kind: str) -> Column:
     """Permutes numbers under a * b."""
     split = F.array(F.floor(n / b).cast("int"), (n % b).cast("int"))
@@ -182,14 +197,13 @@ def pseudonym(m: Column, key: str) -> Column:
     is_ = {k: m.rlike(f"^(?:{p})$") for k, p in PATTERNS.items()}
     local, domain = F.substring_index(m, "@", 1), F.concat(F.lit("@"), F.substring_index(m, "@", -1))
     country = F.regexp_extract(m, _COUNTRY, 0)
-    grouped = m.rlike("[ -]")
     return (
         F.when(m.contains("@"), F.concat(by_letters(local, key, "email"), domain))
         .when(is_["secret"], by_letters(m, key, "secret", hexadecimal=True))
         .when(is_["date"], date(m, key))
         .when(is_["address"], address(m, key))
-        .when(is_["social"], by_digits(m, key, "social"))
-        .when(is_["number"], F.when(~grouped | right_card(m), card(m, key)).otherwise(m))
+        .when(is_["social"], social(m, key))
+        .when(is_["number"], F.when(right_card(m), card(m, key)).otherwise(m))
         .otherwise(F.concat(country, by_digits(F.substr(m, F.length(country) + 1), key, "phone")))
     )
 
@@ -207,6 +221,10 @@ def pseudonymise(df: DataFrame, key: str, text: str = "text", result: str | None
     return df.withColumns(columns)
 
 
-def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str, key: str = "demonstration key") -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    return spark.conf.get("spark.milldam.pseudonyms.key", DEMONSTRATION)
+
+
+def op6_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudonymise(docs, key, found="n_found").select("doc_id", "text", "n_found")
+    return pseudonymise(docs, session_key(spark), found="n_found").select("doc_id", "text", "n_found")

@@ -9,8 +9,14 @@ exactly: two fingerprints are within 2 bits if and only if some value is within
 listed under itself and its 64 one-bit neighbours, and all under one value are linked to the smallest of
 them. That is linear in the members, and no link between components is lost.
 
+near_duplicates() goes by the Jaccard similarity of sets of shingles. Two texts of five-word similarity 0.8 differ in about
+ten of the 64 bits of their fingerprints, too many for deletion variants, so candidates come from equal minima of the sets
+in one of BANDS bands; every pair of candidates is verified by the whole sets.
+
 Defined results: texts without words (null, empty, white space) have fingerprint zero and link like any
-other; copies share a fingerprint; an empty table gives an empty table.
+other; copies share a fingerprint; of several rows with the smallest id each counts alone; rows without an id get the
+smallest id of their group; whole texts count, whatever their length; an empty table gives an empty table; extra columns
+are left out.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, schema_with, slices, table, with_columns
+from .common import bounded_batches, durable, join_named, schema_with, slices, table, with_columns
 from .components import components
 
 #: Distinct fingerprints that are paired out under one key.
@@ -103,11 +109,11 @@ def links(values: DataFrame, bucket: int = BUCKET) -> DataFrame:
 def fingerprint_groups(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest id that can be reached over links."""
     marked = durable(fingerprints(df.select(doc_id, text), text).select(F.col(doc_id).alias("doc_id"), "fp"))
-    values = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    values = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     rooted = durable(components(links(values.select("fp"))))
     grouped = values.join(rooted.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
-    return marked.join(named, "fp")
+    named = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id", "n")
+    return join_named(marked, durable(named), "fp").select("doc_id", "fp", "component_id")
 
 
 def band_keys(values: np.ndarray) -> list[int]:
@@ -158,7 +164,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     wanted = members.select(F.col("at").alias("doc_id"), "fp").distinct()
     texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
     sets = durable(shingle_sets(texts, width, True).join(wanted, ["doc_id", "fp"], "left_semi").dropDuplicates(["fp"]))
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     gone = []
     while not members.isEmpty():
         place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))
@@ -173,7 +179,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     named = least
     if gone:
         named = least.join(reduce(DataFrame.union, gone), "fp", "left").withColumn("least", F.coalesce("kept", "least"))
-    return marked.select("doc_id", "fp").join(named.select("fp", F.col("least").alias("component_id")), "fp").select("doc_id", "fp", "component_id")
+    named = durable(named.select("fp", F.col("least").alias("component_id"), "n"))
+    return join_named(marked.select("doc_id", "fp"), named, "fp").select("doc_id", "fp", "component_id")
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,8 +6,8 @@ spans it, and what follows, encoded alone, gets back the mark that the blank wou
 are split there, equal parts of a batch are encoded once, in library batches balanced by bytes, and
 only lengths come back.
 
-Defined results: null and empty texts have 0 tokens; repeated rows and extra columns pass through; a
-column that has the name of the result is replaced.
+Defined results: null and empty texts have 0 tokens; whole texts count, whatever their length; an empty table gives an
+empty table; repeated rows and extra columns pass through; a column that has the name of the result is replaced.
 """
 
 from __future__ import annotations
@@ -52,7 +52,7 @@ class PieceCounter:
         out, batch, size = [], [], 0
         for p in parts:
             batch.append(p)
-            size += len(p) + 32
+            size += len(p.encode()) + 32
             if size > LIBRARY_BYTES:
                 out += map(len, self.library.encode(batch, num_threads=1))
                 batch, size = [], 0

@@ -1,5 +1,7 @@
 """Pseudonyms, lattice scores, decontamination, near-dedup, toxicity and the pipeline."""
 
+import datetime
+import hashlib
 import itertools
 import math
 import random
@@ -37,7 +39,7 @@ def test_pseudonyms(spark):
     mail = re.search(r"\S+@\S+", got[3].text)[0]
     assert mail == got[4].text != texts[4] and mail.endswith("@example.org") and re.search(r"\+1 \(\d{3}\) \d{3}-\d{4}", got[3].text) and "555-0147" not in got[3].text
     a, b = got[5].text[5:21], got[5].text[26:].replace(" ", "")
-    assert a == b != "4111111111111111" and luhn(a) == 0 and luhn(got[10].text) == luhn("4111111111111112")
+    assert a == b != "4111111111111111" and luhn(a) == 0 and got[10].text == texts[10]  # a wrong check digit: no card
     assert re.fullmatch(r"from (\d{1,3}\.){3}\d{1,3} on \d{4}-\d{2}-\d{2} and \d{2}\.\d{2}\.\d{4}", got[6].text) and got[6].text != texts[6]
     assert re.fullmatch(r"ssn \d{3}-\d{2}-\d{4}", got[7].text) and got[7].text != texts[7] and re.fullmatch("token [0-9a-f]{32}", got[8].text)
     assert "a@b.org" not in got[9].text and len(got[9].text) == len(texts[9])
@@ -53,6 +55,55 @@ def test_pseudonyms_are_permutations(spark):
     assert days.distinct().count() == days.count() and days.where("y < 0 or y >= 146097").count() == 0
 
 
+def network(values, radixes, key, kind):
+    """The Feistel network in plain Python."""
+    h = len(values) // 2
+    left, right, rl, rr = list(values[:h]), list(values[h:]), radixes[:h], radixes[h:]
+
+    def shifted(half, other, radix, k):
+        seen = ",".join(map(str, other))
+        draw = lambda i: int(hashlib.sha256(f"{key}|{kind}|{k}|{seen}|{i // 16}".encode()).hexdigest()[i % 16 * 4 : i % 16 * 4 + 4], 16)
+        return [(x + draw(i)) % radix[i] for i, x in enumerate(half)]
+
+    for k in range(pii.ROUNDS):
+        left, right = (shifted(left, right, rl, k), right) if k % 2 == 0 else (left, shifted(right, left, rr, k))
+    return left + right
+
+
+def test_pseudonyms_are_the_plain_network(spark):
+    def card(s):
+        d = [int(c) for c in s if c.isdigit()]
+        body = network(d[:-1], [10] * len(d[:-1]), "k", "number")
+        check = next(c for c in range(10) if luhn("".join(map(str, [*body, c]))) % 10 == 0)
+        return "".join(map(str, [*body, check]))
+
+    def date(s):
+        n = (datetime.date.fromisoformat(s) - datetime.date(1800, 1, 1)).days
+        a, b = network([n // 773, n % 773], [189, 773], "k", "date")
+        return (datetime.date(1800, 1, 1) + datetime.timedelta(a * 773 + b)).isoformat()
+
+    def address(s):
+        p = [int(x) for x in s.split(".")]
+        a, b = network([p[0] * 256 + p[1], p[2] * 256 + p[3]], [65536] * 2, "k", "address")
+        return f"{a >> 8}.{a & 255}.{b >> 8}.{b & 255}"
+
+    def social(s):
+        a, g, n = map(int, s.split("-"))
+        a, g, n = network([a - 1 - (a > 666), g - 1, n - 1], [898, 99, 9999], "k", "social")
+        return f"{a + 1 + (a >= 665):03}-{g + 1:02}-{n + 1:04}"
+
+    def secret(s):
+        return "".join("0123456789abcdef"[v] for v in network([int(c, 16) for c in s], [16] * len(s), "k", "secret"))
+
+    values = {"4111111111111111": card, "378282246310005": card, "2024-02-29": date, "1999-12-31": date, "10.1.2.3": address, "255.0.0.9": address, "123-45-6789": social, "899-99-9999": social, "0123456789abcdef" * 2: secret}
+    got = [r.text for r in pii.pseudonymise(frame(spark, list(values)), "k").orderBy("doc_id").collect()]
+    assert got == [f(v) for v, f in values.items()]
+    left = ["4111111111111112", "000-12-3456", "666-12-3456", "901-12-3456", "123-00-6789", "+830 123 456 7890", "2024-02-30", "+0 123 456 789"]
+    assert [r.text for r in pii.pseudonymise(frame(spark, left), "k").orderBy("doc_id").collect()] == left
+    every = spark.range(1, 900).where("id != 666").select(pii.social(F.concat(F.lpad(F.col("id").cast("string"), 3, "0"), F.lit("-12-3456")), "k").alias("x"))
+    assert every.distinct().count() == 898 and every.where("not x rlike '^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}$'").count() == 0
+
+
 def test_pseudonyms_stay_native(spark, sf_dir):
     plan = pii.op6_pii_pseudonyms(spark, sf_dir)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
@@ -75,7 +126,12 @@ def test_lattice_is_the_sum_over_segmentations():
     pieces = lattice.Pieces.start(public_tokenizers.path("piece_bpe_32k.model"))
     words = ["a", "the", "lattice", "straße", "日本", "zq🙂x", "the"]
     assert pieces.marginal(words).tolist() == pytest.approx([all_segmentations(pieces, w) for w in words], rel=1e-9)
-    long = "ab" * 200
+    long = "abß🙂" * 100
+    total = np.zeros(len(pieces.logs))
+    short = "straße🙂the"
+    pieces.use(lattice.MARK + short, 2.0, total)  # the way of long words, over a short one
+    assert total == pytest.approx(pieces.expected([short], np.array([2.0])), abs=1e-9)
+    assert pieces.expected([long], np.array([1.0])).sum() > len(long) / 8
     assert pieces.marginal([long])[0] == pytest.approx(pieces.forward(pieces.arcs(np.frombuffer((lattice.MARK + long).encode("utf-32-le"), "<u4").astype(np.uint64)[None, :]), 1, 401)[0, -1], rel=1e-9)
     assert math.exp(pieces.end) + np.exp(pieces.logs).sum() == pytest.approx(1, abs=1e-6)
 
@@ -202,25 +258,71 @@ def machine(spark):
     return toxicity.learned(spark, spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet"))
 
 
-def test_toxicity_held_out(spark, machine):
-    base = "/root/testdata/sf0.01"
+def found_of_held_out(spark, machine, base):
+    """(toxic found, toxic, clean rejected, clean) among held-out rows."""
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{base}/labels.parquet").collect() if zlib.crc32(str(r.doc_id).encode()) % 4 == 2}
     rows = [r for r in toxicity.scored(spark.read.parquet(f"{base}/documents.parquet").select("doc_id", "text"), machine).collect() if r.doc_id in labels]
-    right = sum((r.score >= 0.3) == labels[r.doc_id] for r in rows) / len(rows)
-    clean = [r.score >= 0.3 for r in rows if not labels[r.doc_id]]
-    assert right >= 0.9 and sum(clean) / len(clean) <= 0.02 and all(0 <= r.score <= 1 for r in rows)
+    assert all(0 <= r.score <= 1 for r in rows)
+    toxic, clean = ([r.score >= 0.3 for r in rows if labels[r.doc_id] == k] for k in (1, 0))
+    return sum(toxic), len(toxic), sum(clean), len(clean)
+
+
+def test_toxicity_held_out(spark, machine):
+    found, toxic, rejected, clean = found_of_held_out(spark, machine, "/root/testdata/sf0.01")
+    assert found >= 0.5 * toxic and rejected <= 0.02 * clean
+
+
+def test_toxicity_held_out_of_more_rows(spark):
+    base = "/root/testdata/sf0.1"
+    learned = toxicity.learned(spark, spark.read.parquet(f"{base}/documents.parquet"), spark.read.parquet(f"{base}/labels.parquet"))
+    found, toxic, rejected, clean = found_of_held_out(spark, learned, base)
+    assert found >= 0.85 * toxic and rejected <= 0.02 * clean
+    hidden = ["id.iot", "i.d.i.o.t", "st*upid", "stuupid", "s t u p i d", "garden", "winter"]
+    tops = toxicity.Scorer(learned).tops([f"a {w} of it" for w in hidden])[:, 0]
+    assert min(tops[:5]) > max(tops[5:]) + 0.5
+
+
+def brute_kernel(a, b):
+    """Gapped subsequences within words, counted one by one."""
+
+    def subsequences(piece):
+        out = Counter()
+        for chunk in toxicity.chunks(piece):
+            for f in toxicity.forms(chunk):
+                word = f"\1{f}\2"
+                for offsets in toxicity._OFFSETS:
+                    for i in range(len(word) - offsets[-1]):
+                        out[tuple(word[i + o] for o in (0, *offsets))] += toxicity.DECAY ** (offsets[-1] + 1)
+        return out
+
+    norm = lambda p: math.sqrt(sum(toxicity.norms(np.array([len(f)]))[0] for c in toxicity.chunks(p) for f in toxicity.forms(c)))
+    x, y = subsequences(a), subsequences(b)
+    return sum(x[k] * y[k] for k in x.keys() & y.keys()) / norm(a) / norm(b)
 
 
 def test_toxicity_kernel_is_the_table():
     """A decision through the table is the weighted sum of kernels with landmarks."""
-    words = ["idiot", "i.d.i.o.t", "garden", "gardener", "x"]
-    columns = toxicity.entries(words[:3])
-    rows = toxicity.features(words, columns)
+    landmarks, pieces, w = ["you idiot", "i.d.i.o.t!", "a green garden"], ["such an idiot", "gardener", "x", "i d i o t"], [1.0, -0.5, 0.25]
     weights = np.zeros(toxicity.TABLE)
-    w = np.array([1.0, -0.5, 0.25])
-    weights[columns] = w @ rows[:3]
-    m = toxicity.Machine(weights, 0.1, np.zeros(toxicity.TOP + 1))
-    assert m.decisions(words) == pytest.approx((rows @ rows[:3].T) @ w + 0.1, rel=1e-4)
+    for piece, v in zip(landmarks, w):
+        listed = [f for c in toxicity.chunks(piece) for f in toxicity.forms(c)]
+        codes, _ = toxicity.letters(listed)
+        for _, entry, weight in toxicity.subsequences(codes):
+            np.add.at(weights, entry, v * weight / math.sqrt(toxicity.norms(np.array([len(f) for f in listed])).sum()))
+    scorer = toxicity.Scorer(toxicity.Machine(weights, 0.1, np.zeros(toxicity.TOP + 1)))
+    got = [float(value[0]) for _, _, value in scorer.rated(pieces)]
+    want = [0.1 + sum(v * brute_kernel(p, x) for x, v in zip(landmarks, w)) for p in pieces]
+    assert got == pytest.approx(want, abs=0.01)  # some subsequences share a table entry
+    assert want[0] > 0.4 > want[1]
+
+
+def test_toxicity_pieces():
+    words = toxicity.Words()
+    at = words.numbers("One two three four. Five! Six seven, eight s t u p i d nine")
+    words.fresh()
+    spelled = list(words.place)
+    begins = [*words.pieces(at).tolist(), len(at)]
+    assert [" ".join(spelled[i] for i in at[p:q]) for p, q in zip(begins, begins[1:])] == ["one two three", "four.", "five!", "six seven, eight", "stupid nine"]
 
 
 def test_toxicity_edges(spark, machine):
@@ -296,3 +398,38 @@ def test_cut_and_edited_items_are_found(spark):
     docs = frame(spark, ["filler " * 80 + t + " filler" * 80 for t in (question, *edited, "nothing of it")])
     found = {r.doc_id: r for r in decontaminate.contamination(docs, spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     assert set(found) == set(range(len(edited) + 1)) and found[0].item_overlap > 0.8 > 0.5 > found[0].answer_overlap
+
+
+def test_clashing_columns_of_models(spark, sf_dir):
+    """Extra columns with names of results or of steps on the way."""
+    names = "fp component_id n x key block word c taught item_id bm25 first_word n_found tops".split()
+    df = frame(spark, [None, "", "mail a@b.org now", "mail a@b.org now"]).select("doc_id", "text", *[F.lit("old").alias(n) for n in names])
+    out = pii.pseudonymise(df, "k", found="n_found")
+    assert out.columns == df.columns and {r.doc_id: r.n_found for r in out.collect()} == {0: 0, 1: 0, 2: 1, 3: 1}
+    assert {r.doc_id: r.component_id for r in simhash.fingerprint_groups(df).collect()} == {0: 0, 1: 0, 2: 2, 3: 2}
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()} == {0: 0, 1: 0, 2: 2, 3: 2}
+    scores = lattice.score(df.withColumn("taught", F.lit(True)), public_tokenizers.path("piece_bpe_32k.model")).collect()
+    assert sorted(r.n_tokens for r in scores) == [1, 1, 4, 4]
+    named = df.withColumn("doc_id", F.concat(F.lit("d"), "doc_id"))
+    items = spark.createDataFrame([("i", "mail a@b.org now")], "item_id string, text string")
+    found = decontaminate.contamination(named, items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [("d2", "i"), ("d3", "i")]
+    assert lattice.score(named.withColumn("taught", F.lit(True)), public_tokenizers.path("piece_bpe_32k.model")).count() == 4
+
+
+def test_rows_without_an_id_are_not_held_out(spark, tmp_path):
+    docs = spark.createDataFrame([(None, "a b c", "en", "s", 5), (1, "a b c", "en", "s", 5)], "doc_id long, text string, lang string, source string, n_chars int")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(None, 1, 1), (1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for op in (lattice.op7_lattice_score, toxicity.op10_toxicity):
+        rows = {r.doc_id: r for r in op(spark, str(tmp_path)).collect()}
+        assert rows[None].held_out is False and len(rows) == 2
+
+
+def test_large_keys_are_joined_by_broadcast(spark):
+    from milldam.llm.common import join_named
+
+    rows = spark.createDataFrame([(i, 0 if i < 50 else i) for i in range(100)], "doc_id long, k long")
+    named = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("doc_id").alias("least"))
+    for heavy in (1, 3, 1000):
+        assert sorted((r.doc_id, r.least) for r in join_named(rows, named, "k", heavy=heavy).collect()) == [(i, 0 if i < 50 else i) for i in range(100)]
