@@ -20,7 +20,9 @@ class EngineConfig:
     model_batch: int = 5
     model_timeout_s: float = 10.0
     model_min_delay_ms: int = 4000
-    sink_rows: int = 100
+    files_per_trigger: int = 100
+    trigger_ms: int = 50
+    model_callers: int = 1
     sink_retries: int = 3
     sink_base_ms: int = 200
     dedup_scope: str = "message_id"

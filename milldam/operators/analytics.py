@@ -48,14 +48,13 @@ def global_metrics(log: DataFrame) -> DataFrame:
     """Totals and latencies; latencies of 0 or null do not count; an empty window gives zeros."""
     d = F.nullif(F.col("total_ms"), F.lit(0)).cast("double")
     zero = lambda c: F.coalesce(c, F.lit(0.0))
+    tails = percentiles(log.select(d.alias("ms")), "ms", 0.95, 0.99, names=("p95_ms", "p99_ms"))
     return log.agg(
         F.count("*").alias("total"),
         F.count_if(F.col("status") == "success").alias("successful"),
         F.count_if(F.col("status") == "failed").alias("failed"),
         zero(F.round(F.avg(d), 2)).alias("avg_ms"),
-        zero(F.round(F.percentile(d, F.lit(0.95)), 2)).alias("p95_ms"),
-        zero(F.round(F.percentile(d, F.lit(0.99)), 2)).alias("p99_ms"),
-    )
+    ).join(tails.select(*[F.round(c, 2).alias(c) for c in tails.columns]))
 
 
 def by_source(log: DataFrame) -> DataFrame:
@@ -64,9 +63,16 @@ def by_source(log: DataFrame) -> DataFrame:
     return log.groupBy("source").agg(F.count("*").alias("total"), F.count_if(ok).alias("successful"), F.count_if(~ok).alias("failed"))
 
 
-def percentiles(df: DataFrame, value: str, *ps: float) -> DataFrame:
-    """Linear interpolation between neighbours."""
-    return df.agg(*[F.coalesce(F.percentile(value, F.lit(p)), F.lit(0.0)).alias(f"p{round(p * 100)}") for p in ps])
+def percentiles(df: DataFrame, value: str, *ps: float, names: tuple[str, ...] = ()) -> DataFrame:
+    """Linear interpolation between neighbours; 0 if there is no value."""
+    running = running_counts(df, [], value)
+    joined = running.join(F.broadcast(running.agg(F.sum("_n").alias("_all"))))
+    names = names or tuple(f"p{round(p * 100)}" for p in ps)
+    at = [(F.col("_all") - 1) * p for p in ps]
+    value_at = lambda k: F.min(F.when(F.col("_upto") > k, F.col(value).cast("double")))
+    ends = [x for i, a in enumerate(at) for x in (value_at(F.floor(a)).alias(f"_l{i}"), value_at(F.ceil(a)).alias(f"_h{i}"), F.max(a - F.floor(a)).alias(f"_s{i}"))]
+    found = joined.agg(*ends)
+    return found.select(*[F.coalesce(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_s{i}"), F.lit(0.0)).alias(n) for i, n in enumerate(names)])
 
 
 def top_rejections(df: DataFrame, summary: str = "rejection_summary", top: int = 10) -> DataFrame:
@@ -135,21 +141,40 @@ def first_samples(rejects: DataFrame, order: str, sample: str) -> DataFrame:
     return sums.join(F.broadcast(whole)).select("reason", "count", F.round(F.col("count") * 100 / F.col("_all"), 1).alias("percentage"), "sample")
 
 
-def nearest_rank(value: str, p: float) -> Column:
-    """The value at place int(n * p) of the sorted ones, from 0: percentile_disc's neighbour, as load reports define it."""
-    values = F.array_sort(F.collect_list(value))
-    return F.get(values, F.floor(F.size(values) * p).cast("int"))
+def running_counts(df: DataFrame, group: list[str], value: str, buckets: int = 64) -> DataFrame:
+    """(group, value, _n, _upto): distinct values with their number and that of all up to them, without gathering a group: values
+    are dealt into buckets by their quantiles, summed up there, and begin where the buckets before end."""
+    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
+    edges = sorted(set(df.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
+    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(value))) if edges else F.lit(0)
+    dealt = counts.withColumn("_bucket", bucket)
+    before = Window.partitionBy(*group, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_m")).select(*group, "_bucket", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_start"))
+    within = dealt.withColumn("_in", F.sum("_n").over(Window.partitionBy(*group, "_bucket").orderBy(value)))
+    return within.join(starts, [*group, "_bucket"]).withColumn("_upto", F.col("_start") + F.col("_in")).drop("_bucket", "_in", "_start")
 
 
 def nearest_rank_rows(df: DataFrame, group: list[str], value: str, p: float, name: str) -> DataFrame:
-    """The same without gathering a group: values are counted, and the value whose running count passes the place is taken."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    sizes = counts.groupBy(*group).agg(F.sum("_n").alias("_all"))
-    running = counts.withColumn("_upto", F.sum("_n").over(Window.partitionBy(*group).orderBy(value)))
-    joined = running.join(sizes, group) if group else running.join(F.broadcast(sizes))
+    """The value at place int(n * p) of the sorted ones, from 0, as load reports define it."""
+    running = running_counts(df, group, value)
+    sizes = running.groupBy(*group).agg(F.sum("_n").alias("_all"))
+    joined = running.join(F.broadcast(sizes), group) if group else running.join(F.broadcast(sizes))
     return joined.where(F.col("_upto") > F.floor(F.col("_all") * p)).groupBy(*group).agg(F.min(value).alias(name))
 
 
+def throughput(runs: DataFrame, started: str = "started_at", finished: str = "finished_at") -> DataFrame:
+    """Requests, seconds from the first start to the last end, and requests a second (0 where no time passed)."""
+    span = (F.unix_micros(F.max(finished)) - F.unix_micros(F.min(started))) / 1_000_000
+    sums = runs.agg(F.count("*").alias("sent"), F.coalesce(span, F.lit(0.0)).alias("seconds"))
+    return sums.withColumn("per_second", F.when(F.col("seconds") > 0, F.round(F.col("sent") / F.col("seconds"), 2)).otherwise(F.lit(0.0)))
+
+
+def parse_errors(raw: DataFrame, value: str = "value") -> DataFrame:
+    """How many queued rejects are no JSON object, and so are counted by nothing else."""
+    fits = F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+    return raw.agg(F.count("*").alias("messages"), F.count_if(~fits).alias("parse_errors"))
+
+
 def load_summary(runs: DataFrame) -> DataFrame:
     """(source, ok, invalid, ms): by source, sent, accepted, failed, invalid and latencies."""
     sums = runs.groupBy("source").agg(

@@ -1,9 +1,9 @@
 """Ordered duplicate removal inside a message.
 
 First by id, then by name and city: a row is refused if an accepted earlier row of its message has its id, or else its
-name and city; refused rows register nothing. That is a greedy fold in order. It runs as an aggregate over a message's
-rows where a message has at most FOLD of them. Larger messages are decided in rounds instead, without gathering them: in
-each round, rows that no earlier undecided row conflicts with are decided.
+name and city; refused rows register nothing. That is a greedy fold in order: rows are sorted by message and place and
+stream through a task that holds the keys of one message, which are fewer than the message's own bytes. id_name_fold()
+gives the same as an aggregate without Python, for messages known to be short: its steps grow with the square of them.
 
 Then, among the accepted, by phone and by e-mail: the first row with a phone registers it whatever becomes of its
 e-mail, and an e-mail counts for rows that passed the phone test, so two first-row windows are exact.
@@ -11,10 +11,13 @@ e-mail, and an e-mail counts for rows that passed the phone test, so two first-r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-FOLD = 2000
 ID, NAME = "duplicate_id_within_message", "duplicate_name_city_within_message"
 PHONE, EMAIL = "duplicate_phone_in_message", "duplicate_email_in_message"
 
@@ -23,8 +26,9 @@ def _keyed(df: DataFrame) -> DataFrame:
     return df.withColumns({"_id": F.upper("station_id"), "_name": F.concat_ws("\x1f", F.upper("name"), F.upper(F.coalesce("city", F.lit(""))))})
 
 
-def id_name_fold(df: DataFrame, scope: str, order: str) -> DataFrame:
+def id_name_fold(df: DataFrame, scope: str = "message_id", order: str = "ordinal") -> DataFrame:
     """(scope, order, dup) by folding over each message's rows."""
+    df = _keyed(df)
     rows = F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col("_id").alias("i"), F.col("_name").alias("n"))))
     start = F.struct(F.array().cast("array<string>").alias("ids"), F.array().cast("array<string>").alias("names"), F.array().cast("array<string>").alias("out"))
 
@@ -42,43 +46,26 @@ def id_name_fold(df: DataFrame, scope: str, order: str) -> DataFrame:
     return folded.select(scope, F.explode(F.arrays_zip("rows", "out")).alias("z")).select(scope, F.col("z.rows.o").alias(order), F.nullif(F.col("z.out"), F.lit("")).alias("dup"))
 
 
-def id_name_rounds(df: DataFrame, scope: str, order: str, most: int = 1000) -> DataFrame:
-    """The same without gathering a message: decided round by round; each round is written to the checkpoint folder."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints")
-    state = df.select(scope, order, "_id", "_name", F.lit(None).cast("string").alias("dup"), F.lit(False).alias("done")).checkpoint()
-    for _ in range(most):
-        if state.where("not done").isEmpty():
-            return state.select(scope, order, "dup")
-        live = F.when(F.col("dup").isNull(), F.col(order))
-        taken = F.when(F.col("done") & F.col("dup").isNull(), F.col(order))
-        firsts = state
-        for key in ("_id", "_name"):
-            sums = state.groupBy(scope, key).agg(F.min(live).alias(f"first{key}"), F.min(taken).alias(f"taken{key}"))
-            firsts = firsts.join(sums, [scope, key])
-        by_id, by_name = F.col("taken_id") < F.col(order), F.col("taken_name") < F.col(order)
-        wins = (F.col("first_id") == F.col(order)) & (F.col("first_name") == F.col(order))
-        # a name conflict decides the reason only when no earlier undecided row can still take the id
-        settled_id = by_id | (F.col("first_id") == F.col(order))
-        new = F.when(by_id, ID).when(by_name & settled_id, NAME)
-        state = firsts.select(
-            scope, order, "_id", "_name",
-            F.when(F.col("done"), F.col("dup")).otherwise(new).alias("dup"),
-            (F.col("done") | new.isNotNull() | wins).alias("done"),
-        ).checkpoint()
-    raise RuntimeError(f"not decided in {most} rounds")
-
-
-def id_name(df: DataFrame, scope: str = "message_id", order: str = "ordinal", fold: int = FOLD) -> DataFrame:
-    """Adds `dup`, the reason of refusal by id or name and city (null: kept)."""
-    keyed = _keyed(df)
-    large = keyed.groupBy(scope).count().where(F.col("count") > fold).select(scope)
-    if large.isEmpty():
-        decided = id_name_fold(keyed, scope, order)
-    else:
-        small = id_name_fold(keyed.join(large, scope, "left_anti"), scope, order)
-        decided = small.union(id_name_rounds(keyed.join(large, scope, "left_semi"), scope, order))
-    return df.join(decided, [scope, order])
+def id_name(df: DataFrame, scope: str = "message_id", order: str = "ordinal") -> DataFrame:
+    """Adds `dup`, the reason of refusal by id or name and city (null: kept). A missing id or name never collides."""
+    sorted_ = _keyed(df).repartition(scope).sortWithinPartitions(scope, order)
+    at, names_out = df.columns.index(scope), [*df.columns, "dup"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, ids, names = object(), set(), set()
+        for batch in batches:
+            reasons = []
+            for key, i, n in zip(batch.column(at).to_pylist(), batch.column("_id").to_pylist(), batch.column("_name").to_pylist(), strict=True):
+                if key != now:
+                    now, ids, names = key, set(), set()
+                why = ID if i is not None and i in ids else NAME if n is not None and n in names else None
+                if why is None:
+                    ids.add(i)
+                    names.add(n)
+                reasons.append(why)
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names_out) - 1], pa.array(reasons, pa.string())], names=names_out)
+
+    return sorted_.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField("dup", T.StringType())]))
 
 
 def contact(df: DataFrame, scope: str = "message_id", order: str = "ordinal") -> DataFrame:
@@ -92,8 +79,10 @@ def contact(df: DataFrame, scope: str = "message_id", order: str = "ordinal") ->
     return marked.withColumn("dup", F.when(F.col("_again"), PHONE).when(repeated, EMAIL)).drop("_p", "_e", "_again")
 
 
-def chain(df: DataFrame, scope: str = "message_id", order: str = "ordinal", fold: int = FOLD) -> DataFrame:
-    """Adds `dup` of both tests, the second over what the first kept."""
-    one = id_name(df, scope, order, fold)
-    kept = contact(one.where("dup is null").drop("dup"), scope, order)
-    return kept.unionByName(one.where("dup is not null"))
+def chain(df: DataFrame, scope: str = "message_id", order: str = "ordinal") -> DataFrame:
+    """Adds `dup` of both tests, the second over what the first kept: refused rows have no phone and e-mail in its windows."""
+    one = id_name(df, scope, order).withColumnRenamed("dup", "_dup")
+    hidden = {c: F.col(c) for c in ("phone", "email")}
+    masked = one.withColumns({f"_{c}": v for c, v in hidden.items()}).withColumns({c: F.when(F.col("_dup").isNull(), v) for c, v in hidden.items()})
+    both = contact(masked, scope, order).withColumns({c: F.col(f"_{c}") for c in hidden})
+    return both.withColumn("dup", F.coalesce("_dup", "dup")).drop("_dup", "_phone", "_email")

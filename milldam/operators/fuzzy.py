@@ -10,8 +10,6 @@ from milldam.dims import ALIASES, CANONICAL
 from milldam.functions.similarity import field_name, jaro_winkler
 from milldam.operators import checks, mapping
 
-#: Distinct lists of field names that are matched on the driver at once; more are matched in Python tasks.
-SIGNATURES = 5_000
 TRACE = "struct<source_field:string,target_field:string,score:double,algorithm:string,candidates:array<struct<field:string,score:double>>>"
 MATCH = f"keys array<string>, pick map<string,string>, low array<string>, scores array<double>, trace array<{TRACE}>"
 
@@ -39,12 +37,21 @@ def best_match(keys: list[str], config: EngineConfig = EngineConfig()) -> tuple:
     return list(keys), pick, low, scores, trace
 
 
+def field_scores(df: DataFrame, name: str = "name") -> DataFrame:
+    """(name, target, score) of each distinct field name with each canonical field."""
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            yield pd.DataFrame([(n, t, match_score(n, t)) for n in pdf[name] for t in CANONICAL], columns=["name", "target", "score"])
+
+    return df.select(name).where(F.col(name).isNotNull()).distinct().mapInPandas(run, "name string, target string, score double")
+
+
 def matches(df: DataFrame, config: EngineConfig = EngineConfig(), keys: str = "keys") -> DataFrame:
     """Distinct lists of names with their match. A list is as long as a record, and lists are few unless names are data."""
     lists = df.select(keys).where(F.col(keys).isNotNull()).distinct()
-    few = [r[0] for r in lists.limit(SIGNATURES + 1).collect()]
-    if len(few) <= SIGNATURES:
-        return df.sparkSession.createDataFrame([best_match(k, config) for k in few], MATCH)
 
     def run(batches):
         import pandas as pd
@@ -87,5 +94,3 @@ def metrics(df: DataFrame) -> DataFrame:
         F.count_if(ok & (F.size("low") > 0)).alias("low_confidence_count"),
         F.count_if(F.col("reason") == "fuzzy_mapping_failure").alias("rejected_by_fuzzy_count"),
     )
-
-

@@ -3,6 +3,7 @@ that is called for batches without a rule."""
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterator
 
@@ -12,6 +13,8 @@ from pyspark.sql import types as T
 
 from milldam.config import EngineConfig
 from milldam.dims import CANONICAL
+from milldam.durable import durable
+from milldam.operators import checks, mapping
 from milldam.operators.fuzzy import best_match
 
 RULE = "source_system string, province_type string, field_mapping map<string,string>, llm_model string, llm_prompt_version string, confidence_score double, sample_schema_signature string, is_active boolean, generated_at timestamp, updated_at timestamp"
@@ -55,13 +58,14 @@ def apply_rule(record: Column, rule: Column) -> Column:
 
 
 def learn(records: list[dict], outputs: list[dict]) -> dict[str, str]:
-    """Source name to target name, where a model's output repeats a record's value; identity for the rest of the output's names."""
+    """Source name to target name, where a model's output repeats a record's value; identity for the rest of the output's names.
+    Of several names with one value each stands for one target, in order."""
     if not outputs or not records:
         return {}
     first = {k: v for k, v in records[0].items() if v not in (None, "")}
     rule = {}
     for target, value in outputs[0].items():
-        source = next((k for k, v in first.items() if v == value), target)
+        source = next((k for k, v in first.items() if v == value and k not in rule), target)
         rule[source] = target
     return rule
 
@@ -107,7 +111,7 @@ def strict_array(x: Column) -> Column:
     """Whether a model's answer is a JSON array of objects and nothing else."""
     parsed = F.from_json(x, "array<variant>")
     objects = F.forall(parsed, lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)))
-    return F.coalesce(F.ltrim(x).startswith("[") & F.try_parse_json(x).isNotNull() & objects, F.lit(False))
+    return F.coalesce(F.ltrim(x).startswith("[") & F.rtrim(x).endswith("]") & F.try_parse_json(x).isNotNull() & objects, F.lit(False))
 
 
 class ModelError(Exception):
@@ -131,46 +135,103 @@ def stub_client(records: list[str]) -> list[dict]:
     return out
 
 
-def call_model(df: DataFrame, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(), record: str = "raw_fragment", pause: Callable[[float], None] | None = None) -> DataFrame:
-    """Adds fields and truthy from the client's answers, and model_error. Records go to it in small batches; with a pause,
-    all in one task, since a rate limit holds for one caller."""
+def call_model(df: DataFrame, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(), record: str = "raw_fragment", pause: Callable[[float], None] | None = None, asked: str | None = None) -> DataFrame:
+    """Adds fields and truthy from the client's answers, and model_error. Records go to it in small batches of one source; with a
+    pause, from config.model_callers tasks, which share the rate limit. asked: a column that says which rows are asked for,
+    the others keep their fields."""
+    import pandas as pd
+
     schema = df.drop("fields", "truthy").schema.add("fields", TEXTS).add("truthy", TEXTS).add("model_error", "string")
     names = [c for c in df.columns if c not in ("fields", "truthy")]
 
+    def answered(part: list[str]) -> tuple[list, list]:
+        """Fields and errors of one batch; where the number of answers is wrong, its records are asked for one by one."""
+        try:
+            answers = client(part)
+            if len(answers) != len(part):
+                singles = [client([x]) for x in part] if len(part) > 1 else [[]]
+                answers = [a[0] if len(a) == 1 else None for a in singles]
+            fields = [a and {k: None if v is None else str(v) for k, v in a.items()} for a in answers]
+            return fields, ["llm_transform_failed" if a is None else None for a in answers]
+        except ModelError as e:
+            return [None] * len(part), [e.reason] * len(part)
+        except Exception:  # noqa: BLE001 - a client may raise anything
+            return [None] * len(part), ["llm_unexpected_error"] * len(part)
+
     def run(batches: Iterator) -> Iterator:
         for pdf in batches:
-            pdf, fields, errors = pdf[names].copy(), [], []
-            for i in range(0, len(pdf), config.model_batch):
-                part = pdf[record].iloc[i : i + config.model_batch].tolist()
-                try:
-                    answers = client(part)
-                    if len(answers) != len(part):
-                        answers = [client([x])[0] for x in part]
-                    fields += [{k: None if v is None else str(v) for k, v in a.items()} for a in answers]
-                    errors += [None] * len(part)
-                except ModelError as e:
-                    fields += [None] * len(part)
-                    errors += [e.reason] * len(part)
-                if pause:
-                    pause(config.model_min_delay_ms / 1000)
+            fields, errors = [None] * len(pdf), [None] * len(pdf)
+            if "fields" in pdf:
+                fields = [f if f is None else dict(f) for f in pdf["fields"]]
+            open_ = [i for i in range(len(pdf)) if pdf["ordinal"].iloc[i] is not None and (asked is None or bool(pdf[asked].iloc[i]))] if "ordinal" in pdf else list(range(len(pdf)))
+            for _, places in pd.Series(open_, dtype=int).groupby(pdf["source"].iloc[open_].tolist() if open_ else [], sort=False):
+                for k in range(0, len(places), config.model_batch):
+                    at = places.iloc[k : k + config.model_batch].tolist()
+                    for i, f, e in zip(at, *answered([pdf[record].iloc[i] for i in at]), strict=True):
+                        fields[i], errors[i] = f, e
+                    if pause:
+                        pause(config.model_callers * config.model_min_delay_ms / 1000)
+            pdf = pdf[names].copy()
             pdf["fields"] = fields
             pdf["truthy"] = [f and {k: v for k, v in f.items() if v} for f in fields]
             pdf["model_error"] = errors
             yield pdf
 
-    return (df.coalesce(1) if pause else df).mapInPandas(run, schema)
+    return (df.repartition(config.model_callers) if pause else df).mapInPandas(run, schema)
 
 
-def by_rule(df: DataFrame, rules: DataFrame, scope: str = "message_id") -> DataFrame:
-    """Adds each batch's rule and, where there is one, the fields that it gives."""
-    found = lookup(batch_keys(df, scope), rules).select(scope, "province_type", "field_mapping")
-    out = df.drop("fields", "truthy").join(found, scope)
+def by_rule(df: DataFrame, rules: DataFrame, scope: str = "message_id", order: str = "ordinal") -> DataFrame:
+    """Adds each batch's type of province and rule and, where there is one, the fields that it gives."""
+    first = F.min_by(province_type(F.col("raw_fragment")), order).over(Window.partitionBy(scope))
+    out = lookup(df.drop("fields", "truthy").withColumn("province_type", F.coalesce(first, F.lit("unknown"))), rules)
     return out.withColumn("fields", F.when(F.col("field_mapping").isNotNull(), apply_rule(F.col("raw_fragment"), F.col("field_mapping"))))
 
 
 def build(df: DataFrame) -> DataFrame:
     """Canonical raw values from mapped fields: raw_id or id, and the other targets by name."""
     value = lambda t: F.coalesce(F.nullif(F.col("fields")["raw_id"], F.lit("")), F.col("fields")["id"]) if t == "raw_id" else F.col("fields")[t]
-    from milldam.operators.mapping import settled
+    return mapping.settled(df, {f"in_{t}": value(t) for t in CANONICAL})
+
+
+def learned_rules(answered: DataFrame, config: EngineConfig, now: Column) -> DataFrame:
+    """A rule for each source and type of province that the model was asked for, from the first record and its answer."""
+    firsts = answered.where("asked and model_error is null and fields is not null").groupBy(F.col("source").alias("source_system"), "province_type")
+    pairs = firsts.agg(F.min_by(F.struct(F.col("raw_fragment").alias("record"), F.col("fields").alias("answer")), F.struct("message_id", "ordinal")).alias("p"))
+    provider = config.model_provider
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
 
-    return settled(df, {f"in_{t}": value(t) for t in CANONICAL})
+        for pdf in batches:
+            rows = []
+            for source, kind, pair in zip(pdf["source_system"], pdf["province_type"], pdf["p"], strict=True):
+                record, answer = json.loads(pair["record"]), dict(pair["answer"])
+                texts = {k: None if v is None else str(v) for k, v in record.items()}
+                rows.append((source, kind, learn([texts], [answer]), provider, "1.0", 0.95, hashlib.sha256(json.dumps(sorted(answer)).encode()).hexdigest()[:16], True))
+            yield pd.DataFrame(rows, columns=["source_system", "province_type", "field_mapping", "llm_model", "llm_prompt_version", "confidence_score", "sample_schema_signature", "is_active"])
+
+    return pairs.mapInPandas(run, RULE.split(", generated_at")[0]).withColumns({"generated_at": now, "updated_at": now})
+
+
+def transformed(fanned: DataFrame, rules: DataFrame | None = None, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(mode="LLM"), now: Column | None = None, pause: Callable[[float], None] | None = None) -> dict[str, DataFrame]:
+    """The whole way of a batch by model: rows with their reason of rejection, the rules after it, and its metrics.
+
+    Batches with an active rule for their source and type of province are mapped by it; the model is asked for the others, and
+    a rule is learned from what it gives. The answers are written down, so that each record is asked for once.
+    """
+    spark = fanned.sparkSession
+    now = F.current_timestamp() if now is None else now
+    none = spark.createDataFrame([], RULE)
+    rules = none if rules is None else none.unionByName(rules, allowMissingColumns=True)
+    ruled = by_rule(fanned, rules).withColumn("asked", F.col("field_mapping").isNull() & F.col("ordinal").isNotNull())
+    answered = durable(call_model(ruled, client, config, pause=pause, asked="asked"))
+    cleaned = mapping.cleaned(build(answered))
+    rows = checks.checked(cleaned, "llm_pydantic_validation_error")
+    blank = F.coalesce(F.col("name_given"), F.lit("")) == ""
+    reason = F.when(F.col("model_error").isNotNull(), F.col("model_error")).when(F.col("raw_id").isNull(), "missing_raw_id").when(blank, "missing_name").otherwise(F.col("reason"))
+    rows = rows.withColumn("reason", reason)
+    metrics = rows.where("ordinal is not null").groupBy("message_id").agg(F.max("asked").alias("asked"), F.max("model_error").alias("error"), F.count_if(F.col("reason") == "llm_pydantic_validation_error").alias("bad")).agg(
+        F.count_if(~F.col("asked")).alias("llm_rule_cache_hit"), F.count_if("asked").alias("llm_rule_cache_miss"), F.count_if(F.col("asked") & F.col("error").isNull()).alias("llm_rule_generation_calls"),
+        F.coalesce(F.sum("bad"), F.lit(0)).alias("llm_pydantic_validation_errors"), F.max("error").alias("llm_last_error_reason"),
+    )
+    return {"rows": rows.drop("asked", "field_mapping"), "rules": upsert_rules(rules, learned_rules(answered, config, now), now), "metrics": metrics}

@@ -60,8 +60,8 @@ def supported(source: str, form: str) -> bool:
     return spec is not None and form in spec.formats
 
 
-def rename_to_table(df: DataFrame) -> DataFrame:
-    """Canonical columns under the stored table's names, with geometry and the overflow as JSON."""
+def rename_to_table(df: DataFrame, *more: Column) -> DataFrame:
+    """Canonical columns under the stored table's names, with geometry and the overflow as JSON, and more columns if named."""
     return df.select(
         F.col("source_system").alias("fuente_origen"),
         F.col("station_id").alias("id_en_fuente"),
@@ -74,6 +74,7 @@ def rename_to_table(df: DataFrame) -> DataFrame:
         F.col("address").alias("direccion"),
         F.col("postal_code").alias("codigo_postal"),
         overflow(df).alias("datos_extra"),
+        *more,
     )
 
 

@@ -6,22 +6,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from milldam.config import EngineConfig
-from milldam.operators import checks, dedup, mapping
+from milldam.operators import checks, dedup, fuzzy, learned, mapping
 from milldam.sources import payloads
 
 STATION = ("station_id", "name", "source_system", "address", "city", "province", "postal_code", "latitude", "longitude", "phone", "email", "raw_id")
 
 
-def normalise(messages: DataFrame, strict: bool = True) -> DataFrame:
-    """One row for each record, with its reason of rejection (null: none yet). Messages that are dead are left out."""
+def normalise(messages: DataFrame, strict: bool = True, config: EngineConfig = EngineConfig(), rules: DataFrame | None = None) -> DataFrame:
+    """One row for each record, with its reason of rejection (null: none yet), mapped as config.mode says. Messages that are
+    dead are left out."""
     alive = payloads.check_messages(messages).where("dead is null").drop("dead")
     fanned = payloads.fan_out(alive, strict)
+    if config.mode == "FUZZY":
+        return fuzzy.checked(fuzzy.mapped(fanned, config))
+    if config.mode == "LLM":
+        return learned.transformed(fanned, rules, config=config)["rows"]
     return checks.checked(mapping.cleaned(mapping.mapped(fanned)))
 
 
-def deduplicated(rows: DataFrame, scope: str = "message_id", fold: int = dedup.FOLD) -> DataFrame:
+def deduplicated(rows: DataFrame, scope: str = "message_id") -> DataFrame:
     """Reasons of duplicates added to those of the checks."""
-    good = dedup.chain(rows.where("reason is null and ordinal is not null"), scope, "ordinal", fold)
+    good = dedup.chain(rows.where("reason is null and ordinal is not null"), scope, "ordinal")
     return good.withColumn("reason", F.col("dup")).drop("dup").unionByName(rows.where("reason is not null or ordinal is null"))
 
 
@@ -46,10 +51,14 @@ def cardinality_violations(rows: DataFrame, scope: str = "message_id") -> DataFr
     return rows.where("ordinal is not null").groupBy(scope).agg(F.count("*").alias("stations")).where("stations > 1")
 
 
-def run(messages: DataFrame, config: EngineConfig = EngineConfig(), strict: bool = True) -> dict[str, DataFrame]:
-    """All three outputs of a batch of raw messages."""
-    rows = deduplicated(normalise(messages, strict), config.dedup_scope)
-    return route(rows) | {"dead": payloads.check_messages(messages).where("dead is not null")}
+def run(messages: DataFrame, config: EngineConfig = EngineConfig(), strict: bool = True, rules: DataFrame | None = None) -> dict[str, DataFrame]:
+    """All three outputs of a batch of raw messages. By names, accepted stations with a doubtful field are reported among the
+    rejected ones as well."""
+    found = normalise(messages, strict, config, rules)
+    out = route(deduplicated(found, config.dedup_scope))
+    if config.mode == "FUZZY":
+        out["rejected"] = out["rejected"].unionByName(route(fuzzy.low_confidence_events(found))["rejected"])
+    return out | {"dead": payloads.check_messages(messages).where("dead is not null")}
 
 
 def counters(rows: DataFrame) -> DataFrame:

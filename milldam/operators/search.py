@@ -17,15 +17,29 @@ def by_name(df: DataFrame, query: str, column: str = "nombre", least: float = 0.
 
 
 def name_join(df: DataFrame, queries: DataFrame, key: str, column: str = "nombre", least: float = 0.3) -> DataFrame:
-    """Rows for each of many queries (qid, query), by an inverted index of trigrams: only rows that share one are compared."""
-    ours = df.select(key, F.size(trigrams(F.col(column))).alias("a"), F.explode(trigrams(F.col(column))).alias("g"))
-    theirs = queries.select("qid", F.size(trigrams(F.col("query"))).alias("b"), F.explode(trigrams(F.col("query"))).alias("g"))
-    shared = ours.join(theirs, "g").groupBy("qid", key, "a", "b").agg(F.count("*").alias("n"))
-    return shared.withColumn("similarity", F.col("n") / (F.col("a") + F.col("b") - F.col("n"))).where(F.col("similarity") >= least).select("qid", key, "similarity")
+    """Rows for each of many queries (qid, query) by an inverted index of their rarest trigrams.
+
+    Of two names with that similarity, of a and b trigrams, neither has less than `least` times the other's, and when trigrams
+    are ordered by rarity they share one of the first a - ceil(least * a) + 1 and b - ceil(least * b) + 1. Only such pairs are
+    compared. A name's place in the index depends on the name alone, so equal names are compared once.
+    """
+    names = df.select(F.col(column).alias("name")).union(queries.select("query")).where("name is not null").distinct().withColumn("g", trigrams(F.col("name"))).where(F.size("g") > 0)
+    rarity = names.select(F.explode("g").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    ranked = names.select("name", F.explode("g").alias("t")).join(rarity, "t").groupBy("name").agg(F.array_sort(F.collect_list(F.struct("n", "t"))).alias("g"))
+    ranked = ranked.withColumns({"z": F.size("g"), "g": F.transform("g", lambda x: x.t)})
+    first = F.slice("g", 1, (F.col("z") - F.ceil(F.col("z") * least - 1e-9) + 1).cast("int"))
+    keyed = lambda side, text, x: side.select(text).distinct().withColumnRenamed(text, "name").where("name is not null").join(ranked, "name").select(F.col("name").alias(f"n{x}"), F.col("g").alias(f"g{x}"), F.col("z").alias(f"z{x}"), F.explode(first).alias("t"))
+    sized = (F.col("za") >= F.col("zb") * least - 1e-9) & (F.col("zb") >= F.col("za") * least - 1e-9)
+    pairs = keyed(df, column, "a").join(keyed(queries, "query", "b"), "t").where(sized)
+    # a pair is compared under the first trigram that both have in front
+    lead = F.element_at(F.array_intersect(F.slice("ga", 1, (F.col("za") - F.ceil(F.col("za") * least - 1e-9) + 1).cast("int")), F.slice("gb", 1, (F.col("zb") - F.ceil(F.col("zb") * least - 1e-9) + 1).cast("int"))), 1)
+    both = F.size(F.array_intersect("ga", "gb"))
+    found = pairs.where(F.col("t") == lead).withColumn("similarity", both / (F.col("za") + F.col("zb") - both)).where(F.col("similarity") >= least).select("na", "nb", "similarity")
+    return df.select(key, F.col(column).alias("na")).join(found, "na").join(queries.select("qid", F.col("query").alias("nb")), "nb").select("qid", key, "similarity")
 
 
 def within(df: DataFrame, lat0: float, lon0: float, metres: float, lat: str = "latitud", lon: str = "longitud") -> DataFrame:
-    """Rows within a distance; a box of latitudes and longitudes comes first, which reaches the scan."""
+    """Rows within a distance; a box of latitudes and longitudes comes first, which reaches the scan where these are stored columns."""
     dlat = math.degrees(metres / EARTH_M)
     out = df.where(F.col(lat).between(lat0 - dlat, lat0 + dlat))
     edge = max(abs(lat0 - dlat), abs(lat0 + dlat))

@@ -1,8 +1,7 @@
 """The keyed table of stations and its audit log, kept on file tables without MERGE.
 
-A table is a folder of generations; the file CURRENT names the one that holds. An upsert joins the batch with the
-current rows, writes the next generation and then moves CURRENT, so a reader or a restarted batch never sees half of
-it. A generation remembers the batch that made it; the same batch again changes nothing.
+An upsert joins the batch with the current rows and writes the next state, so a reader or a restarted batch never sees half
+of it; the same batch again changes nothing.
 """
 
 from __future__ import annotations
@@ -10,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from milldam.operators import checks
+
 KEYS = ("fuente_origen", "id_en_fuente")
 # Columns that an upsert overwrites.
 UPDATED = ("nombre", "latitud", "longitud", "location", "telefono", "email", "direccion", "codigo_postal", "datos_extra")
@@ -51,7 +52,9 @@ def with_ids(table: DataFrame, name: str = "id") -> DataFrame:
 
 def audit_success(accepted: DataFrame, batch_id: int, now: Column) -> DataFrame:
     """One log row for each station stored."""
-    fallback = F.concat_ws("-", F.lit("fallback"), F.col("source_system"), F.coalesce(F.nullif(F.col("raw_id"), F.lit("")), F.col("station_id")))
+    stamp = F.date_format(now, "yyyyMMddHHmmssSSS")
+    fallback = F.concat_ws("-", F.lit("fallback"), F.col("source_system"), F.coalesce(F.nullif(F.col("raw_id"), F.lit("")), F.col("station_id")), stamp)
+    extra = [F.col(c) for c in ("timing_context", "injection") if c in accepted.columns]
     return accepted.select(
         F.coalesce(F.nullif(F.col("message_id").cast("string"), F.lit("")), fallback).alias("message_id"),
         F.lit("itv_stations").alias("domain"),
@@ -59,7 +62,7 @@ def audit_success(accepted: DataFrame, batch_id: int, now: Column) -> DataFrame:
         F.lit("success").alias("status"),
         F.lit(None).cast("string").alias("error_message"),
         now.alias("processed_at"),
-        F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(None).cast("string").alias("error_in_step")).alias("metadata"),
+        F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(None).cast("string").alias("error_in_step"), *extra).alias("metadata"),
     )
 
 
@@ -74,9 +77,12 @@ def new_log_rows(log: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def revalidated(raw: DataFrame, schema: str, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Messages at the sink that fit the schema, and those that go to the dead letters."""
+    """Messages at the sink that fit the canonical schema, and those that go to the dead letters."""
     parsed = raw.withColumn("_v", F.from_json(value, schema, {"mode": "PERMISSIVE"}))
-    fits = F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False)) & F.col("_v.station_id").isNotNull() & F.col("_v.name").isNotNull()
+    known = parsed.schema["_v"].dataType.names
+    fields = {c: F.col(f"_v.{c}") if c in known else F.lit(None).cast("double" if c in ("latitude", "longitude") else "string") for c in checks.FIELDS}
+    fields["name_given"] = F.coalesce(F.col("_v.name"), F.lit(""))
+    fits = F.coalesce(F.schema_of_variant(F.try_parse_json(value)).startswith("OBJECT") & checks.schema_ok(fields), F.lit(False))
     return parsed.where(fits).select("_v.*"), parsed.where(~fits).drop("_v")
 
 
@@ -102,38 +108,40 @@ def evolved(*generations: DataFrame) -> DataFrame:
 
 
 class FileTable:
-    """Generations of a table under one path, in any file system that Spark writes to."""
+    """States of a table under one path, a Parquet folder for each batch, in any file system that Spark writes to.
+
+    Spark marks a folder as complete when all is written; the complete one with the highest batch holds. A write that ends
+    early leaves the state before it in force.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
-        self.fs = spark._jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self.root = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        self.fs = self.root.getFileSystem(spark._jsc.hadoopConfiguration())
 
-    def _path(self, name: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+    def _states(self) -> list[tuple[int, object]]:
+        """Batches with a folder, the newest first."""
+        if not self.fs.exists(self.root):
+            return []
+        found = [x.getPath() for x in self.fs.listStatus(self.root)]
+        return sorted([(int(p.getName()[1:]), p) for p in found if p.getName()[1:].isdigit()], key=lambda x: -x[0])
 
-    def current(self) -> tuple[int, int]:
-        """The generation that holds and the batch that made it; (-1, -1): none yet."""
-        if not self.fs.exists(self._path("CURRENT")):
-            return -1, -1
-        a, b = self.spark.read.text(f"{self.path}/CURRENT").first()[0].split()
-        return int(a), int(b)
+    def current(self) -> int:
+        """The batch whose state holds; -1: none yet."""
+        whole = lambda p: self.fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))
+        return next((batch for batch, p in self._states() if whole(p)), -1)
 
     def read(self) -> DataFrame | None:
-        generation, _ = self.current()
-        return self.spark.read.parquet(f"{self.path}/g{generation}") if generation >= 0 else None
+        batch = self.current()
+        return self.spark.read.parquet(f"{self.path}/b{batch}") if batch >= 0 else None
 
     def write(self, df: DataFrame, batch_id: int) -> bool:
-        """Writes the next generation and makes it hold; False if this batch has done so before."""
-        generation, last = self.current()
+        """Writes the state after a batch; False if that or a later one holds already. The state before is kept for readers."""
+        last = self.current()
         if batch_id <= last:
             return False
-        df.write.mode("overwrite").parquet(f"{self.path}/g{generation + 1}")
-        fresh, marker = self._path("CURRENT.new"), self._path("CURRENT")
-        out = self.fs.create(fresh, True)
-        out.write(bytearray(f"{generation + 1} {batch_id}\n".encode()))
-        out.close()
-        self.fs.delete(marker, False)
-        self.fs.rename(fresh, marker)
-        if generation >= 1:
-            self.fs.delete(self._path(f"g{generation - 1}"), True)
+        df.write.mode("overwrite").parquet(f"{self.path}/b{batch_id}")
+        for batch, folder in self._states():
+            if batch < last:
+                self.fs.delete(folder, True)
         return True

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from milldam.config import EngineConfig
 from milldam.dims import ALIASES, CANONICAL, REGISTRY
-
+from milldam.durable import shared_folder
 from milldam.functions.similarity import field_name
 from milldam.operators import analytics, fuzzy, generate, learned, routing
 from milldam.plans.registry import Registry
-from milldam.plans.views import messages, stations_sql, table
+from milldam.plans.views import CONTACT_CTE, DEDUP_CTE, messages, stations_sql, table
 from milldam.sources import payloads
 
 query = Registry()
@@ -105,8 +106,10 @@ def _names(spark: SparkSession) -> DataFrame:
 
 @query(f"WITH {_SCORES} SELECT name, target, ROUND(score, 4) AS score FROM scores")
 def fuzzy_field_scores(spark, sf_dir):
-    rows = [(n, t, fuzzy.match_score(n, t)) for n in NAMES for t in CANONICAL]
-    return spark.createDataFrame(rows, "name string, target string, score double").withColumn("score", F.round("score", 4))
+    """Field names stand in records of a table; each distinct one is scored."""
+    place = F.col("n_nationkey") % len(NAMES) + 1
+    rows = table(spark, sf_dir, "nation").select(F.element_at(F.array(*[F.lit(n) for n in NAMES]), place.cast("int")).alias("name"))
+    return fuzzy.field_scores(rows).withColumn("score", F.round("score", 4))
 
 
 @query(f"WITH {_SCORES}, {_RANKED} SELECT target, name AS source_field, ROUND(score, 4) AS score FROM ranked WHERE rn = 1")
@@ -178,9 +181,11 @@ def rule_invalidate(spark, sf_dir):
     return learned.listing(left).select("source_system", "province_type")
 
 
-@query("""SELECT event_id, LEFT(SHA256('["k"]'), 16) AS signature FROM events""")
+@query("""SELECT event_id, LEFT(SHA256(CASE event_id % 4 WHEN 0 THEN '["k"]' WHEN 1 THEN '["a", "k"]' WHEN 2 THEN '["b", "k", "z"]' ELSE '[]' END), 16) AS signature FROM events""")
 def schema_signature(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", learned.signature(F.col("props")).alias("signature"))
+    four, inner = F.col("event_id") % 4, F.regexp_extract("props", r"^\{(.*)\}$", 1)
+    record = F.when(four == 0, F.col("props")).when(four == 1, F.concat(F.lit("{"), inner, F.lit(',"a":1}'))).when(four == 2, F.concat(F.lit('{"z":[1],'), inner, F.lit(',"b":null}'))).otherwise("{}")
+    return table(spark, sf_dir, "events").select("event_id", learned.signature(record).alias("signature"))
 
 
 @query(stations_sql("SELECT mid, seq, station_id, name, city, phone FROM numbered WHERE source = 'valencia'", _NUMBERED))
@@ -249,8 +254,114 @@ def stream_vs_batch(spark, sf_dir):
         stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     rows = spark.sql(LOG, events=stream)
     sums = rows.groupBy("source").agg(F.count("*").alias("total"), F.count_if(F.col("status") == "success").alias("successful"))
-    shared = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    shared = shared_folder(spark)
     name = "stream_" + uuid.uuid4().hex
     run = sums.writeStream.outputMode("complete").format("memory").queryName(name).option("checkpointLocation", f"{shared}/{name}").trigger(availableNow=True).start()
     run.awaitTermination()
     return spark.table(name)
+
+
+# ---- routes: by rules, names, model, and as a stream ------------------------------------------------------------------
+
+_ONE = "source || '-' || CAST(message_id AS VARCHAR)"
+_ENDED = (
+    DEDUP_CTE.format(keep="k", scope=_ONE, source="reasoned WHERE reason IS NULL"),
+    "kept AS (SELECT c.* FROM reasoned c JOIN walk ON c.k = walk.k WHERE walk.dup IS NULL)",
+    CONTACT_CTE.format(scope=_ONE, source="kept"),
+    "ended AS (SELECT k, dup FROM walk WHERE dup IS NOT NULL UNION ALL SELECT k, dup2 FROM ranked_e)",
+)
+
+
+def _routes_sql(reason: str = "reason", where: str = "TRUE") -> str:
+    return stations_sql(
+        f"SELECT source, CASE WHEN reason IS NULL AND dup IS NULL THEN 'accepted' ELSE 'rejected' END AS route, COALESCE({reason}, dup, '-') AS reason, COUNT(*) AS n FROM reasoned LEFT JOIN ended ON reasoned.k = ended.k WHERE {where} GROUP BY 1, 2, 3",
+        *_ENDED,
+        recursive=True,
+    )
+
+
+def _routes(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Stations by source, route and reason."""
+    good = accepted.select(F.col("source_system").alias("source"), F.lit("accepted").alias("route"), F.lit("-").alias("reason"))
+    return good.unionByName(rejected.select("source", F.lit("rejected").alias("route"), "reason")).groupBy("source", "route", "reason").agg(F.count("*").alias("n"))
+
+
+@query(_routes_sql())
+def route_by_rules(spark, sf_dir):
+    out = routing.run(messages(spark, sf_dir))
+    return _routes(out["accepted"], out["rejected"])
+
+
+@query(_routes_sql("CASE WHEN reason IN ('missing_raw_id', 'schema_validation_failed') THEN 'fuzzy_mapping_failure' ELSE reason END", "source = 'valencia'"))
+def route_by_names(spark, sf_dir):
+    out = routing.run(messages(spark, sf_dir).where("source = 'valencia'"), EngineConfig(mode="FUZZY"))
+    return _routes(out["accepted"], out["rejected"])
+
+
+@query(_routes_sql("CASE WHEN reason = 'schema_validation_failed' THEN CASE WHEN name_given = '' THEN 'missing_name' ELSE 'llm_pydantic_validation_error' END ELSE reason END", "source = 'valencia'"))
+def route_by_model(spark, sf_dir):
+    """The stand-in for a model maps what no learned rule does."""
+    out = routing.run(messages(spark, sf_dir).where("source = 'valencia'"), EngineConfig(mode="LLM"))
+    return _routes(out["accepted"], out["rejected"])
+
+
+@query(
+    stations_sql(
+        "SELECT 'valencia' AS source_system, kind AS province_type, TRUE AS is_active, 'name' AS of_nombre FROM (SELECT COALESCE(LOWER(NULLIF(TRIM(in_province), '')), 'unknown') AS kind, ROW_NUMBER() OVER (PARTITION BY message_id ORDER BY ordinal) AS place FROM raw_st WHERE source = 'valencia') WHERE place = 1 AND kind <> 'madrid' GROUP BY kind UNION ALL SELECT 'valencia', 'madrid', TRUE, 'renamed'"
+    )
+)
+def model_rules(spark, sf_dir):
+    """Rules after a batch: one is known before, the others are learned from the model's answers."""
+    known = spark.createDataFrame([("valencia", "madrid", {"codigo": "raw_id", "nombre": "renamed"}, True)], "source_system string, province_type string, field_mapping map<string,string>, is_active boolean")
+    out = learned.transformed(payloads.fan_out(messages(spark, sf_dir).where("source = 'valencia'")), known)
+    return learned.listing(out["rules"]).select("source_system", "province_type", "is_active", F.col("field_mapping")["nombre"].alias("of_nombre"))
+
+
+_MESSAGES = {
+    1: ('{"other":1}', "rejected", "message", "no_stations_extracted"),
+    2: ('{"codigo":"@","nombre":"x"}', "rejected", "station", "insufficient_contact_or_location"),
+    3: ('{"codigo":"@","nombre":"ITV @","direccion":"Calle @","poblacion":"Valencia","provincia":"Valencia","codigo_postal":"46001","telefono":"961234567"}', "accepted", "station", "-"),
+    0: ("", "dead", "message", "payload_missing"),
+}
+
+
+@query("SELECT r.route, r.level, r.reason, COUNT(*) AS n FROM orders JOIN (VALUES " + ", ".join(f"({k}, '{a}', '{b}', '{c}')" for k, (_, a, b, c) in _MESSAGES.items()) + ") r(kind, route, level, reason) ON o_orderkey % 4 = r.kind GROUP BY 1, 2, 3")
+def route_messages(spark, sf_dir):
+    """All three ways, at the level of messages and of stations."""
+    k = F.col("o_orderkey")
+    text = F.lit("")
+    for kind, (shape, *_) in _MESSAGES.items():
+        text = F.when(k % 4 == kind, F.replace(F.lit(shape), F.lit("@"), k.cast("string"))).otherwise(text)
+    raw = table(spark, sf_dir, "orders").select(k.cast("string").alias("message_id"), F.lit("valencia").alias("source"), F.lit("json").alias("format"), text.alias("payload"))
+    out = routing.run(raw)
+    ways = [
+        out["accepted"].select(F.lit("accepted").alias("route"), F.lit("station").alias("level"), F.lit("-").alias("reason")),
+        out["rejected"].select(F.lit("rejected"), "rejection_level", "reason"),
+        out["dead"].select(F.lit("dead"), F.lit("message"), "dead"),
+    ]
+    return ways[0].union(ways[1]).union(ways[2]).groupBy("route", "level", "reason").agg(F.count("*").alias("n"))
+
+
+@query("SELECT COUNT(*) FILTER (o_orderkey % 4 = 3) AS processed, COUNT(*) FILTER (o_orderkey % 4 = 2) AS stations_rejected, COUNT(*) FILTER (o_orderkey % 4 = 1) AS messages_rejected FROM orders")
+def routing_counters(spark, sf_dir):
+    k = F.col("o_orderkey")
+    text = F.lit(None).cast("string")
+    for kind, (shape, *_) in _MESSAGES.items():
+        text = F.when(k % 4 == kind, F.replace(F.lit(shape), F.lit("@"), k.cast("string"))).otherwise(text)
+    raw = table(spark, sf_dir, "orders").select(k.cast("string").alias("message_id"), F.lit("valencia").alias("source"), F.lit("json").alias("format"), text.alias("payload"))
+    return routing.counters(routing.deduplicated(routing.normalise(raw)))
+
+
+@query(_routes_sql())
+def stream_routes(spark, sf_dir):
+    """The same messages from files, through the stream and its sinks."""
+    import uuid
+
+    from milldam.streaming import pipeline
+
+    folder = f"{shared_folder(spark)}/stream_routes_{uuid.uuid4().hex}"
+    messages(spark, sf_dir).write.json(f"{folder}/in")
+    run = pipeline.start(pipeline.read_messages(spark, f"{folder}/in"), f"{folder}/out", f"{folder}/state", availableNow=True)
+    run.awaitTermination()
+    accepted = spark.read.schema("source_system string").json(f"{folder}/out/normalized")
+    return _routes(accepted, spark.read.schema("source string, reason string").json(f"{folder}/out/rejected"))

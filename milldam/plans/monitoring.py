@@ -9,6 +9,7 @@ from milldam.operators import analytics as A
 from milldam.plans.registry import Registry
 from milldam.plans.stations import reasoned
 from milldam.plans.views import log, log_sql, stations_sql, table
+from milldam.sources.payloads import numbered_by
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql
@@ -67,9 +68,23 @@ def status_lookup(spark, sf_dir):
     return A.status_lookup(log(spark, sf_dir), 77).select("message_id", "source", "status", "total_ms")
 
 
-@query(log_sql("SELECT message_id, metadata->>'$.rejection_summary' AS rejection_summary FROM log WHERE message_id = 77"))
+@query(log_sql("SELECT message_id, '{\"missing_' || source || '\":' || CAST(message_id % 3 + 1 AS VARCHAR) || '}' AS rejection_summary FROM log WHERE message_id = 77"))
 def rejection_details(spark, sf_dir):
-    return A.rejection_details(log(spark, sf_dir), 77)
+    summary = F.create_map(F.concat(F.lit("missing_"), "source"), F.col("message_id") % 3 + 1)
+    rows = log(spark, sf_dir).withColumn("metadata", F.to_json(F.struct(summary.alias("rejection_summary"))))
+    return A.rejection_details(rows, 77)
+
+
+@query(log_sql("SELECT COUNT(*) AS sent, ROUND((EPOCH_US(MAX(processed_at)) - EPOCH_US(MIN(processed_at))) / 1e6, 3) AS seconds, ROUND(COUNT(*) / ((EPOCH_US(MAX(processed_at)) - EPOCH_US(MIN(processed_at))) / 1e6), 2) AS per_second FROM log"))
+def load_throughput(spark, sf_dir):
+    rows = log(spark, sf_dir).withColumn("at", F.col("processed_at").cast("timestamp"))
+    return A.throughput(rows, "at", "at").withColumn("seconds", F.round("seconds", 3))
+
+
+@query("SELECT COUNT(*) AS messages, CAST((SELECT COUNT(*) FROM conversations) AS BIGINT) AS parse_errors FROM (SELECT 1 FROM events UNION ALL SELECT 1 FROM conversations)")
+def reject_parse_errors(spark, sf_dir):
+    both = table(spark, sf_dir, "events").select(F.col("props").alias("value")).union(table(spark, sf_dir, "conversations").select("text"))
+    return A.parse_errors(both)
 
 
 _STAMPS = {
@@ -180,14 +195,11 @@ def p95_nearest_rank(spark, sf_dir):
 
 @query(
     log_sql(
-        "SELECT source, CAST(SUM(size) AS BIGINT) AS total, CAST(SUM(LEAST(outputs, size)) AS BIGINT) AS valid, ROUND(SUM(LEAST(outputs, size)) * 1.0 / SUM(size), 4) AS ratio, ROUND(SUM(batch_ms) * 1.0 / SUM(size), 4) AS mean_ms FROM (SELECT source, i - i % 5 AS b, COUNT(*) AS size, MAX(outputs) AS outputs, MAX(batch_ms) AS batch_ms FROM (SELECT source, ROW_NUMBER() OVER (PARTITION BY source ORDER BY message_id) - 1 AS i, message_id % 4 AS outputs, total_ms AS batch_ms FROM log WHERE message_id < 3000) GROUP BY 1, 2) GROUP BY source"
+        "SELECT source, CAST(SUM(size) AS BIGINT) AS total, CAST(SUM(LEAST(outputs, size)) AS BIGINT) AS valid, ROUND(SUM(LEAST(outputs, size)) * 1.0 / SUM(size), 4) AS ratio, ROUND(SUM(batch_ms) * 1.0 / SUM(size), 4) AS mean_ms FROM (SELECT source, i - i % 5 AS b, COUNT(*) AS size, MAX(outputs) AS outputs, MAX(batch_ms) AS batch_ms FROM (SELECT source, ROW_NUMBER() OVER (PARTITION BY source ORDER BY message_id) - 1 AS i, message_id % 4 AS outputs, total_ms AS batch_ms FROM log) GROUP BY 1, 2) GROUP BY source"
     )
 )
 def eval_microbatch(spark, sf_dir):
-    from pyspark.sql import Window
-
-    some = log(spark, sf_dir).where("message_id < 3000")
-    rows = some.select("source", (F.row_number().over(Window.partitionBy("source").orderBy("message_id")) - 1).alias("i"), (F.col("message_id") % 4).alias("outputs"), F.col("total_ms").alias("batch_ms"))
+    rows = numbered_by(log(spark, sf_dir), "message_id", ("source",)).select("source", F.col("_place").alias("i"), (F.col("message_id") % 4).alias("outputs"), F.col("total_ms").alias("batch_ms"))
     return A.evaluation(rows, 5)
 
 

@@ -112,8 +112,9 @@ def dedup_id_name(spark, sf_dir):
 
 @query(stations_sql("SELECT k, dup FROM walk", DEDUP_CTE.format(keep="k", scope="message_id", source="clean WHERE raw_id IS NOT NULL"), recursive=True))
 def dedup_id_name_rounds(spark, sf_dir):
-    """The way that large messages take, over all of them."""
-    return dedup.id_name(_spread(cleaned(spark, sf_dir)), fold=1).select("k", "dup")
+    """The other way, by an aggregate for each message."""
+    rows = _spread(cleaned(spark, sf_dir))
+    return dedup.id_name_fold(rows.withColumn("ordinal", F.struct("ordinal", "k"))).select("ordinal.k", "dup")
 
 
 @query(stations_sql("SELECT k, dup2 AS dup FROM ranked_e", CONTACT_CTE.format(scope="message_id", source="clean")))
@@ -157,14 +158,16 @@ def table_mapping(spark, sf_dir):
 
 # ---- storing ---------------------------------------------------------------------------------------------------------
 
-_V1 = "v1 AS (SELECT * FROM clean WHERE raw_id IS NOT NULL AND k % 2 = 0)"
-_V2 = "v2 AS (SELECT * FROM clean WHERE raw_id IS NOT NULL AND k % 3 = 0)"
+_V1 = "v1 AS (SELECT * FROM clean WHERE raw_id IS NOT NULL)"
+_V2 = "v2 AS (SELECT * REPLACE (CASE WHEN k % 3 = 0 THEN station_id || '-2' ELSE station_id END AS station_id) FROM clean WHERE raw_id IS NOT NULL)"
 _LAST = "l{v} AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY source, station_id ORDER BY k DESC) AS z FROM v{v}) WHERE z = 1)"
 
 
 def _version(spark, sf_dir, by: int) -> DataFrame:
-    rows = cleaned(spark, sf_dir).where(f"raw_id is not null and k % {by} = 0")
-    return rows.select(F.col("source").alias("fuente_origen"), F.col("station_id").alias("id_en_fuente"), F.concat_ws("/", F.lit(str(by)), "name").alias("nombre"), F.col("phone").alias("telefono"), "k")
+    """All stations; in version 3 a third of them have new keys."""
+    rows = cleaned(spark, sf_dir).where("raw_id is not null")
+    key = F.when(F.col("k") % 3 == 0, F.concat("station_id", F.lit("-2"))).otherwise(F.col("station_id")) if by == 3 else F.col("station_id")
+    return rows.select(F.col("source").alias("fuente_origen"), key.alias("id_en_fuente"), F.concat_ws("/", F.lit(str(by)), "name").alias("nombre"), F.col("phone").alias("telefono"), "k")
 
 
 def _stored(spark, sf_dir) -> DataFrame:
@@ -192,7 +195,7 @@ def upsert_final_state(spark, sf_dir):
 
 @query(stations_sql("SELECT 'm' || CAST(MIN(k) AS VARCHAR) AS message_id, source AS source_system, 'success' AS status FROM v1 GROUP BY source, message_id", _V1))
 def audit_rows(spark, sf_dir):
-    rows = cleaned(spark, sf_dir).where("raw_id is not null and k % 2 = 0")
+    rows = cleaned(spark, sf_dir).where("raw_id is not null")
     firsts = rows.withColumn("first", F.concat(F.lit("m"), F.min("k").over(_by("source", "message_id")).cast("string")))
     accepted = firsts.select(F.col("first").alias("message_id"), "source_system", "raw_id", "station_id")
     written = store.new_log_rows(spark.createDataFrame([], "message_id string"), store.audit_success(accepted, 1, F.lit("2024-01-01").cast("timestamp")))
@@ -245,10 +248,10 @@ def radius_search(spark, sf_dir):
     return found.select("k", F.round(F.col("metres") / 1000, 3).alias("km"))
 
 
-@query(stations_sql("SELECT k FROM clean WHERE city = 'FRANCE' AND raw_id IS NOT NULL"))
+@query(stations_sql("SELECT k FROM clean WHERE city = 'NATION_7' AND raw_id IS NOT NULL"))
 def json_city_filter(spark, sf_dir):
     rows = cleaned(spark, sf_dir).where("raw_id is not null")
-    return search.json_field(rows.withColumn("datos_extra", mapping.overflow(rows)), "datos_extra", "$.city", "FRANCE").select("k")
+    return search.json_field(rows.withColumn("datos_extra", mapping.overflow(rows)), "datos_extra", "$.city", "NATION_7").select("k")
 
 
 @query(stations_sql("SELECT COUNT(*) AS n FROM clean WHERE source IN (SELECT source FROM clean WHERE CAST(message_id AS VARCHAR) LIKE '1%')"))

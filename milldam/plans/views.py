@@ -83,7 +83,7 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     col = lambda t: F.col(f"in_{t}")
     escaped = lambda t: F.replace(F.replace(col(t), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     xml = F.concat(F.lit("<station>"), *[F.coalesce(F.concat(F.lit(f"<{names['catalunya'][t]}>"), escaped(t), F.lit(f"</{names['catalunya'][t]}>")), F.lit("")) for t in FIELDS], F.lit("</station>"))
-    json = F.to_json(F.struct(*[col(t).alias(names["valencia"][t]) for t in FIELDS]))
+    json = F.to_json(F.struct(*[col(t).alias(names["valencia"][t]) for t in FIELDS]), {"ignoreNullFields": "false"})
     quoted = lambda t: F.when(col(t).contains(",") | col(t).contains('"'), F.concat(F.lit('"'), F.replace(col(t), F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(F.coalesce(col(t), F.lit("")))
     csv = F.concat_ws(",", *[quoted(t) for t in FIELDS])
     source = F.col("source")

@@ -6,10 +6,12 @@ that they lack, CSV records with line breaks in quotes, is cut by a regular expr
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from milldam.config import FORMATS, EngineConfig
+from milldam.config import FORMATS, EngineConfig, bounded
 from milldam.dims import REGISTRY
 from milldam.functions.clean import clean_source
 
@@ -32,7 +34,7 @@ def media_format(x: Column) -> Column:
 
 
 def scan_files(spark: SparkSession, path: str, media_type: str, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Whole files as payloads, with the reason why one is refused (null: it is fine)."""
+    """Whole files as payloads, with the reason why one is refused (null: it is fine). Files without a byte are not read."""
     files = spark.read.format("binaryFile").load(path)
     kind = media_format(F.lit(media_type))
     text = F.try_validate_utf8(F.col("content").cast("string"))
@@ -68,6 +70,19 @@ def decode_queue(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFr
     return good, df.where(~fits)
 
 
+def drained(queue: DataFrame, limit: int, order: str | None = None) -> DataFrame:
+    """The first messages of a queue, which keeps them: reading takes nothing away."""
+    bounded("limit", limit, 1, 1_000_000)
+    return (queue.orderBy(order) if order else queue).limit(limit)
+
+
+def injected(messages: DataFrame, kind: str, **metadata: str) -> DataFrame:
+    """Synthetic messages marked as such, with how they came about: what sinks and logs carry along."""
+    notes = [F.lit(x) for pair in metadata.items() for x in map(str, pair)]
+    marked = F.create_map(*notes) if notes else F.create_map().cast("map<string,string>")
+    return messages.withColumn("injection", F.struct(F.lit(kind).alias("type"), marked.alias("metadata")))
+
+
 def check_messages(df: DataFrame) -> DataFrame:
     """Adds `dead`, why a message cannot be processed at all (null: it can)."""
     return df.withColumn(
@@ -96,22 +111,35 @@ def csv_record(header: Column, cells: Column) -> Column:
     return F.map_from_entries(F.transform(F.array_distinct(header), lambda h: F.struct(h.alias("k"), F.get(cells, F.array_position(header, h).cast("int") - 1).alias("v"))))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Binds a value so that it is computed once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def words_of(texts: Column) -> Column:
+    """Booleans as the words True and False."""
+    return F.transform_values(texts, lambda k, v: F.when(v == "true", "True").when(v == "false", "False").otherwise(v))
+
+
 def json_texts(record: Column) -> Column:
-    """A record's values as text; booleans as the words True and False."""
-    return F.transform_values(F.from_json(record, TEXTS), lambda k, v: F.when(v == "true", "True").when(v == "false", "False").otherwise(v))
+    """A record's values as text."""
+    return words_of(F.from_json(record, TEXTS))
 
 
-def json_truthy(record: Column) -> Column:
-    """The values that count as given: not null, '', 0, false or empty."""
-    kinds = F.transform_values(F.from_json(record, TYPES), lambda k, v: F.schema_of_variant(v))
-    texts = json_texts(record)
+def json_record(record: Column) -> Column:
+    """A struct of a record's values as text, and of those that count as given: not null, '', 0, false or empty."""
 
-    def given(k: Column, v: Column) -> Column:
-        kind = kinds[k]
+    def given(k: Column, v: Column, kind: Column) -> Column:
         number = ~kind.isin("STRING", "BOOLEAN", "VOID") & ~kind.startswith("OBJECT") & ~kind.startswith("ARRAY")
         return v.isNotNull() & (v != "") & ~((kind == "BOOLEAN") & (v == "False")) & ~(number & F.coalesce(v.try_cast("double") == 0, F.lit(False))) & ~v.isin("[]", "{}")
 
-    return F.map_filter(texts, given)
+    def both(texts: Column) -> Column:
+        # only what may be more than a text is looked at as a value
+        odd = F.exists(F.map_values(texts), lambda v: v.isin("False", "[]", "{}") | F.coalesce(v.try_cast("double") == 0, F.lit(False)))
+        kept = F.when(odd, let(F.from_json(record, TYPES), lambda types: F.map_filter(texts, lambda k, v: given(k, v, F.schema_of_variant(types[k]))))).otherwise(text_truthy(texts))
+        return F.struct(texts.alias("fields"), kept.alias("truthy"))
+
+    return let(json_texts(record), both)
 
 
 def text_truthy(fields: Column) -> Column:
@@ -125,6 +153,9 @@ def _wrapper(source: Column) -> Column:
     return out
 
 
+SINGLE_KEYS = tuple(dict.fromkeys(k for s in REGISTRY.values() for k in s.single))
+
+
 def _single(source: Column, keys: Column) -> Column:
     out = F.lit(False)
     for s in REGISTRY.values():
@@ -139,25 +170,35 @@ def records(df: DataFrame, strict: bool = True) -> DataFrame:
     takes it (any of the source's wrappers, first that is given, and elements of any type).
     """
     p, source = F.col("payload"), F.col("source")
-    kind = F.schema_of_variant(F.try_parse_json(p))
-    of = lambda key: F.from_json(p, f"`{key}` array<string>")[key]
-    kinds_of = lambda key: F.transform(F.from_json(p, f"`{key}` array<variant>")[key], lambda v: F.schema_of_variant(v))
-    listed, listed_kinds = F.from_json(p, "array<string>"), F.transform(F.from_json(p, "array<variant>"), lambda v: F.schema_of_variant(v))
-    keys = F.json_object_keys(p)
-    has = lambda key: F.array_contains(keys, key)
+    first = F.left(F.ltrim(p), F.lit(1))
+    item = "array<variant>"
 
-    def typed(texts: Column, kinds: Column) -> Column:
-        return F.zip_with(texts, kinds, lambda t, k: F.struct(t.alias("text"), F.coalesce(k.startswith("OBJECT"), F.lit(False)).alias("object")))
+    def typed(texts: Column, values: Column) -> Column:
+        """Text that opens a brace is an object, unless it is a string that does."""
+        braced = lambda t: F.coalesce(F.ltrim(t).startswith("{"), F.lit(False))
+        kind = lambda v: F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+        return let(values, lambda vs: F.transform(texts, lambda t, i: F.struct(t.alias("text"), (braced(t) & kind(F.get(vs, i))).alias("object"))))
 
-    own, other = typed(of("stations"), kinds_of("stations")), typed(of("estaciones"), kinds_of("estaciones"))
     alone = F.array(F.struct(p.alias("text"), F.lit(True).alias("object")))
-    if strict:
-        wrapped = F.when(_wrapper(source) == "estaciones", F.when(has("estaciones"), other)).otherwise(F.when(has("stations"), own))
-        json = F.when(kind.startswith("ARRAY"), typed(listed, listed_kinds)).when(kind.startswith("OBJECT"), F.coalesce(wrapped, F.when(_single(source, keys), alone)))
-        json = F.filter(json, lambda r: r.object)
-    else:
-        both = F.when(source == "valencia", F.coalesce(other, own)).when(source == "galicia", F.coalesce(F.when(F.size(own) > 0, own), other)).otherwise(own)
-        json = F.when(kind.startswith("ARRAY"), typed(listed, listed_kinds)).when(kind.startswith("OBJECT"), F.coalesce(both, alone))
+
+    def of_array(v: Column) -> Column:
+        return typed(F.from_json(p, "array<string>"), F.try_variant_get(v, "$", item))
+
+    def of_object(v: Column) -> Column:
+        has = lambda name: F.try_variant_get(v, f"$.{name}", "variant").isNotNull()
+        lists = F.from_json(p, "stations array<string>, estaciones array<string>")
+
+        def chosen(texts: Column) -> Column:
+            own, other = (F.when(has(n), typed(texts[n], F.try_variant_get(v, f"$.{n}", item))) for n in ("stations", "estaciones"))
+            if not strict:
+                return F.when(source == "valencia", F.coalesce(other, own)).when(source == "galicia", F.coalesce(F.when(F.size(own) > 0, own), other)).otherwise(own)
+            return F.when(_wrapper(source) == "estaciones", other).otherwise(own)
+
+        rest = F.when(_single(source, F.array_compact(F.array(*[F.when(has(n), F.lit(n)) for n in SINGLE_KEYS]))), alone) if strict else alone
+        return F.coalesce(F.when(has("stations") | has("estaciones"), let(lists, chosen)), rest)
+
+    found = let(F.try_parse_json(p), lambda v: F.when(v.isNotNull(), F.when(first == "[", of_array(v)).when(first == "{", of_object(v))))
+    json = F.filter(found, lambda r: r.object) if strict else found
     xml = F.from_xml(p, F.lit("station array<struct<" + ",".join(f"{f}:string" for f in XML_FIELDS) + ">>"), {"ignoreSurroundingSpaces": "false"}).station
     lines = csv_lines(p)
     form = F.col("format")
@@ -179,7 +220,7 @@ def fan_out(df: DataFrame, strict: bool = True) -> DataFrame:
     def record(fields: Column, truthy: Column, is_object: Column, raw: Column) -> Column:
         return F.struct(fields.alias("fields"), truthy.alias("truthy"), is_object.alias("object"), raw.alias("raw")).cast(one)
 
-    json = F.transform("found_json", lambda r: record(F.when(r.object, json_texts(r.text)), F.when(r.object, json_truthy(r.text)), r.object, r.text))
+    json = F.transform("found_json", lambda r: let(F.when(r.object, json_record(r.text)), lambda x: record(x.fields, x.truthy, r.object, r.text)))
 
     def of_xml(s: Column) -> Column:
         fields = F.create_map(*[x for f in XML_FIELDS for x in (F.lit(f), s[f])])
@@ -205,16 +246,18 @@ def lineage(df: DataFrame) -> DataFrame:
         F.col("total").alias("total_stations"),
         "source",
         "format",
-        rewrapped(F.col("source"), F.col("format"), F.col("raw_fragment"), F.col("fields")).alias("payload"),
+        rewrapped(F.col("source"), F.col("format"), F.col("raw_fragment"), F.col("fields"), F.col("payload")).alias("payload"),
     )
 
 
-def rewrapped(source: Column, form: Column, raw: Column, fields: Column) -> Column:
-    """A single record in its source's wrapper."""
+def rewrapped(source: Column, form: Column, raw: Column, fields: Column, payload: Column) -> Column:
+    """A single record in its source's wrapper; for XML in the payload's own root element, with its attributes."""
+    root = r"^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!--.*?-->\s*)*<([A-Za-z_][^\s/>]*)([^>]*)>"
+    tag, more = F.regexp_extract(payload, root, 1), F.regexp_extract(payload, root, 2)
     tags = F.array_join(F.transform(F.map_entries(fields), lambda e: F.when(e.value.isNotNull(), F.concat(F.lit("<"), e.key, F.lit(">"), _escaped(e.value), F.lit("</"), e.key, F.lit(">"))).otherwise("")), "")
     return (
         F.when(form == "json", F.concat(F.lit('{"'), _wrapper(source), F.lit('":['), raw, F.lit("]}")))
-        .when(form == "xml", F.concat(F.lit("<stations><station>"), tags, F.lit("</station></stations>")))
+        .when(form == "xml", F.concat(F.lit("<"), tag, more, F.lit("><station>"), tags, F.lit("</station></"), tag, F.lit(">")))
         .otherwise(raw)
     )
 
@@ -224,11 +267,21 @@ def _escaped(x: Column) -> Column:
 
 
 def resample(df: DataFrame, n: int, order: str) -> DataFrame:
-    """n rows, going round the rows of a small table in order; its size is counted."""
-    from pyspark.sql import Window
-
-    numbered = df.withColumn("_row", F.row_number().over(Window.orderBy(order)) - 1)
+    """n rows, going round the rows of a table in order. Its rows are numbered in buckets of the order's values."""
     count = df.count()
     if not count:
         return df.withColumn("sample", F.lit(0).cast("long"))
-    return df.sparkSession.range(n).select(F.col("id").alias("sample"), (F.col("id") % count).cast("int").alias("_row")).join(numbered, "_row").drop("_row")
+    numbered = numbered_by(df, order).withColumnRenamed("_place", "_row")
+    return df.sparkSession.range(n).select(F.col("id").alias("sample"), (F.col("id") % count).alias("_row")).join(numbered, "_row").drop("_row")
+
+
+def numbered_by(df: DataFrame, order: str, groups: tuple[str, ...] = (), buckets: int = 64) -> DataFrame:
+    """Adds `_place`, from 0 in the order of a numeric column (in each group), without gathering a group: rows are dealt into
+    buckets by quantiles of the column, numbered there, and begin where the buckets before end. Equal values share a bucket."""
+    edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
+    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(order))) if edges else F.lit(0)
+    dealt = df.withColumn("_bucket", bucket)
+    before = Window.partitionBy(*groups, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n")).select(*groups, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(order)) - 1
+    return dealt.withColumn("_in", place).join(starts, [*groups, "_bucket"]).withColumn("_place", F.col("_start") + F.col("_in")).drop("_bucket", "_in", "_start")

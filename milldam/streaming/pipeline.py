@@ -1,14 +1,16 @@
 """Structured Streaming wiring: raw messages in, three outputs and the keyed table out.
 
 Each micro-batch goes through the same chain as a batch does. Its outputs are written under the batch's number, so a
-batch that runs again after a failure overwrites what it wrote, and the table takes a batch once: the effect is exactly
-once. After retries a batch that still fails goes to the dead letters as a whole, with a failure in the audit log.
+batch that runs again after a failure overwrites what it wrote; the table is written last and takes a batch once. After
+retries a batch that still fails is taken back from the outputs and goes to the dead letters as a whole, with a failure in
+the audit log. So each message ends up in one place, and there once; readers of a batch's folder may see it rewritten.
 """
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +22,9 @@ from milldam.operators import mapping, routing, store
 MESSAGES = "message_id string, source string, format string, payload string"
 
 
-def read_messages(spark: SparkSession, path: str, files_per_trigger: int = 100) -> DataFrame:
+def read_messages(spark: SparkSession, path: str, config: EngineConfig = EngineConfig()) -> DataFrame:
     """JSON lines of raw messages; maxFilesPerTrigger bounds what is in flight."""
-    return spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", files_per_trigger).json(path)
+    return spark.readStream.schema(MESSAGES).option("maxFilesPerTrigger", config.files_per_trigger).json(path)
 
 
 def with_retries(action: Callable[[], None], config: EngineConfig, sleep: Callable[[float], None] = time.sleep) -> Exception | None:
@@ -39,44 +41,58 @@ def with_retries(action: Callable[[], None], config: EngineConfig, sleep: Callab
     return error
 
 
-def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfig, fail: Callable[[int], None] | None = None) -> None:
+def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfig, fail: Callable[[str, int], None] | None = None) -> None:
     spark = batch.sparkSession
     batch = batch.persist()
-    now = F.current_timestamp()
+    now = F.lit(datetime.now(UTC))
+
+    def reached(step: str) -> None:
+        if fail:
+            fail(step, batch_id)
 
     def write(df: DataFrame, name: str) -> None:
+        reached(name)
         df.write.mode("overwrite").json(f"{out}/{name}/batch={batch_id}")
 
+    def remove(name: str) -> None:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{name}/batch={batch_id}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
     def attempt() -> None:
-        if fail:
-            fail(batch_id)
+        reached("route")
         routed = routing.run(batch, config)
         accepted = routed["accepted"].persist()
-        write(accepted, "normalized")
-        write(routed["rejected"].withColumn("rejected_at", now), "rejected")
-        write(routed["dead"], "dead_letter")
-        table = store.FileTable(spark, f"{out}/stations")
-        rows = mapping.rename_to_table(accepted).withColumn("_order", F.struct(accepted["message_id"], accepted["ordinal"]).cast("string"))
-        current = table.read()
-        if current is None:
-            current = spark.createDataFrame([], rows.drop("_order").schema).withColumns({"fecha_creacion": F.lit(None).cast("timestamp"), "fecha_actualizacion": F.lit(None).cast("timestamp")})
-        table.write(store.upsert(current, rows, "_order", now), batch_id)
-        write(store.audit_success(accepted, batch_id, now), "audit")
-        accepted.unpersist()
+        try:
+            write(accepted, "normalized")
+            write(routed["rejected"].withColumn("rejected_at", now), "rejected")
+            write(routed["dead"], "dead_letter")
+            write(store.audit_success(accepted, batch_id, now), "audit")
+            table = store.FileTable(spark, f"{out}/stations")
+            place = F.concat_ws("/", F.col("message_id").cast("string"), F.lpad(F.col("ordinal").cast("string"), 10, "0"))
+            rows = mapping.rename_to_table(accepted, place.alias("_order"))
+            current = table.read()
+            if current is None:
+                current = spark.createDataFrame([], rows.drop("_order").schema).withColumns({"fecha_creacion": F.lit(None).cast("timestamp"), "fecha_actualizacion": F.lit(None).cast("timestamp")})
+            reached("stations")
+            table.write(store.upsert(current, rows, "_order", now), batch_id)  # last: what comes before can be taken back
+        finally:
+            accepted.unpersist()
 
     error = with_retries(attempt, config)
     if error is not None:
+        for name in ("normalized", "rejected"):
+            remove(name)
         write(batch.withColumn("dead", F.lit("batch_failed")), "dead_letter")
         failed = batch.select("message_id", F.col("source").alias("source_system"), F.lit(None).cast("string").alias("raw_id"), F.lit(None).cast("string").alias("station_id"))
         write(store.audit_failure(failed, batch_id, "persist", str(error), now), "audit")
     batch.unpersist()
 
 
-def start(messages: DataFrame, out: str, checkpoint: str, config: EngineConfig = EngineConfig(), fail: Callable[[int], None] | None = None, **trigger) -> StreamingQuery:
+def start(messages: DataFrame, out: str, checkpoint: str, config: EngineConfig = EngineConfig(), fail: Callable[[str, int], None] | None = None, **trigger) -> StreamingQuery:
     """Runs until stopped, or with availableNow=True until the input is used up."""
     return (
         messages.writeStream.foreachBatch(lambda b, i: process_batch(b, i, out, config, fail))
         .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"processingTime": "1 second"}))
+        .trigger(**(trigger or {"processingTime": f"{config.trigger_ms} milliseconds"}))
         .start()
     )

@@ -25,12 +25,12 @@ def test_similarity():
     assert similarity.jaro_winkler("a", "a") == 1.0
 
 
-@pytest.mark.parametrize("fold", [2000, 1])
-def test_ordered_duplicates(spark, fold):
-    """A refused row registers nothing; rounds decide like the fold."""
+@pytest.mark.parametrize("way", [dedup.id_name, dedup.id_name_fold])
+def test_ordered_duplicates(spark, way):
+    """A refused row registers nothing; both ways decide alike."""
     rows = [(0, "A", "X"), (1, "a", "Y"), (2, "B", "Y"), (3, "C", "x"), (4, "D", "y"), (5, "E", "Z")]
     df = spark.createDataFrame([("m", i, s, n, None) for i, s, n in rows], "message_id string, ordinal int, station_id string, name string, city string")
-    got = {r.ordinal: r.dup for r in dedup.id_name(df, fold=fold).collect()}
+    got = {r.ordinal: r.dup for r in way(df).collect()}
     assert [got[i] for i in range(6)] == [None, dedup.ID, None, dedup.NAME, dedup.NAME, None]
 
 
