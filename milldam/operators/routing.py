@@ -54,7 +54,11 @@ def cardinality_violations(rows: DataFrame, scope: str = "message_id") -> DataFr
 def run(messages: DataFrame, config: EngineConfig = EngineConfig(), strict: bool = True, rules: DataFrame | None = None) -> dict[str, DataFrame]:
     """All three outputs of a batch of raw messages. By names, accepted stations with a doubtful field are reported among the
     rejected ones as well."""
-    found = normalise(messages, strict, config, rules)
+    return outputs(normalise(messages, strict, config, rules), messages, config)
+
+
+def outputs(found: DataFrame, messages: DataFrame, config: EngineConfig = EngineConfig()) -> dict[str, DataFrame]:
+    """The outputs of normalised rows and of the messages that they come from. The rows are read for each output."""
     out = route(deduplicated(found, config.dedup_scope))
     if config.mode == "FUZZY":
         out["rejected"] = out["rejected"].unionByName(route(fuzzy.low_confidence_events(found))["rejected"])

@@ -60,7 +60,8 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfi
 
     def attempt() -> None:
         reached("route")
-        routed = routing.run(batch, config)
+        found = routing.normalise(batch, config=config).persist()
+        routed = routing.outputs(found, batch, config)
         accepted = routed["accepted"].persist()
         try:
             write(accepted, "normalized")
@@ -77,6 +78,7 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfi
             table.write(store.upsert(current, rows, "_order", now), batch_id)  # last: what comes before can be taken back
         finally:
             accepted.unpersist()
+            found.unpersist()
 
     error = with_retries(attempt, config)
     if error is not None:
