@@ -195,15 +195,19 @@ class Scorer:
 
 
 def train(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 1.5, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss, by Newton's method on the rows inside the margin."""
-    a = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(a.shape[1])
-    ridge = np.eye(a.shape[1])
+    """Linear machine with squared hinge loss, by Newton's method on the rows inside the margin, some rows at a time."""
+    n, step = x.shape[1] + 1, 2048
+    w, ridge = np.zeros(n), np.eye(n)
     ridge[-1, -1] = 1e-3
     for _ in range(rounds):
-        inside = y * (a @ w) < 1
-        b, t, s = a[inside], y[inside], c * weight[inside]
-        new = np.linalg.solve(ridge + (b * s[:, None]).T @ b, (b * s[:, None]).T @ t)
+        left, right = ridge.copy(), np.zeros(n)
+        for k in range(0, len(x), step):
+            a, t = np.hstack([x[k : k + step].astype(np.float64), np.ones((len(x[k : k + step]), 1))]), y[k : k + step]
+            inside = t * (a @ w) < 1
+            b, scaled = a[inside], a[inside] * (c * weight[k : k + step][inside])[:, None]
+            left += scaled.T @ b
+            right += scaled.T @ t[inside]
+        new = np.linalg.solve(left, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = 0.5 * w + 0.5 * new
@@ -294,19 +298,24 @@ def _fitted(positive: list[str], negative: list[str], most: int) -> tuple[np.nda
     place = np.full(TABLE, len(columns), np.int32)
     place[columns] = np.arange(len(columns))
     by_word = summed_at(flat, owner, len(words.norm), place, small)
-    kernel = np.array([by_word[at].sum(axis=0) / length(at) for at in numbered])
+    kernel = np.empty((len(pieces), len(chosen)), np.float32)
+    for i, at in enumerate(numbered):
+        kernel[i] = by_word[at].sum(axis=0) / length(at)
+    del by_word
     gram = kernel[[where[p] for p in distinct + others]].astype(np.float64)
     value, vector = np.linalg.eigh((gram + gram.T) / 2)
     root = vector @ np.diag(1 / np.sqrt(np.maximum(value, 1e-3))) @ vector.T
     y = np.array([1.0] * len(positive) + [-1.0] * len(negative))
     weight = np.where(y > 0, 0.5 * len(negative) / len(positive), 1.0)
-    w, bias = train(kernel @ root, y, weight / weight.mean())
+    for k in range(0, len(kernel), 2048):
+        kernel[k : k + 2048] = kernel[k : k + 2048] @ root
+    w, bias = train(kernel, y, weight / weight.mean())
     weights = np.zeros(TABLE)
-    weights[columns] = small[:-1] @ (root @ w)
+    weights[columns] = small[:-1] @ (root @ w).astype(np.float32)
     return weights, bias
 
 
-def summed_at(flat: list[str], owner: np.ndarray, n: int, place: np.ndarray, small: np.ndarray, step: int = 2_000) -> np.ndarray:
+def summed_at(flat: list[str], owner: np.ndarray, n: int, place: np.ndarray, small: np.ndarray, step: int = 500) -> np.ndarray:
     """summed() over a table of which only some rows are kept."""
     out = np.zeros((n, small.shape[1]), np.float32)
     for i in range(0, len(flat), step):
