@@ -414,6 +414,7 @@ def encode(df: DataFrame, path: str | None = None, text: str = "text", ids: str
                 if decoded:
                     more[decoded] = pa.array(map(encoder.decode, packed), pa.binary(), size=len(packed)).cast(pa.string())
                 yield with_columns(batch, **more)
+        encoder.known.clear()  # what the worker does next needs the memory
 
     schema = schema_with(df, **{ids: T.BinaryType()}, **({decoded: T.StringType()} if decoded else {}))
     return df.mapInArrow(run, schema)

@@ -40,6 +40,8 @@ BUCKET = 24
 AT_ONCE = 1 << 15
 #: Keys of a set of shingles, minima in a key, and sets of a key that the others are compared with in a round.
 BANDS, ROWS, HEADS = 32, 4, 8
+#: Pairs whose sets are picked by a broadcast of their digests; of more pairs, by a join.
+PAIRS = 1 << 19
 _factors = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -150,6 +152,9 @@ def similar(members: DataFrame, heads: DataFrame, sets: DataFrame, similarity: f
     ordered = F.struct("vat", "v") < F.struct("uat", "u")
     sized = F.least("un", "vn") >= F.lit(similarity) * F.greatest("un", "vn") - 1e-9
     pairs = u.join(v, "key").where(ordered & sized).select("u", "v", F.col("vat").alias("at"), (F.col("un") + F.col("vn")).alias("both")).distinct()
+    pairs = durable(pairs)
+    if pairs.count() <= PAIRS:  # only the sets of these pairs are moved
+        sets = sets.join(F.broadcast(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()), "fp", "left_semi")
     held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
     return held.withColumn("c", F.size(F.array_intersect("ux", "vx"))).where(F.col("c") / (F.col("both") - F.col("c")) >= similarity).select("u", "v", "at")
 
@@ -160,10 +165,12 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     marked = durable(shingle_sets(docs, width, False))
     values = marked.groupBy("fp").agg(F.min("doc_id").alias("at"), F.first("n").alias("n"), F.first("x").alias("x"))
     keyed = values.where("at is not null").select("fp", "at", "n", F.explode("x").alias("key"))  # rows without an id stay anyhow
-    members = durable(keyed.join(keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "key"))
-    wanted = members.select(F.col("at").alias("doc_id"), "fp").distinct()
-    texts = docs.join(wanted.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = durable(shingle_sets(texts, width, True).join(wanted, ["doc_id", "fp"], "left_semi").dropDuplicates(["fp"]))
+    # of sets in order of size, one that fits no neighbour fits none
+    beside = Window.partitionBy("key").orderBy("n", "fp")
+    fits = (F.lag("n").over(beside) >= F.lit(similarity) * F.col("n") - 1e-9) | (F.lead("n").over(beside) * F.lit(similarity) - 1e-9 <= F.col("n"))
+    members = durable(keyed.withColumn("fits", F.coalesce(fits, F.lit(False))).where("fits").drop("fits"))
+    texts = docs.join(members.select(F.col("at").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = durable(shingle_sets(texts, width, True).select("fp", "x").dropDuplicates(["fp"]))
     least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     gone = []
     while not members.isEmpty():
