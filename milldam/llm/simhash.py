@@ -38,7 +38,7 @@ from .components import components
 BUCKET = 24
 #: Hashes that are counted bit by bit at once.
 AT_ONCE = 1 << 15
-#: Keys of a set of shingles, minima in a key, and sets of a key that the others are compared with in a round.
+#: Keys of a set of shingles, minima in a key, and sets of a key that the others are compared with in the first round.
 BANDS, ROWS, HEADS = 32, 4, 8
 #: Pairs whose sets are picked by a broadcast of their digests; of more pairs, by a join.
 PAIRS = 1 << 19
@@ -183,6 +183,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         goes = durable(edges.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy("u").agg(F.min("at").alias("kept")).withColumnRenamed("u", "fp"))
         gone.append(goes)
         members = durable(members.join(stay.union(goes.select("fp")), "fp", "left_anti"))
+        heads *= 2  # those that are left have few similar ones: rounds grow as the logarithm of the largest key
     named = least
     if gone:
         named = least.join(reduce(DataFrame.union, gone), "fp", "left").withColumn("least", F.coalesce("kept", "least"))
