@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from . import codes
 from .bpe import op1_bpe_encode
+from .codes import op11_vector_codes
 from .decontaminate import op8_decontamination
 from .lattice import op7_lattice_score
 from .licenses import op3_license_scan
 from .ogg import op5_ogg_columns
 from .pii import op6_pii_pseudonyms
+from .runs import op12_periodic_runs
 from .shards import op4_sharding
 from .simhash import op9_simhash_near_dedup
 from .tokens import op2_token_counts
@@ -24,6 +27,8 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op6_pii_pseudonyms": op6_pii_pseudonyms,
     "op3_license_scan": op3_license_scan,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_periodic_runs": op12_periodic_runs,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op11_vector_codes": codes.ORACLE}
