@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import codes
+from . import codes, jaccard
 from .bpe import op1_bpe_encode
 from .codes import op11_vector_codes
 from .decontaminate import op8_decontamination
+from .jaccard import op13_jaccard_join
 from .lattice import op7_lattice_score
 from .licenses import op3_license_scan
 from .ogg import op5_ogg_columns
@@ -29,6 +30,7 @@ QUERIES = {
     "op3_license_scan": op3_license_scan,
     "op11_vector_codes": op11_vector_codes,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_jaccard_join": op13_jaccard_join,
 }
 
-ORACLE_SQL: dict[str, str] = {"op11_vector_codes": codes.ORACLE}
+ORACLE_SQL: dict[str, str] = {"op11_vector_codes": codes.ORACLE, "op13_jaccard_join": jaccard.ORACLE}
