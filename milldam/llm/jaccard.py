@@ -9,8 +9,10 @@ have, no partner is missed. A set takes part in the partition of its own band an
 
 Allocation is by cost. For each band the cheapest numbers of segments and of deletions are taken that leave the mean subset large
 enough to be telling, with some to spare. What is spare in a set pays for its empty segments, which have no key, and then
-for the keys that are crowded. Only sets with more crowded keys than they can spare go on to a partition of larger
-segments, where all deletions are listed; what is crowded there too is compared head by head. So nothing is lost.
+for the keys that are crowded. Sets with more crowded keys than they can spare go on to a second partition, of the shingles that few of
+them have and with all deletions listed: similar sets differ in these by no more than they do in all, and no key of
+these is crowded. Sets of hardly any such shingles, as large groups of near copies are, are compared head by head. So
+nothing is lost.
 
 Keys that a thousandth or more of a sample of the texts has are dealt to several tasks. The sample decides where rows go, never what
 they are. Sets are known by digests of 64 bits: of N different sets, two share one by chance with odds of N^2/2^65.
@@ -32,10 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, durable, join_named, slices, table
-from .linking import exhausted, linked
+from .linking import STRAYS, exhausted, linked
 
-#: Shingles that a subset should have on the mean, in the first partition and in the second.
-TELLING = (3, 6)
+#: Shingles that a subset should have on the mean.
+TELLING = 3
 #: One text of so many is looked at for common keys; keys that this share of them has are dealt to so many tasks.
 SAMPLE, COMMON, SALTS = 64, 1 / 1024, 64
 #: Documents that are picked by a broadcast of their ids; more, by a join.
@@ -102,6 +104,9 @@ class Bands:
             high = self.highs[band]
             low = self.highs[band - 1] + 1 if band else 1
             need = self.differences(high + high * 100 // self.percent) + 1
+            if self.level:
+                self.plans[band] = (need, need)
+                return need, need
             best = None
             for segments in range(max(1, (need + 1) // 2), 2 * need + 1):
                 spare = segments * np.exp(-low / segments) * 1.5 + 0.05 * need if need > 1 else 0
@@ -109,7 +114,7 @@ class Bands:
                 if reach > segments:
                     continue
                 keys = segments + reach * low / segments
-                cost = (max(0.0, TELLING[min(self.level, 1)] - low / segments), keys)
+                cost = (max(0.0, TELLING - low / segments), keys)
                 best = min(best, (cost, segments, reach)) if best else (cost, segments, reach)
             self.plans[band] = (best[1], best[2]) if best else (max(1, (need + 1) // 2), max(1, (need + 1) // 2))
         return self.plans[band]
@@ -147,10 +152,10 @@ def listed(values: np.ndarray, bands: Bands, band: int) -> tuple[np.ndarray, np.
 KEYS = "key long, fp long, lower int, part int, salt int"
 
 
-def _rows(sets: list[tuple[int, np.ndarray, list]], bands: Bands, common: np.ndarray) -> pa.RecordBatch:
+def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray) -> pa.RecordBatch:
     columns: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
-    for fp, values, only in sets:
-        for lower, band, _ in bands.parts(len(values)) if len(values) else []:
+    for fp, values, n, only in sets:
+        for lower, band, _ in bands.parts(n) if len(values) else []:
             if only is None or lower in only:
                 keys, parts, _ = listed(values, bands, band)
                 for column, x in zip(columns, (keys.view(np.int64), np.full(len(keys), fp), np.full(len(keys), lower), parts), strict=True):
@@ -174,37 +179,39 @@ def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray)
                 for x in batch.column("text").cast(pa.binary()).to_pylist():
                     values = shingle_set(x or b"", width, known)
                     sets[digest(values)] = values
-                yield _rows([(fp, v, None) for fp, v in sets.items()], bands, common)
+                yield _rows([(fp, v, len(v), None) for fp, v in sets.items()], bands, common)
 
     return docs.select("text").mapInArrow(run, KEYS)
 
 
 def keys_of_sets(sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """(fp, x, only) -> KEYS in the partitions of a level; only: the bands (own: 0, lower: 1) that are asked for."""
+    """(fp, n, x, only) -> KEYS in the partitions of a level. n: the whole set's size; x: its shingles that are listed; only: the bands
+    (own: 0, lower: 1) that are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, level)
         for batch in batches:
             values = (np.array(x, np.int64).view(np.uint64) for x in batch.column("x").to_pylist())
-            yield _rows(list(zip(batch.column("fp").to_pylist(), values, batch.column("only").to_pylist(), strict=True)), bands, np.empty(0, np.int64))
+            columns = (batch.column(c).to_pylist() for c in ("fp", "n", "only"))
+            yield _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.int64))
 
-    return sets.select("fp", "x", "only").mapInArrow(run, KEYS)
+    return sets.select("fp", "n", "x", "only").mapInArrow(run, KEYS)
 
 
 def spares(sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """(fp, x) -> (fp, lower, spare): how much a set may lose in each of its partitions."""
+    """(fp, n, x) -> (fp, lower, spare): how much a set may lose in each of its partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, level)
         for batch in batches:
             out = []
-            for fp, x in zip(batch.column("fp").to_pylist(), batch.column("x").to_pylist(), strict=True):
+            for fp, n, x in zip(*(batch.column(c).to_pylist() for c in ("fp", "n", "x")), strict=True):
                 values = np.array(x, np.int64).view(np.uint64)
-                out += [(fp, lower, listed(values, bands, band)[2] - need) for lower, band, need in bands.parts(len(values))]
+                out += [(fp, lower, listed(values, bands, band)[2] - need) for lower, band, need in bands.parts(n)]
             fps, lowers, spare = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(lowers, pa.int32()), pa.array(spare, pa.int32())], names=["fp", "lower", "spare"])
 
-    return sets.select("fp", "x").mapInArrow(run, "fp long, lower int, spare int")
+    return sets.select("fp", "n", "x").mapInArrow(run, "fp long, lower int, spare int")
 
 
 def marks(docs: DataFrame, width: int, full: bool) -> DataFrame:
@@ -247,14 +254,22 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return marks(picked, width, True).select("fp", "n", "x").dropDuplicates(["fp"])
 
 
-def lacking(crowded: DataFrame, sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """(fp, lower): partitions in which a set has more crowded keys than it can spare."""
+def lacking(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(fp, lower): first partitions in which a set has more crowded keys than it can spare."""
     worth = F.when(F.col("part") % 4 == 2, 2).otherwise(1)
     lost = crowded.groupBy("fp", "lower", F.floor(F.col("part") / 4).alias("segment")).agg(F.max(worth).alias("w")).groupBy("fp", "lower").agg(F.sum("w").alias("lost"))
-    spare = spares(sets.join(crowded.select("fp").distinct(), "fp", "left_semi"), percent, level)
+    spare = spares(sets.join(crowded.select("fp").distinct(), "fp", "left_semi"), percent, 0)
     return lost.join(spare, ["fp", "lower"]).where("lost > spare").select("fp", "lower")
 
 
+def rare_parts(sets: DataFrame, most: int) -> DataFrame:
+    """(fp, n, x, only) with those shingles left in x that at most so many of the sets have."""
+    each = sets.select("fp", F.explode("x").alias("s"))
+    often = each.groupBy("s").count().where(F.col("count") > most).select("s")
+    left = each.join(often, "s", "left_anti").groupBy("fp").agg(F.collect_list("s").alias("x"))
+    return sets.drop("x").join(left, "fp", "left").withColumn("x", F.coalesce("x", F.expr("cast(array() as array<long>)")))
+
+
 def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: component_id is the smallest id that links reach, its own included."""
     bounded_batches(df.sparkSession)
@@ -263,19 +278,15 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     classes = durable(marked.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     members = durable(shared_keys(keys_of_texts(docs, width, percent, common_keys(docs, width, percent))))
     sets = durable(sets_of(docs, classes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("least").alias("doc_id")), width))
-    stars = None
-    for level in (0, 1):
-        stars, crowded = linked(members, sets, percent, stars)
-        if crowded.isEmpty():
-            break
-        short = durable(lacking(crowded, sets, percent, level))
-        if short.isEmpty():
-            break
-        if level:
-            stars = exhausted(crowded.join(short, ["fp", "lower"], "left_semi"), sets, percent, stars)
-        else:
-            asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp")
-            members = durable(shared_keys(keys_of_sets(asked, percent, level + 1)))
+    stars, crowded = linked(members, sets, percent, None)
+    short = durable(lacking(crowded, sets, percent))
+    if not short.isEmpty():
+        asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp")
+        rare = durable(rare_parts(asked, STRAYS))
+        stars, left = linked(durable(shared_keys(keys_of_sets(rare, percent, 1))), sets, percent, stars)
+        short = short.join(spares(rare, percent, 1).where("spare < 0"), ["fp", "lower"], "left_semi")
+        crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp").union(left.select("key", "fp"))
+        stars = exhausted(durable(crowded), sets, percent, stars)
     joined = classes.join(stars.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
     named = durable(join_named(joined.drop("n"), durable(least), "root").select("fp", "component_id").join(classes.select("fp", "n"), "fp"))

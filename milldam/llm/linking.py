@@ -7,12 +7,17 @@ Only connected components matter, so pairs that links found so far already conne
 3. in keys with few strays (sets outside of the key's largest component), the strays meet all others.
 
 Keys with many strays are crowded and handed back, for the caller to split them by better keys, or for exhausted(), which
-compares heads in growing numbers with all sets outside of their components until each key is done.
+compares heads in growing numbers with all sets outside of their components until each group is done. There bitmaps, which can
+only understate how far two sets differ, leave few pairs over.
 Pairs are verified by their whole sets.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +28,9 @@ from .components import components
 STRAYS = 16
 #: Pairs whose sets are picked by a broadcast of their digests; of more pairs, by a join.
 PAIRS = 1 << 19
-#: Heads that a key is compared with in the first round of exhausted().
-HEADS = 8
+#: Heads that a group is compared with in the first round of exhausted(), and in a later one at most; sets that meet them in a task;
+#: bytes of a set's bitmap.
+HEADS, MOST, PART, BYTES = 64, 4096, 2048, 128
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -90,20 +96,58 @@ def linked(members: DataFrame, sets: DataFrame, percent: int, stars: DataFrame |
     return stars, durable(crowded.join(unsettled(crowded).select("key"), "key", "left_semi"))
 
 
+def bitmap(values: np.ndarray) -> bytes:
+    """Parities of the set's members by slot: two sets differ in at least as many members as their bitmaps do in bits."""
+    odd = np.bincount((values.view(np.uint64) >> np.uint64(7)).astype(np.int64) % (8 * BYTES), minlength=8 * BYTES) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def mapped(sets: DataFrame) -> DataFrame:
+    """(fp, x) -> (fp, n, bits): each set's size and bitmap."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [np.array(x, np.int64) for x in batch.column("x").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(list(map(len, values)), pa.int64()), pa.array(list(map(bitmap, values)), pa.binary())], names=["fp", "n", "bits"])
+
+    return sets.select("fp", "x").mapInArrow(run, "fp long, n long, bits binary")
+
+
+def _near(percent: int):
+    def run(rows: pa.Table, heads: pa.Table) -> pa.Table:
+        """(u, v): rows and heads of different components whose bitmaps do not tell them apart."""
+        (a, an, ac, ab), (b, bn, bc, bb) = (
+            (*(t.column(c).to_numpy() for c in ("fp", "n", "comp")), np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(t.num_rows, -1)) for t in (rows, heads)
+        )
+        us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for k in range(len(b) if len(a) else 0):
+            most = (an + bn[k]) * (100 - percent) // (100 + percent)
+            near = np.flatnonzero((np.bitwise_count(ab ^ bb[k]).sum(axis=1) <= most) & (ac != bc[k]))
+            us.append(a[near])
+            vs.append(np.full(len(near), b[k]))
+        return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
+
+    return run
+
+
 def exhausted(members: DataFrame, sets: DataFrame, percent: int, stars: DataFrame, heads: int = HEADS) -> DataFrame:
-    """Components with the links of all pairs of sets under a key; heads are drawn by digests, twice as many each round."""
-    members, turn = rooted(members.select("key", "fp"), stars), 0
+    """Components with the links of all pairs of sets that share a key (members: key, fp). Keys that share sets are one group, so that a
+    pair is looked at once; heads are drawn by digests, and meet the group's sets in parts of bounded size."""
+    groups = merged(None, headed(members).distinct()).select(F.col("u").alias("fp"), F.col("root").alias("key"))
+    bits = mapped(sets.join(members.select("fp").distinct(), "fp", "left_semi"))
+    members, turn = rooted(groups.join(bits, "fp"), stars), 0
     while True:
         keys = durable(unsettled(members).select("key", "n", "size"))
         if keys.isEmpty():
             return stars
         drawn = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 20))
-        here = durable(join_named(members, keys, "key").withColumn("drawn", drawn))
-        first = here.groupBy("key").agg(F.min(F.struct("drawn", "fp")).alias("f")).select("key", F.col("f.fp").alias("fp"))
-        chosen = here.where(F.col("drawn") * F.col("size") < heads << 20).select("key", "fp").union(first).distinct()
-        listed = chosen.join(here.select("key", "fp", "comp"), ["key", "fp"]).groupBy("key").agg(F.collect_list(F.struct("fp", "comp")).alias("heads"))
-        listed = durable(listed.join(keys.select("key", "n"), "key"))
-        pairs = join_named(here.select("key", "fp", "comp"), listed, "key").select("fp", "comp", F.explode("heads").alias("h")).where("comp != h.comp")
-        stars = merged(stars, verified(pairs.select(F.col("fp").alias("u"), F.col("h.fp").alias("v")), sets, percent))
-        rest = here.join(listed.select("key", F.explode("heads.fp").alias("fp")), ["key", "fp"], "left_anti").select("key", "fp")
-        members, heads, turn = rooted(rest, stars), 2 * heads, turn + 1
+        part = F.pmod(F.xxhash64("fp"), F.ceil(F.col("size") / PART)).cast("int")
+        here = durable(join_named(members, keys.withColumn("parts", F.ceil(F.col("size") / PART).cast("int")), "key").withColumns({"drawn": drawn, "part": part}))
+        first = here.groupBy("key").agg(F.min(F.struct("drawn", "fp")).alias("f")).select(F.col("f.fp").alias("fp"))
+        chosen = durable(here.where(F.col("drawn") * F.col("size") < heads << 20).select("fp").union(first).distinct())
+        spread = here.join(chosen, "fp", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+        columns = ("key", "part", "fp", "n", "comp", "bits")
+        near = here.select(*columns).groupBy("key", "part").cogroup(spread.select(*[F.col(c).alias(c) for c in columns]).groupBy("key", "part")).applyInArrow(_near(percent), "u long, v long")
+        stars = merged(stars, verified(near, sets, percent))
+        rest = here.join(chosen, "fp", "left_anti").select("key", "fp", "n", "bits")
+        members, heads, turn = rooted(rest, stars), min(4 * heads, MOST), turn + 1
