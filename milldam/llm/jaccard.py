@@ -33,18 +33,20 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, slices, table
+from .common import bounded_batches, durable, join_named, shuffle_partitions, slices, table
 from .linking import STRAYS, exhausted, linked
 
 #: Shingles that a subset should have on the mean.
-TELLING = 3
+TELLING = 2.5
 #: One text of so many is looked at for common keys; keys that this share of them has are dealt to so many tasks.
 SAMPLE, COMMON, SALTS = 64, 1 / 1024, 64
 #: Documents that are picked by a broadcast of their ids; more, by a join.
 PICKED = 1 << 20
 #: Different words whose hashes a task keeps.
 WORDS = 1 << 19
+_KEY = np.uint64((1 << 64) - 8)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_PLACES = np.random.default_rng(42).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -69,11 +71,12 @@ def shingle_set(text: bytes, width: int, known: _Words) -> np.ndarray:
     if not words:
         return np.empty(0, np.uint64)
     w = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    n = max(1, len(w) - width + 1)
-    h = np.full(n, min(width, len(w)), np.uint64)
-    for k in range(min(width, len(w))):
-        h = mixed(h * _A + w[k : k + n])
-    return np.unique(h)
+    n, width = max(1, len(w) - width + 1), min(width, len(w))
+    h = np.full(n, width, np.uint64)
+    for k in range(width):
+        h += w[k : k + n] * _PLACES[k % len(_PLACES)] ** np.uint64(k // len(_PLACES) + 1)
+    h = np.sort(mixed(h))
+    return h[np.concatenate(([True], h[1:] != h[:-1]))]
 
 
 def digest(values: np.ndarray) -> int:
@@ -85,7 +88,7 @@ class Bands:
     """Size bands and their partitions: (segments, reach) for each, by level."""
 
     def __init__(self, percent: int, level: int):
-        self.percent, self.level, self.plans = percent, level, {}
+        self.percent, self.level, self.plans, self.starts = percent, level, {}, {}
         self.highs = [1]
 
     def differences(self, both: int) -> int:
@@ -119,6 +122,14 @@ class Bands:
             self.plans[band] = (best[1], best[2]) if best else (max(1, (need + 1) // 2), max(1, (need + 1) // 2))
         return self.plans[band]
 
+    def edges(self, segments: int) -> np.ndarray:
+        """Where the segments begin, and the end."""
+        if segments not in self.starts:
+            if len(self.starts) > 4096:
+                self.starts.clear()
+            self.starts[segments] = np.array([min(-(-(k << 64) // segments), (1 << 64) - 1) for k in range(segments + 1)], np.uint64)
+        return self.starts[segments]
+
     def parts(self, n: int) -> list[tuple[int, int, int]]:
         """(0 for its own band or 1 for the one below, band, differences to make up for, plus 1) of a set of n shingles."""
         own = self.of(n)
@@ -128,47 +139,60 @@ class Bands:
         return out
 
 
-def listed(values: np.ndarray, bands: Bands, band: int) -> tuple[np.ndarray, np.ndarray, int]:
-    """(keys, parts, worth) of a set in a band's partition; a part is 4 * segment + what losing the key costs (1 or 2), or + 3 for a
-    deletion, which costs 1."""
+def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int) -> tuple[np.ndarray, int]:
+    """(keys, worth) of a set in a band's partition: segments are equal intervals of the hashes, so a set's subsets are slices of its sorted
+    values. sums: running sums of the values, from 0. A key's lowest three bits say what losing it costs: 1 or 2, or for a
+    deletion 1 (marked 3); 4 is added in the band below the set's own."""
     segments, reach = bands.plan(band)
-    seed = np.uint64((1000003 * band + bands.level + 1) * int(_A) % (1 << 64))
-    spread = mixed(values ^ seed)
-    segment = ((spread >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
-    marks = mixed(values + seed)
-    sums, sizes = np.zeros(segments, np.uint64), np.bincount(segment, minlength=segments)
-    np.add.at(sums, segment, marks)
+    ends = np.searchsorted(values, bands.edges(segments))
+    sizes = np.diff(ends)
     at = np.flatnonzero(sizes)
+    seed = np.uint64((1000003 * band + bands.level + 1) * int(_A) % (1 << 64))
+    places = mixed(seed + np.arange(segments, dtype=np.uint64))
     twice = (at < reach) & (sizes[at] > 1)
-    keys, parts = [mixed(sums[at] ^ mixed(seed + at.astype(np.uint64)))], [4 * at + 1 + twice]
+    keys = [mixed((sums[ends[at + 1]] - sums[ends[at]]) ^ places[at]) & _KEY | (twice + np.uint64(1))]
     if twice.any():
-        some = np.flatnonzero((segment < reach) & (sizes[segment] > 1))
-        where = segment[some]
-        keys.append(mixed((sums[where] - marks[some]) ^ mixed(seed + where.astype(np.uint64))))
-        parts.append(4 * where + 3)
-    return np.concatenate(keys), np.concatenate(parts), len(at) + int(twice.sum())
+        where = np.repeat(np.arange(reach), sizes[:reach])
+        some = np.flatnonzero(sizes[where] > 1)
+        where = where[some]
+        keys.append(mixed((sums[ends[where + 1]] - sums[ends[where]] - values[some]) ^ places[where]) & _KEY | np.uint64(3))
+    return np.concatenate(keys), len(at) + int(twice.sum())
 
 
-KEYS = "key long, fp long, lower int, part int, salt int"
+#: Rows of keys: those of a set that go to one place; places under 0 are of common keys, dealt by sets.
+KEYS = "place int, fp long, keys array<long>"
 
 
-def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray) -> pa.RecordBatch:
-    columns: list[list] = [[np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]]
+def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> pa.RecordBatch:
+    place, fps, sizes, out = [], [], [], [np.empty(0, np.uint64)]
     for fp, values, n, only in sets:
-        for lower, band, _ in bands.parts(n) if len(values) else []:
-            if only is None or lower in only:
-                keys, parts, _ = listed(values, bands, band)
-                for column, x in zip(columns, (keys.view(np.int64), np.full(len(keys), fp), np.full(len(keys), lower), parts), strict=True):
-                    column.append(x)
-    key, fp, lower, part = (np.concatenate(c) for c in columns)
-    salt = np.zeros(len(key), np.int64)
-    if len(common) and len(key):
-        at = np.minimum(np.searchsorted(common, key), len(common) - 1)
-        salt = np.where(common[at] == key, fp % SALTS + 1, 0)
-    return pa.RecordBatch.from_arrays([pa.array(key), pa.array(fp), *(pa.array(x.astype(np.int32)) for x in (lower, part, salt))], names=["key", "fp", "lower", "part", "salt"])
-
-
-def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
+        if not len(values):
+            continue
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+        parts = [listed(values, sums, bands, band)[0] + np.uint64(4 * lower) for lower, band, _ in bands.parts(n) if only is None or lower in only]
+        if not parts:
+            continue
+        keys = np.concatenate(parts)
+        where = ((keys >> np.uint64(32)) % np.uint64(places)).astype(np.int64)
+        if len(common):
+            base = keys & _KEY
+            hit = common[np.minimum(np.searchsorted(common, base), len(common) - 1)] == base
+            where[hit] = -1 - fp % SALTS
+        order = np.argsort(where, kind="stable")
+        where, starts, counts = (*np.unique(where[order], return_index=True), None)
+        counts = np.diff(np.append(starts, len(keys)))
+        out.append(keys[order])
+        place.append(where)
+        sizes.append(counts)
+        fps.append(np.full(len(where), fp))
+    if not place:
+        place, fps, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
+    lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out).view(np.int64)))
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists], names=["place", "fp", "keys"])
+
+
+def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray, places: int) -> DataFrame:
     """(text) -> KEYS; equal sets of a batch are listed once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,21 +203,21 @@ def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray)
                 for x in batch.column("text").cast(pa.binary()).to_pylist():
                     values = shingle_set(x or b"", width, known)
                     sets[digest(values)] = values
-                yield _rows([(fp, v, len(v), None) for fp, v in sets.items()], bands, common)
+                yield _rows([(fp, v, len(v), None) for fp, v in sets.items()], bands, common, places)
 
     return docs.select("text").mapInArrow(run, KEYS)
 
 
-def keys_of_sets(sets: DataFrame, percent: int, level: int) -> DataFrame:
-    """(fp, n, x, only) -> KEYS in the partitions of a level. n: the whole set's size; x: its shingles that are listed; only: the bands
-    (own: 0, lower: 1) that are asked for."""
+def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> DataFrame:
+    """(fp, n, x, only) -> KEYS in the partitions of a level. n: the whole set's size; x: its shingles that are listed, in any order; only: the
+    bands (own: 0, lower: 1) that are asked for."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent, level)
         for batch in batches:
-            values = (np.array(x, np.int64).view(np.uint64) for x in batch.column("x").to_pylist())
+            values = (np.sort(np.array(x, np.int64).view(np.uint64)) for x in batch.column("x").to_pylist())
             columns = (batch.column(c).to_pylist() for c in ("fp", "n", "only"))
-            yield _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.int64))
+            yield _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
 
     return sets.select("fp", "n", "x", "only").mapInArrow(run, KEYS)
 
@@ -206,8 +230,9 @@ def spares(sets: DataFrame, percent: int, level: int) -> DataFrame:
         for batch in batches:
             out = []
             for fp, n, x in zip(*(batch.column(c).to_pylist() for c in ("fp", "n", "x")), strict=True):
-                values = np.array(x, np.int64).view(np.uint64)
-                out += [(fp, lower, listed(values, bands, band)[2] - need) for lower, band, need in bands.parts(n)]
+                values = np.sort(np.array(x, np.int64).view(np.uint64))
+                sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
+                out += [(fp, lower, (listed(values, sums, bands, band)[1] if len(values) else 0) - need) for lower, band, need in bands.parts(n)]
             fps, lowers, spare = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(lowers, pa.int32()), pa.array(spare, pa.int32())], names=["fp", "lower", "spare"])
 
@@ -236,28 +261,33 @@ def common_keys(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     """Keys that many of a sample of the texts have, in order: at most (keys of a text) / COMMON."""
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
     least = max(8, some.count() * COMMON)
-    rows = keys_of_texts(some, width, percent, np.empty(0, np.int64)).groupBy("key").count().where(F.col("count") >= least).select("key").collect()
-    return np.sort(np.array([r.key for r in rows], np.int64))
+    rows = keys_of_texts(some, width, percent, np.empty(0, np.uint64), 1).select(F.explode("keys").alias("key")).groupBy(F.shiftright("key", 3).alias("key")).count()
+    return np.sort(np.array([r.key << 3 for r in rows.where(F.col("count") >= least).select("key").collect()], np.int64).view(np.uint64))
 
 
-def shared_keys(keys: DataFrame) -> DataFrame:
-    """KEYS of which several sets, one of them in its own band, have the key; once for a set."""
-    beside = Window.partitionBy("key", "salt")
-    seen = keys.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("lower").over(beside)})
-    return seen.where("salt > 0 or (a != b and own = 0)").drop("a", "b", "own", "salt").dropDuplicates(["key", "fp"])
+def shared_keys(keys: DataFrame, places: int) -> DataFrame:
+    """KEYS -> (key, fp, lower, worth) of keys that several sets have, one of them in its own band; once for a set."""
+    dealt = keys.repartition(places, "place").select("place", "fp", F.explode("keys").alias("packed"))
+    rows = dealt.select("place", "fp", F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
+    beside = Window.partitionBy("place", "key")
+    seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("kind").over(beside)})
+    found = seen.where("place < 0 or (a != b and own < 4)")
+    return found.groupBy("key", "fp").agg(F.min(F.expr("kind div 4")).cast("int").alias("lower"), F.max(F.when(F.col("kind") % 4 == 2, 2).otherwise(1)).alias("worth"))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(fp, n, x) of the documents with these ids (doc_id)."""
+    """(fp, n, x) of the documents with these ids (doc_id), written."""
     ids = ids.select(F.col("doc_id").alias("picked")).distinct()
     picked = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")
-    return marks(picked, width, True).select("fp", "n", "x").dropDuplicates(["fp"])
+    found = durable(marks(picked, width, True).select("fp", "n", "x"))
+    if found.select("fp").distinct().count() < found.count():  # several rows have an id
+        found = durable(found.dropDuplicates(["fp"]))
+    return found
 
 
 def lacking(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(fp, lower): first partitions in which a set has more crowded keys than it can spare."""
-    worth = F.when(F.col("part") % 4 == 2, 2).otherwise(1)
-    lost = crowded.groupBy("fp", "lower", F.floor(F.col("part") / 4).alias("segment")).agg(F.max(worth).alias("w")).groupBy("fp", "lower").agg(F.sum("w").alias("lost"))
+    lost = crowded.groupBy("fp", "lower").agg(F.sum("worth").alias("lost"))
     spare = spares(sets.join(crowded.select("fp").distinct(), "fp", "left_semi"), percent, 0)
     return lost.join(spare, ["fp", "lower"]).where("lost > spare").select("fp", "lower")
 
@@ -276,14 +306,16 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = durable(marks(docs, width, False))
     classes = durable(marked.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    members = durable(shared_keys(keys_of_texts(docs, width, percent, common_keys(docs, width, percent))))
-    sets = durable(sets_of(docs, classes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("least").alias("doc_id")), width))
+    places = shuffle_partitions(df.sparkSession)
+    keys = keys_of_texts(docs, width, percent, common_keys(docs, width, percent), 4 * places)
+    members = durable(shared_keys(keys, places))
+    sets = sets_of(docs, classes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("least").alias("doc_id")), width)
     stars, crowded = linked(members, sets, percent, None)
     short = durable(lacking(crowded, sets, percent))
     if not short.isEmpty():
         asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp")
         rare = durable(rare_parts(asked, STRAYS))
-        stars, left = linked(durable(shared_keys(keys_of_sets(rare, percent, 1))), sets, percent, stars)
+        stars, left = linked(durable(shared_keys(keys_of_sets(rare, percent, 1, 4 * places), places)), sets, percent, stars)
         short = short.join(spares(rare, percent, 1).where("spare < 0"), ["fp", "lower"], "left_semi")
         crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp").union(left.select("key", "fp"))
         stars = exhausted(durable(crowded), sets, percent, stars)

@@ -38,6 +38,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     pairs = durable(pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     if pairs.count() <= PAIRS:  # only the sets of these pairs are moved
         sets = sets.join(F.broadcast(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()), "fp", "left_semi")
+    pairs = durable(apart(pairs, mapped(sets), percent))
+    sets = sets.join(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct(), "fp", "left_semi")
     held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
     both = F.size("ux") + F.size("vx")
     sized = 100 * F.least(F.size("ux"), F.size("vx")) >= percent * F.greatest(F.size("ux"), F.size("vx"))
@@ -45,6 +47,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return durable(common.where(100 * F.col("c") >= percent * (both - F.col("c"))).select("u", "v"))
 
 
+def apart(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) whose sizes and bitmaps (fp, n, bits) do not tell them apart."""
+    side = lambda x: maps.select(F.col("fp").alias(x), F.col("n").alias(f"{x}n"), F.col("bits").alias(f"{x}b"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("ub", "vb"))
+            both = batch.column("un").to_numpy() + batch.column("vn").to_numpy()
+            near = np.bitwise_count(u ^ v).sum(axis=1) <= both * (100 - percent) // (100 + percent)
+            yield batch.select(["u", "v"]).filter(pa.array(near))
+
+    sized = 100 * F.least("un", "vn") >= percent * F.greatest("un", "vn")
+    return pairs.join(side("u"), "u").join(side("v"), "v").where(sized).mapInArrow(run, "u long, v long")
+
+
 def merged(stars: DataFrame | None, links: DataFrame) -> DataFrame:
     """The components of stars (u, root) and links (u, v), as stars, written."""
     if stars is None:
