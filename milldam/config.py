@@ -25,6 +25,8 @@ class EngineConfig:
     model_callers: int = 1
     sink_retries: int = 3
     sink_base_ms: int = 200
+    redelivery: str = "1 hour"
+    table_folders: int = 64
     dedup_scope: str = "message_id"
     strict_timing: bool = False
     max_file_bytes: int = 50 * 1024 * 1024

@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import hashlib
 import json
+import time
 from collections.abc import Callable, Iterator
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +21,9 @@ from milldam.operators.fuzzy import best_match
 
 RULE = "source_system string, province_type string, field_mapping map<string,string>, llm_model string, llm_prompt_version string, confidence_score double, sample_schema_signature string, is_active boolean, generated_at timestamp, updated_at timestamp"
 TEXTS = T.MapType(T.StringType(), T.StringType())
+REQUIRED = ("raw_id", "name")
+#: Active rules that are looked up by a broadcast; of more, by a join.
+BROADCAST = 1 << 16
 MODEL_ERRORS = ("llm_timeout", "llm_rate_limited", "llm_http_error", "llm_invalid_json", "llm_missing_api_key", "llm_unexpected_error")
 
 
@@ -37,6 +42,8 @@ def batch_keys(df: DataFrame, scope: str = "message_id", order: str = "ordinal",
 def lookup(keys: DataFrame, rules: DataFrame) -> DataFrame:
     """Adds the active rule of each batch's key (null: none)."""
     active = rules.where("is_active").select(F.col("source_system").alias("source"), "province_type", "field_mapping")
+    if active.limit(BROADCAST + 1).count() <= BROADCAST:
+        active = F.broadcast(active)
     return keys.join(active, ["source", "province_type"], "left")
 
 
@@ -58,16 +65,15 @@ def apply_rule(record: Column, rule: Column) -> Column:
 
 
 def learn(records: list[dict], outputs: list[dict]) -> dict[str, str]:
-    """Source name to target name, where a model's output repeats a record's value; identity for the rest of the output's names.
-    Of several names with one value each stands for one target, in order."""
-    if not outputs or not records:
-        return {}
-    first = {k: v for k, v in records[0].items() if v not in (None, "")}
-    rule = {}
-    for target, value in outputs[0].items():
-        source = next((k for k, v in first.items() if v == value and k not in rule), target)
-        rule[source] = target
-    return rule
+    """Source name to target name, where a model's outputs repeat the records' values in most rows; identity for the rest of the outputs' names."""
+    counted: dict[tuple, int] = {}
+    for record, output in zip(records, outputs, strict=False):
+        for target, value in output.items():
+            for name, x in record.items():
+                if x == value and x not in (None, ""):
+                    counted[target, name] = counted.get((target, name), 0) + 1
+    targets = list(dict.fromkeys(t for output in outputs for t in output)) if records else []
+    return settled_rule(targets, [(*k, n) for k, n in counted.items()])
 
 
 def signature(record: Column) -> Column:
@@ -121,7 +127,7 @@ class ModelError(Exception):
 
 
 def stub_client(records: list[str]) -> list[dict]:
-    """A deterministic stand-in for a model: fields by their best matching names."""
+    """A client for tests, no model: fields by their best matching names."""
     out = []
     for text in records:
         try:
@@ -137,44 +143,72 @@ def stub_client(records: list[str]) -> list[dict]:
 
 def call_model(df: DataFrame, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(), record: str = "raw_fragment", pause: Callable[[float], None] | None = None, asked: str | None = None) -> DataFrame:
     """Adds fields and truthy from the client's answers, and model_error. Records go to it in small batches of one source; with a
-    pause, from config.model_callers tasks, which share the rate limit. asked: a column that says which rows are asked for,
-    the others keep their fields."""
+    pause, from config.model_callers tasks, which share the rate limit. A call of any client but the stub may take
+    config.model_timeout_s. Where a batch cannot be answered for what it holds, its records are asked for one by one.
+    asked: a column that says which rows are asked for, the others keep their fields."""
     import pandas as pd
 
-    schema = df.drop("fields", "truthy").schema.add("fields", TEXTS).add("truthy", TEXTS).add("model_error", "string")
+    schema = df.drop("fields", "truthy").schema.add("fields", TEXTS).add("truthy", TEXTS).add("model_error", "string").add("llm_inference_start", "timestamp").add("llm_inference_end", "timestamp").add("llm_inference_ms", "double")
     names = [c for c in df.columns if c not in ("fields", "truthy")]
 
+    def call(part: list[str]) -> list[dict]:
+        if config.model_provider == "stub":
+            return client(part)
+        from concurrent.futures import ThreadPoolExecutor
+        from concurrent.futures import TimeoutError as Late
+
+        pool = ThreadPoolExecutor(1)
+        try:
+            return pool.submit(client, part).result(config.model_timeout_s)
+        except Late as e:
+            raise ModelError("llm_timeout") from e
+        finally:
+            pool.shutdown(wait=False, cancel_futures=True)
+
     def answered(part: list[str]) -> tuple[list, list]:
-        """Fields and errors of one batch; where the number of answers is wrong, its records are asked for one by one."""
+        """Fields and errors of one batch."""
         try:
-            answers = client(part)
+            answers = call(part)
             if len(answers) != len(part):
-                singles = [client([x]) for x in part] if len(part) > 1 else [[]]
+                singles = [call([x]) for x in part] if len(part) > 1 else [[]]
                 answers = [a[0] if len(a) == 1 else None for a in singles]
             fields = [a and {k: None if v is None else str(v) for k, v in a.items()} for a in answers]
             return fields, ["llm_transform_failed" if a is None else None for a in answers]
         except ModelError as e:
+            if e.reason in ("llm_invalid_json", "llm_unexpected_error") and len(part) > 1:
+                return one_by_one(part)
             return [None] * len(part), [e.reason] * len(part)
         except Exception:  # noqa: BLE001 - a client may raise anything
+            if len(part) > 1:
+                return one_by_one(part)
             return [None] * len(part), ["llm_unexpected_error"] * len(part)
 
+    def one_by_one(part: list[str]) -> tuple[list, list]:
+        found = [answered([x]) for x in part]
+        return [f[0] for f, _ in found], [e[0] for _, e in found]
+
     def run(batches: Iterator) -> Iterator:
         for pdf in batches:
-            fields, errors = [None] * len(pdf), [None] * len(pdf)
+            fields, errors, began, ended = ([None] * len(pdf) for _ in range(4))
             if "fields" in pdf:
                 fields = [f if f is None else dict(f) for f in pdf["fields"]]
-            open_ = [i for i in range(len(pdf)) if pdf["ordinal"].iloc[i] is not None and (asked is None or bool(pdf[asked].iloc[i]))] if "ordinal" in pdf else list(range(len(pdf)))
+            open_ = [i for i in range(len(pdf)) if pd.notna(pdf["ordinal"].iloc[i]) and (asked is None or bool(pdf[asked].iloc[i]))] if "ordinal" in pdf else list(range(len(pdf)))
             for _, places in pd.Series(open_, dtype=int).groupby(pdf["source"].iloc[open_].tolist() if open_ else [], sort=False):
                 for k in range(0, len(places), config.model_batch):
                     at = places.iloc[k : k + config.model_batch].tolist()
+                    start = datetime.now(UTC)
                     for i, f, e in zip(at, *answered([pdf[record].iloc[i] for i in at]), strict=True):
-                        fields[i], errors[i] = f, e
+                        fields[i], errors[i], began[i] = f, e, start
+                    for i in at:
+                        ended[i] = datetime.now(UTC)
                     if pause:
                         pause(config.model_callers * config.model_min_delay_ms / 1000)
             pdf = pdf[names].copy()
             pdf["fields"] = fields
             pdf["truthy"] = [f and {k: v for k, v in f.items() if v} for f in fields]
             pdf["model_error"] = errors
+            pdf["llm_inference_start"], pdf["llm_inference_end"] = pd.Series(began, index=pdf.index, dtype="datetime64[us, UTC]"), pd.Series(ended, index=pdf.index, dtype="datetime64[us, UTC]")
+            pdf["llm_inference_ms"] = (pdf["llm_inference_end"] - pdf["llm_inference_start"]).dt.total_seconds() * 1000
             yield pdf
 
     return (df.repartition(config.model_callers) if pause else df).mapInPandas(run, schema)
@@ -193,10 +227,35 @@ def build(df: DataFrame) -> DataFrame:
     return mapping.settled(df, {f"in_{t}": value(t) for t in CANONICAL})
 
 
+def votes(answered: DataFrame) -> DataFrame:
+    """(source_system, province_type, target, name, n): in how many records the model's answer for a target repeats the value of a name;
+    blank values do not count. Names that hold one value in a record share its vote in turn, by their place."""
+    names = F.map_entries(F.from_json("raw_fragment", "map<string,string>"))
+    same = lambda t: F.transform(F.filter(names, lambda e: F.trim(e.value) == F.trim(t.value)), lambda e: F.struct(t.key.alias("target"), e.key.alias("name")))
+    given = F.filter(F.map_entries("fields"), lambda t: F.coalesce(F.trim(t.value), F.lit("")) != "")
+    pairs = F.flatten(F.transform(given, same))
+    rows = answered.select(F.col("source").alias("source_system"), "province_type", F.explode(pairs).alias("p"))
+    return rows.groupBy("source_system", "province_type", F.col("p.target").alias("target"), F.col("p.name").alias("name")).agg(F.count("*").alias("n"))
+
+
+def settled_rule(targets: list[str], counted: list[tuple[str, str, int]]) -> dict[str, str]:
+    """A rule (name to target) from votes (target, name, n): the pair with most votes is taken first, and a name or a target once (ties: targets in
+    the answers' order, then by name). Targets without a name stand for themselves."""
+    place = {t: i for i, t in enumerate(targets)}
+    rule: dict[str, str] = {}
+    for target, name, _ in sorted(counted, key=lambda v: (-v[2], place.get(v[0], len(place)), v[1])):
+        if name not in rule and target not in rule.values():
+            rule[name] = target
+    return rule | {t: t for t in targets if t not in rule.values() and t not in rule}
+
+
 def learned_rules(answered: DataFrame, config: EngineConfig, now: Column) -> DataFrame:
-    """A rule for each source and type of province that the model was asked for, from the first record and its answer."""
-    firsts = answered.where("asked and model_error is null and fields is not null").groupBy(F.col("source").alias("source_system"), "province_type")
-    pairs = firsts.agg(F.min_by(F.struct(F.col("raw_fragment").alias("record"), F.col("fields").alias("answer")), F.struct("message_id", "ordinal")).alias("p"))
+    """A rule for each source and type of province that the model was asked for, from all its records and answers. There is none where no record shows
+    a name for a required field: the model is asked again."""
+    good = answered.where("asked and model_error is null and fields is not null")
+    keys = ["source_system", "province_type"]
+    targets = good.groupBy(F.col("source").alias("source_system"), "province_type").agg(F.min_by(F.map_keys("fields"), F.struct("message_id", "ordinal")).alias("targets"))
+    counted = votes(good).groupBy(*keys).agg(F.collect_list(F.struct("target", "name", "n")).alias("votes"))
     provider = config.model_provider
 
     def run(batches: Iterator) -> Iterator:
@@ -204,13 +263,13 @@ def learned_rules(answered: DataFrame, config: EngineConfig, now: Column) -> Dat
 
         for pdf in batches:
             rows = []
-            for source, kind, pair in zip(pdf["source_system"], pdf["province_type"], pdf["p"], strict=True):
-                record, answer = json.loads(pair["record"]), dict(pair["answer"])
-                texts = {k: None if v is None else str(v) for k, v in record.items()}
-                rows.append((source, kind, learn([texts], [answer]), provider, "1.0", 0.95, hashlib.sha256(json.dumps(sorted(answer)).encode()).hexdigest()[:16], True))
-            yield pd.DataFrame(rows, columns=["source_system", "province_type", "field_mapping", "llm_model", "llm_prompt_version", "confidence_score", "sample_schema_signature", "is_active"])
+            for source, kind, found, listed in zip(*(pdf[c] for c in (*keys, "targets", "votes")), strict=True):
+                shown = [(v["target"], v["name"], v["n"]) for v in listed]
+                if all(any(t == required for t, _, _ in shown) for required in REQUIRED):
+                    rows.append((source, kind, settled_rule(list(found), shown), provider, "1.0", 0.95, hashlib.sha256(json.dumps(sorted(found)).encode()).hexdigest()[:16], True))
+            yield pd.DataFrame(rows, columns=[*keys, "field_mapping", "llm_model", "llm_prompt_version", "confidence_score", "sample_schema_signature", "is_active"])
 
-    return pairs.mapInPandas(run, RULE.split(", generated_at")[0]).withColumns({"generated_at": now, "updated_at": now})
+    return targets.join(counted, keys).mapInPandas(run, RULE.split(", generated_at")[0]).withColumns({"generated_at": now, "updated_at": now})
 
 
 def transformed(fanned: DataFrame, rules: DataFrame | None = None, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(mode="LLM"), now: Column | None = None, pause: Callable[[float], None] | None = None) -> dict[str, DataFrame]:
@@ -221,6 +280,8 @@ def transformed(fanned: DataFrame, rules: DataFrame | None = None, client: Calla
     """
     spark = fanned.sparkSession
     now = F.current_timestamp() if now is None else now
+    if pause is None and config.model_provider != "stub":
+        pause = time.sleep
     none = spark.createDataFrame([], RULE)
     rules = none if rules is None else none.unionByName(rules, allowMissingColumns=True)
     ruled = by_rule(fanned, rules).withColumn("asked", F.col("field_mapping").isNull() & F.col("ordinal").isNotNull())

@@ -6,6 +6,9 @@ of it; the same batch again changes nothing.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -54,7 +57,7 @@ def audit_success(accepted: DataFrame, batch_id: int, now: Column) -> DataFrame:
     """One log row for each station stored."""
     stamp = F.date_format(now, "yyyyMMddHHmmssSSS")
     fallback = F.concat_ws("-", F.lit("fallback"), F.col("source_system"), F.coalesce(F.nullif(F.col("raw_id"), F.lit("")), F.col("station_id")), stamp)
-    extra = [F.col(c) for c in ("timing_context", "injection") if c in accepted.columns]
+    extra = [F.col(c) for c in ("timing_context", "injection", "model") if c in accepted.columns]
     return accepted.select(
         F.coalesce(F.nullif(F.col("message_id").cast("string"), F.lit("")), fallback).alias("message_id"),
         F.lit("itv_stations").alias("domain"),
@@ -107,6 +110,39 @@ def evolved(*generations: DataFrame) -> DataFrame:
     return out
 
 
+@dataclass(frozen=True)
+class Revision:
+    """One step of a schema: a name, and what it does to a table's rows on the way up and on the way down."""
+
+    name: str
+    up: Callable[[DataFrame], DataFrame]
+    down: Callable[[DataFrame], DataFrame]
+
+
+def adds(column: str, kind: str, default: object = None) -> Revision:
+    return Revision(f"add {column}", lambda df: df.withColumn(column, F.lit(default).cast(kind)), lambda df: df.drop(column))
+
+
+def renames(old: str, new: str) -> Revision:
+    return Revision(f"rename {old} to {new}", lambda df: df.withColumnRenamed(old, new), lambda df: df.withColumnRenamed(new, old))
+
+
+def retypes(column: str, before: str, after: str) -> Revision:
+    """A change of type that loses no values both ways: the cast fails where one does not fit."""
+    return Revision(f"{column} from {before} to {after}", lambda df: df.withColumn(column, F.col(column).cast(after)), lambda df: df.withColumn(column, F.col(column).cast(before)))
+
+
+def revised(df: DataFrame, revisions: list[Revision], at: int, to: int) -> DataFrame:
+    """Rows of a table at one revision (0: before the first), as of another, later or earlier."""
+    if not (0 <= at <= len(revisions) and 0 <= to <= len(revisions)):
+        raise ValueError(f"revisions go from 0 to {len(revisions)}")
+    for step in revisions[at:to]:
+        df = step.up(df)
+    for step in reversed(revisions[to:at]):
+        df = step.down(df)
+    return df
+
+
 class FileTable:
     """States of a table under one path, a Parquet folder for each batch, in any file system that Spark writes to.
 
@@ -135,6 +171,12 @@ class FileTable:
         batch = self.current()
         return self.spark.read.parquet(f"{self.path}/b{batch}") if batch >= 0 else None
 
+    def take_back(self, batch_id: int) -> None:
+        """Drops the state of a batch; the one before holds again."""
+        for batch, folder in self._states():
+            if batch == batch_id:
+                self.fs.delete(folder, True)
+
     def write(self, df: DataFrame, batch_id: int) -> bool:
         """Writes the state after a batch; False if that or a later one holds already. The state before is kept for readers."""
         last = self.current()
@@ -145,3 +187,87 @@ class FileTable:
             if batch < last:
                 self.fs.delete(folder, True)
         return True
+
+
+class KeyedTable(FileTable):
+    """A table in folders by a hash of its keys. A batch writes new versions of the folders that its keys fall in, and no others; of each folder
+    the version of the newest complete batch holds.
+
+    A batch's folders hold once Spark has marked them as complete, all at the same time: a write that ends early changes nothing.
+    Of each folder the version before is kept for readers. Values in `blooms` columns get Bloom filters in the files.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, keys: tuple[str, ...] = KEYS, folders: int = 64, blooms: tuple[str, ...] = ("id_en_fuente", "codigo_postal")):
+        super().__init__(spark, path)
+        self.keys, self.folders, self.name, self.blooms = keys, folders, f"of{folders}", blooms
+
+    def folder(self) -> Column:
+        """The number of the folder that a row's keys fall in."""
+        return F.pmod(F.xxhash64(*self.keys), F.lit(self.folders)).cast("int").alias(self.name)
+
+    def _states(self) -> list[tuple[int, object]]:
+        if not self.fs.exists(self.root):
+            return []
+        found = [x.getPath() for x in self.fs.listStatus(self.root)]
+        return sorted([(int(p.getName().removeprefix("batch=")), p) for p in found if p.getName().startswith("batch=")], key=lambda x: -x[0])
+
+    def _versions(self) -> dict[int, list[tuple[int, object]]]:
+        """For each folder its versions (batch, path) of complete batches, the newest first."""
+        out: dict[int, list[tuple[int, object]]] = {}
+        for batch, p in self._states():
+            if self.fs.exists(self.spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")):
+                for x in self.fs.listStatus(p):
+                    name = x.getPath().getName()
+                    if name.startswith(f"{self.name}="):
+                        out.setdefault(int(name.partition("=")[2]), []).append((batch, x.getPath()))
+        return out
+
+    def read(self, folders: list[int] | None = None) -> DataFrame | None:
+        """The table, or what is in some of its folders; None: nothing there yet."""
+        held = self._versions()
+        paths = [v[0][1].toString() for k, v in sorted(held.items()) if (folders is None or k in folders) and self.fs.listStatus(v[0][1])]
+        if not paths:
+            return None
+        return self.spark.read.option("basePath", self.path).parquet(*paths).drop("batch")
+
+    def write(self, df: DataFrame, batch_id: int, folders: list[int] | None = None) -> bool:
+        """Writes all rows of some folders (None: of all) after a batch; False if that or a later one holds already."""
+        last = self.current()
+        if batch_id <= last:
+            return False
+        if folders is None:
+            folders = list(range(self.folders))
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self.root, f"batch={batch_id}")
+        self.fs.delete(target, True)
+        for k in folders:  # a folder that gets no rows is empty from now on
+            self.fs.mkdirs(self.spark._jvm.org.apache.hadoop.fs.Path(target, f"{self.name}={k}"))
+        out = df.drop(self.name).withColumn(self.name, self.folder()).repartition(self.name)
+        writer = out.write.mode("append").partitionBy(self.name)
+        for c in self.blooms:
+            if c in df.columns:
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true")
+        writer.parquet(f"{self.path}/batch={batch_id}")
+        for versions in self._versions().values():
+            for _, old in versions[2:]:
+                self.fs.delete(old, True)
+        return True
+
+    def upsert(self, rows: DataFrame, order: str, now: Column, batch_id: int) -> bool:
+        """Upserts a batch; only its folders are read and written."""
+        if batch_id <= self.current():
+            return False
+        touched = [r[0] for r in rows.select(self.folder()).distinct().collect()]
+        current = self.read(touched)
+        if current is None:
+            current = self.spark.createDataFrame([], rows.drop(order).schema).withColumns({c: F.lit(None).cast("timestamp") for c in ("fecha_creacion", "fecha_actualizacion")})
+        return self.write(upsert(current.drop(self.name), rows, order, now, self.keys), batch_id, touched)
+
+    def lookup(self, **keys) -> DataFrame | None:
+        """The rows with these keys: one folder is read, and in it what file statistics and Bloom filters do not rule out."""
+        literals = self.spark.range(1).select(*[F.lit(keys[k]).alias(k) for k in self.keys])
+        found = self.read([literals.select(self.folder()).first()[0]])
+        if found is None:
+            return None
+        for k, v in keys.items():
+            found = found.where(F.col(k) == v)
+        return found

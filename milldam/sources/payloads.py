@@ -25,6 +25,8 @@ MEDIA_TYPES = {
     "text/plain": "csv",
 }
 XML_FIELDS = ("id", "nom", "adreca", "ciutat", "provincia", "codi_postal", "latitud", "longitud", "telefon", "email")
+#: An XML payload's root: its tag, attributes and content.
+ROOT = r"(?s)^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!DOCTYPE[^>]*>\s*)?(?:<!--.*?-->\s*)*<([^\s/>!?]+)([^>]*?)(?:/>|>(.*)</\1\s*>)\s*(?:<!--.*?-->\s*)*$"
 TEXTS, TYPES = "map<string,string>", "map<string,variant>"
 
 
@@ -33,22 +35,26 @@ def media_format(x: Column) -> Column:
     return known[F.lower(F.trim(F.substring_index(x, ";", 1)))]
 
 
-def scan_files(spark: SparkSession, path: str, media_type: str, config: EngineConfig = EngineConfig()) -> DataFrame:
-    """Whole files as payloads, with the reason why one is refused (null: it is fine). Files without a byte are not read."""
+# File name endings and their media types.
+ENDINGS = {"json": "application/json", "xml": "application/xml", "csv": "text/csv", "txt": "text/plain"}
+
+
+def scan_files(spark: SparkSession, path: str, media_type: str | None = None, config: EngineConfig = EngineConfig()) -> DataFrame:
+    """Whole files as payloads, with the reason why one is refused (null: it is fine). Files without a byte are not read, and of too large ones
+    only the name. Without a media type each file's ending tells it."""
     files = spark.read.format("binaryFile").load(path)
-    kind = media_format(F.lit(media_type))
+    endings = F.create_map(*[F.lit(x) for pair in ENDINGS.items() for x in pair])
+    media = F.lit(media_type) if media_type is not None else endings[F.lower(F.regexp_extract("path", r"\.([^./]*)$", 1))]
+    kind = media_format(media)
+    large = files.where(F.col("length") > config.max_file_bytes).select("path", kind.alias("format"), F.lit(None).cast("string").alias("payload"), F.when(kind.isNull(), "unsupported_media_type").otherwise("file_too_large").alias("refused"))
     text = F.try_validate_utf8(F.col("content").cast("string"))
     sane = (
         F.when(kind == "json", F.try_parse_json(text).isNotNull())
         .when(kind == "xml", F.ltrim(text).startswith("<"))
         .when(kind == "csv", F.size(F.split(F.trim(text), "\r?\n")) >= 2)
     )
-    return files.select(
-        "path",
-        kind.alias("format"),
-        text.alias("payload"),
-        F.when(kind.isNull(), "unsupported_media_type").when(F.col("length") > config.max_file_bytes, "file_too_large").when(text.isNull(), "not_utf8").when(~sane, "malformed_file").alias("refused"),
-    )
+    refused = F.when(kind.isNull(), "unsupported_media_type").when(text.isNull(), "not_utf8").when(~sane, "malformed_file")
+    return files.where(F.col("length") <= config.max_file_bytes).select("path", kind.alias("format"), text.alias("payload"), refused.alias("refused")).union(large)
 
 
 def decode_envelopes(df: DataFrame, value: str = "value") -> DataFrame:
@@ -163,11 +169,32 @@ def _single(source: Column, keys: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
-def records(df: DataFrame, strict: bool = True) -> DataFrame:
+def xml_stations(payload: Column) -> Column:
+    """The maps of an XML text's station elements, one value for each child tag (nested ones as text, of equal tags the last; null: no child
+    tags); null if it is not well-formed or has no station. Where text stands between tags the tags of the rules are read."""
+    parsed = lambda kind: F.from_xml(payload, F.lit(f"station array<{kind}>"), {"ignoreSurroundingSpaces": "false"}).station
+    mixed = parsed("struct<" + ",".join(f"{f}:string" for f in XML_FIELDS) + ">")
+    known = F.transform(mixed, lambda s: F.map_filter(F.create_map(*[x for f in XML_FIELDS for x in (F.lit(f), s[f])]), lambda k, v: v.isNotNull()))
+    return F.coalesce(parsed(TEXTS), known)
+
+
+def xml_root(payload: Column) -> Column:
+    """An XML text's root as the only station."""
+    return xml_stations(F.concat(F.lit("<r><station>"), F.regexp_extract(payload, ROOT, 3), F.lit("</station></r>")))
+
+
+def shape(payload: Column) -> Column:
+    """The format that a text looks like, whatever it is declared as."""
+    return F.when(F.ltrim(payload).startswith("<"), "xml").when(F.schema_of_variant(F.try_parse_json(payload)).rlike("^(OBJECT|ARRAY)"), "json").otherwise("csv")
+
+
+def records(df: DataFrame, strict: bool = True, shapes: bool = False) -> DataFrame:
     """Adds `found`, the array of a payload's records: JSON text, or a map for XML and CSV.
 
     strict: as fan-out does it (only a source's own wrapper, objects only); otherwise as a direct call of the mapping
     takes it (any of the source's wrappers, first that is given, and elements of any type).
+    shapes: texts are read as what they look like, and an XML root without stations is a record, as a direct call of the
+    mapping by names takes them.
     """
     p, source = F.col("payload"), F.col("source")
     first = F.left(F.ltrim(p), F.lit(1))
@@ -199,9 +226,9 @@ def records(df: DataFrame, strict: bool = True) -> DataFrame:
 
     found = let(F.try_parse_json(p), lambda v: F.when(v.isNotNull(), F.when(first == "[", of_array(v)).when(first == "{", of_object(v))))
     json = F.filter(found, lambda r: r.object) if strict else found
-    xml = F.from_xml(p, F.lit("station array<struct<" + ",".join(f"{f}:string" for f in XML_FIELDS) + ">>"), {"ignoreSurroundingSpaces": "false"}).station
+    xml = F.coalesce(xml_stations(p), xml_root(p)) if shapes else xml_stations(p)
     lines = csv_lines(p)
-    form = F.col("format")
+    form = shape(p) if shapes else F.col("format")
     return df.withColumns(
         {
             "found_json": F.when(form == "json", json),
@@ -211,9 +238,9 @@ def records(df: DataFrame, strict: bool = True) -> DataFrame:
     )
 
 
-def fan_out(df: DataFrame, strict: bool = True) -> DataFrame:
+def fan_out(df: DataFrame, strict: bool = True, shapes: bool = False) -> DataFrame:
     """One row for each record: ordinal (from 0), total, fields, truthy, is_object, raw_fragment. Messages without any keep one row with a null ordinal."""
-    found = records(df, strict)
+    found = records(df, strict, shapes)
     header = csv_cells(F.col("found_csv")[0])
     one = "struct<fields:map<string,string>,truthy:map<string,string>,object:boolean,raw:string>"
 
@@ -223,8 +250,8 @@ def fan_out(df: DataFrame, strict: bool = True) -> DataFrame:
     json = F.transform("found_json", lambda r: let(F.when(r.object, json_record(r.text)), lambda x: record(x.fields, x.truthy, r.object, r.text)))
 
     def of_xml(s: Column) -> Column:
-        fields = F.create_map(*[x for f in XML_FIELDS for x in (F.lit(f), s[f])])
-        return record(fields, text_truthy(fields), F.lit(True), F.to_json(s))
+        fields = F.coalesce(s, F.create_map().cast(TEXTS))
+        return record(fields, text_truthy(fields), s.isNotNull() if shapes else F.lit(True), F.to_json(fields))
 
     def of_csv(line: Column) -> Column:
         fields = csv_record(header, csv_cells(line))
@@ -252,8 +279,7 @@ def lineage(df: DataFrame) -> DataFrame:
 
 def rewrapped(source: Column, form: Column, raw: Column, fields: Column, payload: Column) -> Column:
     """A single record in its source's wrapper; for XML in the payload's own root element, with its attributes."""
-    root = r"^\s*(?:<\?xml[^>]*\?>\s*)?(?:<!--.*?-->\s*)*<([A-Za-z_][^\s/>]*)([^>]*)>"
-    tag, more = F.regexp_extract(payload, root, 1), F.regexp_extract(payload, root, 2)
+    tag, more = F.regexp_extract(payload, ROOT, 1), F.regexp_extract(payload, ROOT, 2)
     tags = F.array_join(F.transform(F.map_entries(fields), lambda e: F.when(e.value.isNotNull(), F.concat(F.lit("<"), e.key, F.lit(">"), _escaped(e.value), F.lit("</"), e.key, F.lit(">"))).otherwise("")), "")
     return (
         F.when(form == "json", F.concat(F.lit('{"'), _wrapper(source), F.lit('":['), raw, F.lit("]}")))

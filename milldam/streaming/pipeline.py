@@ -4,6 +4,7 @@ Each micro-batch goes through the same chain as a batch does. Its outputs are wr
 batch that runs again after a failure overwrites what it wrote; the table is written last and takes a batch once. After
 retries a batch that still fails is taken back from the outputs and goes to the dead letters as a whole, with a failure in
 the audit log. So each message ends up in one place, and there once; readers of a batch's folder may see it rewritten.
+A message that is delivered again within a stated time is not processed again.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 from milldam.config import EngineConfig
 from milldam.operators import mapping, routing, store
 
-MESSAGES = "message_id string, source string, format string, payload string"
+MESSAGES = "message_id string, source string, format string, payload string, gateway_ingested_at timestamp, parent_message_id string, station_sequence int, total_stations int, injection struct<type:string,metadata:map<string,string>>"
 
 
 def read_messages(spark: SparkSession, path: str, config: EngineConfig = EngineConfig()) -> DataFrame:
@@ -41,10 +42,23 @@ def with_retries(action: Callable[[], None], config: EngineConfig, sleep: Callab
     return error
 
 
-def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfig, fail: Callable[[str, int], None] | None = None) -> None:
+def once_each(messages: DataFrame, config: EngineConfig) -> DataFrame:
+    """Leaves out messages that are delivered again, in a later batch or the same, within config.redelivery. The ids seen in that time are
+    the stream's state. Messages without an id are all kept."""
+    keyed = messages.withColumns({"_arrived": F.current_timestamp(), "_key": F.coalesce(F.nullif("message_id", F.lit("")), F.expr("uuid()"))})
+    return keyed.withWatermark("_arrived", config.redelivery).dropDuplicatesWithinWatermark(["_key"]).drop("_arrived", "_key")
+
+
+def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfig, fail: Callable[[str, int], None] | None = None, client: Callable | None = None) -> None:
+    """Routes a batch and writes its outputs. By model, the rules that stand after a batch are a state under its number: the next one
+    looks them up, and one that is taken back leaves none."""
     spark = batch.sparkSession
-    batch = batch.persist()
+    if batch.isEmpty():
+        return
     now = F.lit(datetime.now(UTC))
+    batch = batch.withColumn("normalizer_started_at", now).persist()
+    learnt = store.FileTable(spark, f"{out}/rules")
+    table = store.KeyedTable(spark, f"{out}/stations", folders=config.table_folders)
 
     def reached(step: str) -> None:
         if fail:
@@ -60,40 +74,41 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfi
 
     def attempt() -> None:
         reached("route")
-        found = routing.normalise(batch, config=config).persist()
-        routed = routing.outputs(found, batch, config)
+        found = routing.normalised(batch, config=config, rules=learnt.read() if config.mode == "LLM" else None, client=client)
+        rows = found["rows"].persist()
+        routed = routing.outputs(rows.withColumn("normalizer_completed_at", F.current_timestamp()), batch, config)
         accepted = routed["accepted"].persist()
         try:
             write(accepted, "normalized")
             write(routed["rejected"].withColumn("rejected_at", now), "rejected")
             write(routed["dead"], "dead_letter")
             write(store.audit_success(accepted, batch_id, now), "audit")
-            table = store.FileTable(spark, f"{out}/stations")
+            if "rules" in found:
+                reached("rules")
+                learnt.write(found["rules"], batch_id)
             place = F.concat_ws("/", F.col("message_id").cast("string"), F.lpad(F.col("ordinal").cast("string"), 10, "0"))
-            rows = mapping.rename_to_table(accepted, place.alias("_order"))
-            current = table.read()
-            if current is None:
-                current = spark.createDataFrame([], rows.drop("_order").schema).withColumns({"fecha_creacion": F.lit(None).cast("timestamp"), "fecha_actualizacion": F.lit(None).cast("timestamp")})
             reached("stations")
-            table.write(store.upsert(current, rows, "_order", now), batch_id)  # last: what comes before can be taken back
+            table.upsert(mapping.rename_to_table(accepted, place.alias("_order")), "_order", now, batch_id)  # last: what comes before can be taken back
         finally:
             accepted.unpersist()
-            found.unpersist()
+            rows.unpersist()
 
     error = with_retries(attempt, config)
     if error is not None:
         for name in ("normalized", "rejected"):
             remove(name)
+        learnt.take_back(batch_id)
         write(batch.withColumn("dead", F.lit("batch_failed")), "dead_letter")
         failed = batch.select("message_id", F.col("source").alias("source_system"), F.lit(None).cast("string").alias("raw_id"), F.lit(None).cast("string").alias("station_id"))
         write(store.audit_failure(failed, batch_id, "persist", str(error), now), "audit")
     batch.unpersist()
 
 
-def start(messages: DataFrame, out: str, checkpoint: str, config: EngineConfig = EngineConfig(), fail: Callable[[str, int], None] | None = None, **trigger) -> StreamingQuery:
+def start(messages: DataFrame, out: str, checkpoint: str, config: EngineConfig = EngineConfig(), fail: Callable[[str, int], None] | None = None, client: Callable | None = None, **trigger) -> StreamingQuery:
     """Runs until stopped, or with availableNow=True until the input is used up."""
     return (
-        messages.writeStream.foreachBatch(lambda b, i: process_batch(b, i, out, config, fail))
+        once_each(messages, config)
+        .writeStream.foreachBatch(lambda b, i: process_batch(b, i, out, config, fail, client))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{config.trigger_ms} milliseconds"}))
         .start()

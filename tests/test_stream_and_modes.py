@@ -33,7 +33,7 @@ def ran(spark, raw, tmp_path, fail=None):
     run = pipeline.start(pipeline.read_messages(spark, raw, config), f"{tmp_path}/out", f"{tmp_path}/state", config, fail, availableNow=True)
     run.awaitTermination()
     read = lambda name: spark.read.schema("message_id string, batch int").json(f"{tmp_path}/out/{name}")
-    table = store.FileTable(spark, f"{tmp_path}/out/stations").read()
+    table = store.KeyedTable(spark, f"{tmp_path}/out/stations").read()
     stored = sorted((r.fuente_origen, r.id_en_fuente) for r in table.collect()) if table is not None else []
     return {n: sorted(r.message_id for r in read(n).collect()) if (tmp_path / "out" / n).exists() else [] for n in STEPS[1:5]}, stored
 
@@ -270,3 +270,154 @@ def test_name_join_is_all_pairs(spark):
     for least in (0.3, 0.6, 1.0):
         want = {(q, k) for q, a in enumerate(names) if q % 7 == 0 for k, b in enumerate(names) if grams(a) and grams(b) and len(grams(a) & grams(b)) >= least * len(grams(a) | grams(b)) - 1e-12}
         assert {(r.qid, r.k) for r in search.name_join(df, queries, "k", least=least).collect()} == want
+
+
+# ---- rules, redelivery, provenance, folders ---------------------------------------------------------------------------
+
+
+def test_rules_come_from_all_records(spark):
+    """The first record has blanks; the rule is none the poorer, and the next batch is mapped by it."""
+    first = valencia(spark, station(1, nombre="", telefono=None), station(2, telefono=None), station(3))
+    out = learned.transformed(first)
+    rule = out["rules"].first().field_mapping
+    assert rule["nombre"] == "name" and rule["codigo"] == "raw_id" and rule["telefono"] == "phone" and "name" not in rule
+    rules = spark.createDataFrame(out["rules"].collect(), out["rules"].schema)
+
+    def never(records):
+        raise AssertionError(records)
+
+    again = learned.transformed(valencia(spark, *[station(i) for i in range(4, 8)], message="n"), rules, client=never)
+    assert [r.reason for r in again["rows"].collect()] == [None] * 4
+    blank = learned.transformed(valencia(spark, station(1, nombre=""), station(2, nombre=" ")))
+    assert blank["rules"].count() == 0  # no record shows where the name stands: the model is asked again
+
+
+def test_a_message_without_stations_costs_no_other(spark):
+    rows = spark.createDataFrame([("none", "valencia", "json", "[]"), ("m", "valencia", "json", json.dumps({"estaciones": [station(i) for i in range(3)]}))], "message_id string, source string, format string, payload string")
+    seen = []
+
+    def client(records):
+        assert all(isinstance(x, str) for x in records), seen
+        if any('"codigo": "1"' in x or '"codigo":"1"' in x for x in records):
+            raise ValueError("bad record")
+        return learned.stub_client(records)
+
+    got = learned.call_model(payloads.fan_out(rows).coalesce(1), client).where("ordinal is not null").orderBy("ordinal").collect()
+    assert [r.model_error for r in got] == [None, "llm_unexpected_error", None] and all(r.llm_inference_ms >= 0 for r in got)
+
+
+def test_slow_model(spark):
+    def slow(records):
+        import time
+
+        time.sleep(3)
+
+    got = learned.call_model(valencia(spark, station(1)), slow, EngineConfig(model_provider="openai", model_timeout_s=1)).first()
+    assert got.model_error == "llm_timeout"
+
+
+def write_messages(spark, folder, name, *rows):
+    text = [json.dumps(r) for r in rows]
+    (folder / name).write_text("\n".join(text))
+
+
+def raw_message(i, *stations, **more):
+    return {"message_id": i, "source": "valencia", "format": "json", "payload": json.dumps({"estaciones": list(stations)})} | more
+
+
+def test_stream_keeps_rules_and_drops_what_comes_again(spark, tmp_path):
+    """Three batches: the model is asked once for a kind of province; a message that comes again is left out."""
+    folder, asked = tmp_path / "in", tmp_path / "asked"
+    folder.mkdir()
+    asked.mkdir()
+    marked = {"injection": {"type": "mixed", "metadata": {"seed": "3"}}, "gateway_ingested_at": "2024-05-01T10:00:00.000Z", "parent_message_id": "p", "station_sequence": 4, "total_stations": 9}
+    write_messages(spark, folder, "a.json", raw_message("m1", station(1), **marked))
+    write_messages(spark, folder, "b.json", raw_message("m2", station(2)), raw_message("m1", station(1)))
+    write_messages(spark, folder, "c.json", raw_message("m3", station(3)), raw_message(None, station(4)), raw_message(None, station(5)))
+    import os
+
+    for k, name in enumerate("abc"):
+        os.utime(folder / f"{name}.json", (1e9 + k, 1e9 + k))
+    place = str(asked)
+
+    def client(records):
+        import pathlib
+
+        pathlib.Path(place, "once").touch(exist_ok=False)  # a second call fails
+        return learned.stub_client(records)
+
+    config = EngineConfig(mode="LLM", sink_base_ms=1, files_per_trigger=1, table_folders=16)
+    pipeline.start(pipeline.read_messages(spark, str(folder), config), f"{tmp_path}/out", f"{tmp_path}/state", config, client=client, availableNow=True).awaitTermination()
+    stored = store.KeyedTable(spark, f"{tmp_path}/out/stations", folders=16).read()
+    assert sorted(r.id_en_fuente for r in stored.collect()) == [f"VAL_{i}" for i in range(1, 6)]
+    log = spark.read.json(f"{tmp_path}/out/audit").collect()
+    assert sorted(r.message_id for r in log if r.message_id in ("m1", "m2", "m3")) == ["m1", "m2", "m3"] and len(log) == 5
+    one = next(r for r in log if r.message_id == "m1").metadata
+    assert one.injection.type == "mixed" and one.injection.metadata.seed == "3" and one.model.llm_inference_ms >= 0
+    context = one.timing_context
+    assert (context.parent_message_id, context.station_sequence, context.total_stations) == ("p", 4, 9) and context.gateway_ingested_at.startswith("2024-05-01") and context.normalizer_started_at <= context.normalizer_completed_at
+    assert store.FileTable(spark, f"{tmp_path}/out/rules").read().where("is_active").count() == 1
+
+
+def test_upsert_touches_its_own_folders(spark, tmp_path):
+    table = store.KeyedTable(spark, str(tmp_path / "t"), folders=32)
+    rows = lambda *ks, city="a": spark.createDataFrame([("v", f"S{k}", f"n{k}{city}", "46001", k) for k in ks], "fuente_origen string, id_en_fuente string, nombre string, codigo_postal string, o int")
+    now = F.lit("2024-05-01 10:00:00").cast("timestamp")
+    assert table.read() is None and table.upsert(rows(*range(500)), "o", now, 0) and not table.upsert(rows(1), "o", now, 0)
+    before = set(table.read().inputFiles())
+    assert len(before) == 32
+    later = rows(*range(495, 505), city="b")
+    own = {r[0] for r in later.select(table.folder()).distinct().collect()}
+    assert table.upsert(later, "o", F.lit("2024-05-02 10:00:00").cast("timestamp"), 1)
+    after = set(table.read().inputFiles())
+    written = {int(f.split("of32=")[1].split("/")[0]) for f in after - before}
+    assert written == own and len(own) < 32 and {int(f.split("of32=")[1].split("/")[0]) for f in table.read(sorted(own)).inputFiles()} == own
+    got = {r.id_en_fuente: r for r in table.read().collect()}
+    assert len(got) == 505 and got["S499"].nombre == "n499b" and got["S1"].nombre == "n1a"
+    assert got["S499"].fecha_creacion < got["S499"].fecha_actualizacion and got["S1"].fecha_creacion == got["S1"].fecha_actualizacion
+    found = table.lookup(fuente_origen="v", id_en_fuente="S499")
+    assert found.count() == 1 and len(found.inputFiles()) == 1 and table.lookup(fuente_origen="v", id_en_fuente="none").count() == 0
+    plan = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
+    assert "EqualTo(id_en_fuente,S499)" in plan.split("PushedFilters")[1]
+    boom = rows(1, 2).withColumn("nombre", F.raise_error("disk full").cast("string"))
+    with pytest.raises(Exception, match="disk full"):
+        table.upsert(boom, "o", now, 2)
+    assert table.current() == 1 and table.read().count() == 505
+    for batch in (3, 4, 5):
+        table.upsert(rows(1, 2, city=str(batch)), "o", now, batch)
+    assert table.read().count() == 505 and {r.nombre for r in table.read().where("id_en_fuente in ('S1', 'S2')").collect()} == {"n15", "n25"}
+    kept = [p for p in (tmp_path / "t").glob("batch=*/of32=*") if any(p.glob("*.parquet"))]
+    assert len(kept) <= 2 * 32
+
+
+def test_revisions_up_and_down(spark):
+    steps = [store.adds("estado", "string", "activa"), store.renames("nombre", "nombre_itv"), store.retypes("id", "int", "bigint")]
+    rows = spark.createDataFrame([(1, "a"), (2, None)], "id int, nombre string")
+    top = store.revised(rows, steps, 0, 3)
+    assert top.dtypes == [("id", "bigint"), ("nombre_itv", "string"), ("estado", "string")] and {r.estado for r in top.collect()} == {"activa"}
+    back = store.revised(top, steps, 3, 0)
+    assert back.dtypes == rows.dtypes and sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
+    assert store.revised(top, steps, 3, 1).columns == ["id", "nombre", "estado"]
+    with pytest.raises(ValueError):
+        store.revised(rows, steps, 0, 4)
+
+
+def test_xml_with_any_tags(spark):
+    record = "<codigo>7</codigo><nam>ITV</nam><direccion>Calle 1</direccion><cityname>Valencia</cityname><provincia>Valencia</provincia><zip>46001</zip><tel>961234567</tel>"
+    messages = spark.createDataFrame([("m", "catalunya", "xml", f'<?xml version="1.0"?>\n<feed v="2">\n <station>\n{record}\n</station><station k="1"/><station>{record.replace("7", "8", 1)}</station></feed>'.replace("><dir", ">\n  <dir"))], "message_id string, source string, format string, payload string")
+    rows = routing.normalise(messages, config=EngineConfig(mode="FUZZY")).orderBy("ordinal").collect()
+    assert [(r.raw_id, r.name, r.city, r.phone, r.reason) for r in rows] == [("7", "ITV", "VALENCIA", "+34961234567", None), (None, None, None, None, "fuzzy_mapping_failure"), ("8", "ITV", "VALENCIA", "+34961234567", None)]
+    single = spark.createDataFrame([("m", "catalunya", "xml", f"<estacion>{record}</estacion>"), ("n", "galicia", "json", "id,nome\n1,x"), ("o", "galicia", "csv", '[{"id":"1","nome":"x"}]'), ("p", "galicia", "xml", "<a/>")], messages.schema)
+    loose = {r.message_id: r for r in routing.normalise(single, strict=False, config=EngineConfig(mode="FUZZY")).collect()}
+    assert (loose["m"].raw_id, loose["n"].name, loose["o"].raw_id, loose["p"].reason) == ("7", "x", "1", "invalid_station_payload_type")
+    assert {r.ordinal for r in routing.normalise(single, config=EngineConfig(mode="FUZZY")).collect() if r.message_id != "o"} == {None}
+    nested = fanned(spark, "catalunya", "xml", "<r><station><id>01</id><geo><lat>1</lat><lon>2</lon></geo><t>1</t><t>2</t></station></r>").first()
+    assert nested.fields == {"id": "01", "geo": "<lat>1</lat><lon>2</lon>", "t": "2"}
+    assert [r.ordinal for r in fanned(spark, "catalunya", "xml", "<r><station><id>1</id></r>").collect()] == [None]
+
+
+def test_files_by_ending(spark, tmp_path):
+    for name, text in {"a.json": '{"a":1}', "b.xml": "<a/>", "c.csv": "a\nb", "d.png": "x", "e.json": "{" + " " * 50}.items():
+        (tmp_path / name).write_text(text)
+    found = {r.path.rsplit("/", 1)[1]: (r.refused, r.payload) for r in payloads.scan_files(spark, str(tmp_path), config=EngineConfig(max_file_bytes=20)).collect()}
+    assert {k: v[0] for k, v in found.items()} == {"a.json": None, "b.xml": None, "c.csv": None, "d.png": "unsupported_media_type", "e.json": "file_too_large"} and found["e.json"][1] is None
