@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, durable, join_named, shuffle_partitions, slices, table
-from .linking import STRAYS, exhausted, linked
+from .linking import STRAYS, bitmap, close, exhausted, linked, merged
 
 #: Shingles that a subset should have on the mean.
 TELLING = 2.5
@@ -163,7 +163,7 @@ def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int) -> tup
 KEYS = "place int, fp long, keys array<long>"
 
 
-def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> pa.RecordBatch:
+def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> list[pa.Array]:
     place, fps, sizes, out = [], [], [], [np.empty(0, np.uint64)]
     for fp, values, n, only in sets:
         if not len(values):
@@ -189,23 +189,27 @@ def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, co
         place, fps, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out).view(np.int64)))
-    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists], names=["place", "fp", "keys"])
+    return [pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists]
 
 
 def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray, places: int) -> DataFrame:
-    """(text) -> KEYS; equal sets of a batch are listed once."""
+    """(doc_id, text) -> KEYS, doc_id, n: rows of keys, equal sets of a batch once, and for each document a row without keys, with
+    its id, its set and the set's size."""
+    kind = docs.schema["doc_id"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bands = _Words(), Bands(percent, 0)
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets = {}
-                for x in batch.column("text").cast(pa.binary()).to_pylist():
-                    values = shingle_set(x or b"", width, known)
-                    sets[digest(values)] = values
-                yield _rows([(fp, v, len(v), None) for fp, v in sets.items()], bands, common, places)
+                found = [shingle_set(x or b"", width, known) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+                fps, n = list(map(digest, found)), list(map(len, found))
+                place, fp, keys = _rows([(fp, v, len(v), None) for fp, v in dict(zip(fps, found, strict=True)).items()], bands, common, places)
+                ids = batch.column("doc_id")
+                yield pa.RecordBatch.from_arrays([place, fp, keys, pa.nulls(len(fp), ids.type), pa.nulls(len(fp), pa.int64())], names=["place", "fp", "keys", "doc_id", "n"])
+                own = pa.array(((np.array(fps, np.int64) + np.arange(len(fps))) % places).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([own, pa.array(fps, pa.int64()), pa.nulls(len(ids), keys.type), ids, pa.array(n, pa.int64())], names=["place", "fp", "keys", "doc_id", "n"])
 
-    return docs.select("text").mapInArrow(run, KEYS)
+    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([*T._parse_datatype_string(KEYS).fields, kind, T.StructField("n", T.LongType())]))
 
 
 def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> DataFrame:
@@ -217,7 +221,8 @@ def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> Data
         for batch in batches:
             values = (np.sort(np.array(x, np.int64).view(np.uint64)) for x in batch.column("x").to_pylist())
             columns = (batch.column(c).to_pylist() for c in ("fp", "n", "only"))
-            yield _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
+            rows = _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
+            yield pa.RecordBatch.from_arrays(rows, names=["place", "fp", "keys"])
 
     return sets.select("fp", "n", "x", "only").mapInArrow(run, KEYS)
 
@@ -239,47 +244,51 @@ def spares(sets: DataFrame, percent: int, level: int) -> DataFrame:
     return sets.select("fp", "n", "x").mapInArrow(run, "fp long, lower int, spare int")
 
 
-def marks(docs: DataFrame, width: int, full: bool) -> DataFrame:
-    """(doc_id, text) -> (doc_id, fp, n), with the set's hashes (x) if full."""
-    kinds = "fp long, n long" + ", x array<long>" * full
+def whole_sets(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, text) -> (fp, n, bits, x): each text's set, its size, bitmap and hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20 if full else 4 << 20):
+            for batch in slices(whole, "text", 1 << 20):
                 sets = [shingle_set(x or b"", width, known) for x in batch.column("text").cast(pa.binary()).to_pylist()]
-                out = [batch.column("doc_id"), pa.array(list(map(digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int64())]
-                if full:
-                    ends = np.cumsum([0, *map(len, sets)])
-                    out.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64())))
-                yield pa.RecordBatch.from_arrays(out, names=["doc_id", "fp", "n", "x"][: len(out)])
+                ends = np.cumsum([0, *map(len, sets)])
+                x = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64()))
+                yield pa.RecordBatch.from_arrays([pa.array(list(map(digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(bitmap, sets)), pa.binary()), x], names=["fp", "n", "bits", "x"])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], *T._parse_datatype_string(kinds).fields]))
+    return docs.select("text").mapInArrow(run, "fp long, n long, bits binary, x array<long>")
 
 
 def common_keys(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     """Keys that many of a sample of the texts have, in order: at most (keys of a text) / COMMON."""
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
     least = max(8, some.count() * COMMON)
-    rows = keys_of_texts(some, width, percent, np.empty(0, np.uint64), 1).select(F.explode("keys").alias("key")).groupBy(F.shiftright("key", 3).alias("key")).count()
+    rows = keys_of_texts(some, width, percent, np.empty(0, np.uint64), 1).where("keys is not null").select(F.explode("keys").alias("key")).groupBy(F.shiftright("key", 3).alias("key")).count()
     return np.sort(np.array([r.key << 3 for r in rows.where(F.col("count") >= least).select("key").collect()], np.int64).view(np.uint64))
 
 
-def shared_keys(keys: DataFrame, places: int) -> DataFrame:
-    """KEYS -> (key, fp, lower, worth) of keys that several sets have, one of them in its own band; once for a set."""
-    dealt = keys.repartition(places, "place").select("place", "fp", F.explode("keys").alias("packed"))
-    rows = dealt.select("place", "fp", F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
+def shared_keys(dealt: DataFrame) -> DataFrame:
+    """KEYS, dealt by their place, and more columns -> (key, fp, lower, worth, more) of keys that several sets have, one of them in its own band, and
+    the rows without keys."""
+    more = [c for c in dealt.columns if c not in ("place", "fp", "keys")]
+    rows = dealt.select("place", "fp", *more, F.explode_outer("keys").alias("packed"))
+    rows = rows.select("place", "fp", *more, F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
     beside = Window.partitionBy("place", "key")
     seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("kind").over(beside)})
-    found = seen.where("place < 0 or (a != b and own < 4)")
-    return found.groupBy("key", "fp").agg(F.min(F.expr("kind div 4")).cast("int").alias("lower"), F.max(F.when(F.col("kind") % 4 == 2, 2).otherwise(1)).alias("worth"))
+    found = seen.where("key is null or place < 0 or (a != b and own < 4)")
+    return found.select("key", "fp", F.expr("kind div 4").cast("int").alias("lower"), F.when(F.col("kind") % 4 == 2, 2).otherwise(1).alias("worth"), *more)
+
+
+def once(rows: DataFrame) -> DataFrame:
+    """Rows of shared keys, once for a key and set."""
+    return rows.groupBy("key", "fp").agg(F.min("lower").alias("lower"), F.max("worth").alias("worth"))
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(fp, n, x) of the documents with these ids (doc_id), written."""
+    """(fp, n, bits, x) of the documents with these ids (doc_id), written."""
     ids = ids.select(F.col("doc_id").alias("picked")).distinct()
     picked = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")
-    found = durable(marks(picked, width, True).select("fp", "n", "x"))
+    found = durable(whole_sets(picked, width))
     if found.select("fp").distinct().count() < found.count():  # several rows have an id
         found = durable(found.dropDuplicates(["fp"]))
     return found
@@ -304,21 +313,26 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     """(doc_id, n_shingles, component_id) of every row: component_id is the smallest id that links reach, its own included."""
     bounded_batches(df.sparkSession)
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    marked = durable(marks(docs, width, False))
-    classes = durable(marked.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     places = shuffle_partitions(df.sparkSession)
-    keys = keys_of_texts(docs, width, percent, common_keys(docs, width, percent), 4 * places)
-    members = durable(shared_keys(keys, places))
+    # the keys' pass gives the documents' sets as well: both come out of one shuffle and are written together
+    dealt = keys_of_texts(docs, width, percent, common_keys(docs, width, percent), 4 * places).repartition(places, "place")
+    found = durable(shared_keys(dealt))
+    marked = found.where("key is null").select("doc_id", "fp", "n")
+    members = durable(once(found.where("key is not null").select("key", "fp", "lower", "worth")))
+    classes = durable(marked.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     sets = sets_of(docs, classes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("least").alias("doc_id")), width)
-    stars, crowded = linked(members, sets, percent, None)
+    stars, links, crowded = linked(members, sets, percent)
     short = durable(lacking(crowded, sets, percent))
     if not short.isEmpty():
-        asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp")
+        asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp").drop("bits")
         rare = durable(rare_parts(asked, STRAYS))
-        stars, left = linked(durable(shared_keys(keys_of_sets(rare, percent, 1, 4 * places), places)), sets, percent, stars)
+        keys = keys_of_sets(rare, percent, 1, 4 * places).repartition(places, "place")
+        stars = merged(stars, links.union(close(shared_keys(keys), sets, percent)))
         short = short.join(spares(rare, percent, 1).where("spare < 0"), ["fp", "lower"], "left_semi")
-        crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp").union(left.select("key", "fp"))
+        crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp")
         stars = exhausted(durable(crowded), sets, percent, stars)
+    else:
+        stars = merged(stars, links)
     joined = classes.join(stars.withColumnRenamed("u", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = joined.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("n"))
     named = durable(join_named(joined.drop("n"), durable(least), "root").select("fp", "component_id").join(classes.select("fp", "n"), "fp"))

@@ -2,9 +2,8 @@
 
 Only connected components matter, so pairs that links found so far already connect need no look:
 
-1. every set meets the head that it shares most keys with (a key's head is its least set),
-2. in keys whose sets are in different components yet, every set meets the key's head,
-3. in keys with few strays (sets outside of the key's largest component), the strays meet all others.
+1. every set meets the heads of its keys (a key's head is its least set),
+2. in keys with few strays (sets outside of the key's largest component), the strays meet all others.
 
 Keys with many strays are crowded and handed back, for the caller to split them by better keys, or for exhausted(), which
 compares heads in growing numbers with all sets outside of their components until each group is done. There bitmaps, which can
@@ -34,11 +33,11 @@ HEADS, MOST, PART, BYTES = 64, 4096, 2048, 128
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (u, v) those whose sets (fp, x) have at least this similarity; both are written."""
+    """Of pairs (u, v) those whose sets (fp, n, bits, x) have at least this similarity; both are written."""
     pairs = durable(pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     if pairs.count() <= PAIRS:  # only the sets of these pairs are moved
         sets = sets.join(F.broadcast(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()), "fp", "left_semi")
-    pairs = durable(apart(pairs, mapped(sets), percent))
+    pairs = durable(apart(pairs, sets.select("fp", "n", "bits"), percent))
     sets = sets.join(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct(), "fp", "left_semi")
     held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
     both = F.size("ux") + F.size("vx")
@@ -90,27 +89,23 @@ def headed(members: DataFrame) -> DataFrame:
     return join_named(members.select("key", F.col("fp").alias("u")), heads, "key").where("u != v").select("u", "v")
 
 
-def linked(members: DataFrame, sets: DataFrame, percent: int, stars: DataFrame | None, strays: int = STRAYS) -> tuple[DataFrame, DataFrame]:
-    """members (key, fp, ...), written, one row for a key and set -> components so far, and the members of crowded keys with their comp."""
-    shared = headed(members).groupBy("u", "v").count()
-    best = shared.groupBy("u").agg(F.max_by("v", F.struct("count", "v")).alias("v"))
-    stars = merged(stars, verified(best, sets, percent))
+def linked(members: DataFrame, sets: DataFrame, percent: int, strays: int = STRAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """members (key, fp, ...), written, one row for a key and set -> components by the first step, the second's links, and the members of crowded
+    keys with their comp."""
+    stars = merged(None, verified(headed(members), sets, percent))
     placed = rooted(members, stars)
-    open_ = durable(join_named(placed, durable(unsettled(placed)), "key").drop("main", "size", "strays"))
-    if open_.isEmpty():
-        return stars, open_
-    stars = merged(stars, verified(headed(open_), sets, percent))  # a set's second head may be the one that it fits
-    placed = rooted(open_, stars)
     open_ = durable(join_named(placed, durable(unsettled(placed)), "key"))
     few = open_.where(F.col("strays") <= strays)
     out = durable(few.where("comp != main").groupBy("key").agg(F.collect_list(F.struct("fp", "comp")).alias("out"), F.max("size").alias("n")))
     pairs = join_named(few, out, "key").select("fp", "comp", F.explode("out").alias("o")).where("comp != o.comp").select(F.col("fp").alias("u"), F.col("o.fp").alias("v"))
-    stars = merged(stars, verified(pairs, sets, percent))
-    crowded = open_.where(F.col("strays") > strays).drop("main", "size", "strays")
-    if crowded.isEmpty():
-        return stars, crowded
-    crowded = rooted(crowded, stars)
-    return stars, durable(crowded.join(unsettled(crowded).select("key"), "key", "left_semi"))
+    return stars, verified(pairs, sets, percent), open_.where(F.col("strays") > strays).drop("main", "size", "strays")
+
+
+def close(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The links of all pairs of sets (fp) under keys that few sets have."""
+    rows = members.groupBy("key").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
+    pairs = rows.select(F.explode("fps").alias("u"), "fps").select("u", F.explode("fps").alias("v")).where("u < v")
+    return verified(pairs, sets, percent)
 
 
 def bitmap(values: np.ndarray) -> bytes:
@@ -119,17 +114,6 @@ def bitmap(values: np.ndarray) -> bytes:
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
-def mapped(sets: DataFrame) -> DataFrame:
-    """(fp, x) -> (fp, n, bits): each set's size and bitmap."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values = [np.array(x, np.int64) for x in batch.column("x").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("fp"), pa.array(list(map(len, values)), pa.int64()), pa.array(list(map(bitmap, values)), pa.binary())], names=["fp", "n", "bits"])
-
-    return sets.select("fp", "x").mapInArrow(run, "fp long, n long, bits binary")
-
-
 def _near(percent: int):
     def run(rows: pa.Table, heads: pa.Table) -> pa.Table:
         """(u, v): rows and heads of different components whose bitmaps do not tell them apart."""
@@ -151,8 +135,7 @@ def exhausted(members: DataFrame, sets: DataFrame, percent: int, stars: DataFram
     """Components with the links of all pairs of sets that share a key (members: key, fp). Keys that share sets are one group, so that a
     pair is looked at once; heads are drawn by digests, and meet the group's sets in parts of bounded size."""
     groups = merged(None, headed(members).distinct()).select(F.col("u").alias("fp"), F.col("root").alias("key"))
-    bits = mapped(sets.join(members.select("fp").distinct(), "fp", "left_semi"))
-    members, turn = rooted(groups.join(bits, "fp"), stars), 0
+    members, turn = rooted(groups.join(sets.select("fp", "n", "bits"), "fp"), stars), 0
     while True:
         keys = durable(unsettled(members).select("key", "n", "size"))
         if keys.isEmpty():
