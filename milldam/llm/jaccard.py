@@ -8,7 +8,7 @@ difference, with deletions for two; where what a set has listed makes up for mor
 have, no partner is missed. A set takes part in the partition of its own band and of the next smaller one.
 
 Allocation is by cost. For each band the cheapest numbers of segments and of deletions are taken that leave the mean subset large
-enough to be telling, with some to spare. What is spare in a set pays for its empty segments, which have no key, and then
+enough to be telling, with some to spare. What is spare in a set pays for its empty segments, which have no key (unless too many are), and then
 for the keys that are crowded. Sets with more crowded keys than they can spare go on to a second partition, of the shingles that few of
 them have and with all deletions listed: similar sets differ in these by no more than they do in all, and no key of
 these is crowded. Sets of hardly any such shingles, as large groups of near copies are, are compared head by head. So
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, durable, join_named, shuffle_partitions, slices, table
-from .linking import STRAYS, bitmap, close, exhausted, linked, merged
+from .linking import STRAYS, Sets, bitmap, close, exhausted, linked, merged
 
 #: Shingles that a subset should have on the mean.
 TELLING = 2.5
@@ -139,21 +139,25 @@ class Bands:
         return out
 
 
-def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int) -> tuple[np.ndarray, int]:
+def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int, need: int) -> tuple[np.ndarray, int]:
     """(keys, worth) of a set in a band's partition: segments are equal intervals of the hashes, so a set's subsets are slices of its sorted
     values. sums: running sums of the values, from 0. A key's lowest three bits say what losing it costs: 1 or 2, or for a
-    deletion 1 (marked 3); 4 is added in the band below the set's own."""
+    deletion 1 (marked 3); 4 is added in the band below the set's own. A set whose filled segments are worth less than it needs
+    has its empty subsets listed too (in the first partition), so that two such sets meet."""
     segments, reach = bands.plan(band)
     ends = np.searchsorted(values, bands.edges(segments))
     sizes = np.diff(ends)
     at = np.flatnonzero(sizes)
     seed = np.uint64((1000003 * band + bands.level + 1) * int(_A) % (1 << 64))
     places = mixed(seed + np.arange(segments, dtype=np.uint64))
-    twice = (at < reach) & (sizes[at] > 1)
+    twice, fewest = (at < reach) & (sizes[at] > 1), 1
+    if len(at) + int(twice.sum()) < need and bands.level == 0:
+        at, fewest = np.arange(segments), 0
+        twice = at < reach
     keys = [mixed((sums[ends[at + 1]] - sums[ends[at]]) ^ places[at]) & _KEY | (twice + np.uint64(1))]
     if twice.any():
         where = np.repeat(np.arange(reach), sizes[:reach])
-        some = np.flatnonzero(sizes[where] > 1)
+        some = np.flatnonzero(sizes[where] > fewest)
         where = where[some]
         keys.append(mixed((sums[ends[where + 1]] - sums[ends[where]] - values[some]) ^ places[where]) & _KEY | np.uint64(3))
     return np.concatenate(keys), len(at) + int(twice.sum())
@@ -163,13 +167,19 @@ def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int) -> tup
 KEYS = "place int, fp long, keys array<long>"
 
 
-def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> list[pa.Array]:
-    place, fps, sizes, out = [], [], [], [np.empty(0, np.uint64)]
+def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> tuple[list[pa.Array], dict]:
+    """Rows of KEYS, and what each set (fp, lower) may lose."""
+    place, fps, sizes, out, spare = [], [], [], [np.empty(0, np.uint64)], {}
     for fp, values, n, only in sets:
         if not len(values):
             continue
         sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
-        parts = [listed(values, sums, bands, band)[0] + np.uint64(4 * lower) for lower, band, _ in bands.parts(n) if only is None or lower in only]
+        parts = []
+        for lower, band, need in bands.parts(n):
+            if only is None or lower in only:
+                keys, worth = listed(values, sums, bands, band, need)
+                parts.append(keys + np.uint64(4 * lower))
+                spare[fp, lower] = worth - need
         if not parts:
             continue
         keys = np.concatenate(parts)
@@ -189,27 +199,29 @@ def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, co
         place, fps, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     ends = np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
     lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(out).view(np.int64)))
-    return [pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists]
+    return [pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists], spare
 
 
 def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray, places: int) -> DataFrame:
-    """(doc_id, text) -> KEYS, doc_id, n: rows of keys, equal sets of a batch once, and for each document a row without keys, with
-    its id, its set and the set's size."""
-    kind = docs.schema["doc_id"]
-
+    """(doc_id, text) -> KEYS, DOCUMENT: rows of keys, equal sets of a batch once, and for each document a row without keys, with its id, its set, and
+    the set's size, bitmap, and what it may lose in its own partition and in the one below."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, bands = _Words(), Bands(percent, 0)
         for whole in batches:
             for batch in slices(whole, "text"):
                 found = [shingle_set(x or b"", width, known) for x in batch.column("text").cast(pa.binary()).to_pylist()]
                 fps, n = list(map(digest, found)), list(map(len, found))
-                place, fp, keys = _rows([(fp, v, len(v), None) for fp, v in dict(zip(fps, found, strict=True)).items()], bands, common, places)
+                (place, fp, keys), spare = _rows([(fp, v, len(v), None) for fp, v in dict(zip(fps, found, strict=True)).items()], bands, common, places)
                 ids = batch.column("doc_id")
-                yield pa.RecordBatch.from_arrays([place, fp, keys, pa.nulls(len(fp), ids.type), pa.nulls(len(fp), pa.int64())], names=["place", "fp", "keys", "doc_id", "n"])
+                more = [ids, pa.array(n, pa.int64()), pa.array(list(map(bitmap, found)), pa.binary()), *(pa.array([spare.get((x, k)) for x in fps], pa.int32()) for k in (0, 1))]
+                yield pa.RecordBatch.from_arrays([place, fp, keys, *(pa.nulls(len(fp), x.type) for x in more)], names=names)
                 own = pa.array(((np.array(fps, np.int64) + np.arange(len(fps))) % places).astype(np.int32))
-                yield pa.RecordBatch.from_arrays([own, pa.array(fps, pa.int64()), pa.nulls(len(ids), keys.type), ids, pa.array(n, pa.int64())], names=["place", "fp", "keys", "doc_id", "n"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(fps, pa.int64()), pa.nulls(len(ids), keys.type), *more], names=names)
 
-    return docs.select("doc_id", "text").mapInArrow(run, T.StructType([*T._parse_datatype_string(KEYS).fields, kind, T.StructField("n", T.LongType())]))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    schema = T._parse_datatype_string(f"{KEYS}, doc_id {kind}, n long, bits binary, spare0 int, spare1 int")
+    names = schema.names
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> DataFrame:
@@ -221,7 +233,7 @@ def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> Data
         for batch in batches:
             values = (np.sort(np.array(x, np.int64).view(np.uint64)) for x in batch.column("x").to_pylist())
             columns = (batch.column(c).to_pylist() for c in ("fp", "n", "only"))
-            rows = _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
+            rows, _ = _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
             yield pa.RecordBatch.from_arrays(rows, names=["place", "fp", "keys"])
 
     return sets.select("fp", "n", "x", "only").mapInArrow(run, KEYS)
@@ -237,7 +249,7 @@ def spares(sets: DataFrame, percent: int, level: int) -> DataFrame:
             for fp, n, x in zip(*(batch.column(c).to_pylist() for c in ("fp", "n", "x")), strict=True):
                 values = np.sort(np.array(x, np.int64).view(np.uint64))
                 sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values)))
-                out += [(fp, lower, (listed(values, sums, bands, band)[1] if len(values) else 0) - need) for lower, band, need in bands.parts(n)]
+                out += [(fp, lower, (listed(values, sums, bands, band, need)[1] if len(values) else 0) - need) for lower, band, need in bands.parts(n)]
             fps, lowers, spare = zip(*out, strict=True) if out else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(fps, pa.int64()), pa.array(lowers, pa.int32()), pa.array(spare, pa.int32())], names=["fp", "lower", "spare"])
 
@@ -245,7 +257,7 @@ def spares(sets: DataFrame, percent: int, level: int) -> DataFrame:
 
 
 def whole_sets(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text) -> (fp, n, bits, x): each text's set, its size, bitmap and hashes."""
+    """(doc_id, text) -> (fp, x): each text's set and its hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _Words()
@@ -254,9 +266,9 @@ def whole_sets(docs: DataFrame, width: int) -> DataFrame:
                 sets = [shingle_set(x or b"", width, known) for x in batch.column("text").cast(pa.binary()).to_pylist()]
                 ends = np.cumsum([0, *map(len, sets)])
                 x = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64()))
-                yield pa.RecordBatch.from_arrays([pa.array(list(map(digest, sets)), pa.int64()), pa.array(list(map(len, sets)), pa.int64()), pa.array(list(map(bitmap, sets)), pa.binary()), x], names=["fp", "n", "bits", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array(list(map(digest, sets)), pa.int64()), x], names=["fp", "x"])
 
-    return docs.select("text").mapInArrow(run, "fp long, n long, bits binary, x array<long>")
+    return docs.select("text").mapInArrow(run, "fp long, x array<long>")
 
 
 def common_keys(docs: DataFrame, width: int, percent: int) -> np.ndarray:
@@ -285,7 +297,7 @@ def once(rows: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """(fp, n, bits, x) of the documents with these ids (doc_id), written."""
+    """(fp, x) of the documents with these ids (doc_id), written."""
     ids = ids.select(F.col("doc_id").alias("picked")).distinct()
     picked = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")
     found = durable(whole_sets(picked, width))
@@ -294,10 +306,9 @@ def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     return found
 
 
-def lacking(crowded: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(fp, lower): first partitions in which a set has more crowded keys than it can spare."""
+def lacking(crowded: DataFrame, spare: DataFrame) -> DataFrame:
+    """(fp, lower): first partitions in which a set has more crowded keys than it can spare (fp, lower, spare)."""
     lost = crowded.groupBy("fp", "lower").agg(F.sum("worth").alias("lost"))
-    spare = spares(sets.join(crowded.select("fp").distinct(), "fp", "left_semi"), percent, 0)
     return lost.join(spare, ["fp", "lower"]).where("lost > spare").select("fp", "lower")
 
 
@@ -319,12 +330,15 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     found = durable(shared_keys(dealt))
     marked = found.where("key is null").select("doc_id", "fp", "n")
     members = durable(once(found.where("key is not null").select("key", "fp", "lower", "worth")))
-    classes = durable(marked.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
-    sets = sets_of(docs, classes.join(members.select("fp").distinct(), "fp", "left_semi").select(F.col("least").alias("doc_id")), width)
+    firsts = [F.first(c).alias(c) for c in ("bits", "spare0", "spare1")]
+    classes = durable(found.where("key is null and n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("n").alias("size"), *firsts))
+    whole = lambda fps: sets_of(docs, classes.join(fps, "fp", "left_semi").select(F.col("least").alias("doc_id")), width)
+    sets = Sets(classes.select("fp", F.col("size").alias("n"), "bits"), whole)
     stars, links, crowded = linked(members, sets, percent)
-    short = durable(lacking(crowded, sets, percent))
+    spare = classes.select("fp", F.posexplode(F.array("spare0", "spare1")).alias("lower", "spare"))
+    short = durable(lacking(crowded, spare))
     if not short.isEmpty():
-        asked = sets.join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp").drop("bits")
+        asked = whole(short.select("fp").distinct()).join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp").join(classes.select("fp", F.col("size").alias("n")), "fp")
         rare = durable(rare_parts(asked, STRAYS))
         keys = keys_of_sets(rare, percent, 1, 4 * places).repartition(places, "place")
         stars = merged(stars, links.union(close(shared_keys(keys), sets, percent)))

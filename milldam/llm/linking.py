@@ -13,11 +13,12 @@ Pairs are verified by their whole sets.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import durable, join_named
@@ -25,25 +26,29 @@ from .components import components
 
 #: Strays of a key that meet all of its sets.
 STRAYS = 16
-#: Pairs whose sets are picked by a broadcast of their digests; of more pairs, by a join.
-PAIRS = 1 << 19
 #: Heads that a group is compared with in the first round of exhausted(), and in a later one at most; sets that meet them in a task;
 #: bytes of a set's bitmap.
 HEADS, MOST, PART, BYTES = 64, 4096, 2048, 128
+#: Ranks that the planner limits below a shuffle.
+RANKS = 1000
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (u, v) those whose sets (fp, n, bits, x) have at least this similarity; both are written."""
+@dataclass
+class Sets:
+    """The sets by their digests: sizes and bitmaps of all (fp, n, bits), and how those of some (fp) are got whole (fp, x)."""
+
+    maps: DataFrame
+    whole: Callable[[DataFrame], DataFrame]
+
+
+def verified(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
+    """Of pairs (u, v) those whose sets have at least this similarity, written. Only sets that bitmaps do not tell apart are got whole."""
     pairs = durable(pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    if pairs.count() <= PAIRS:  # only the sets of these pairs are moved
-        sets = sets.join(F.broadcast(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()), "fp", "left_semi")
-    pairs = durable(apart(pairs, sets.select("fp", "n", "bits"), percent))
-    sets = sets.join(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct(), "fp", "left_semi")
-    held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
-    both = F.size("ux") + F.size("vx")
-    sized = 100 * F.least(F.size("ux"), F.size("vx")) >= percent * F.greatest(F.size("ux"), F.size("vx"))
-    common = held.where(sized).withColumn("c", F.size(F.array_intersect("ux", "vx")))
-    return durable(common.where(100 * F.col("c") >= percent * (both - F.col("c"))).select("u", "v"))
+    near = durable(apart(pairs, sets.maps, percent))
+    whole = sets.whole(near.select(F.col("u").alias("fp")).union(near.select("v")).distinct())
+    held = near.join(whole.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(whole.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
+    common = held.select("u", "v", (F.size("ux") + F.size("vx")).alias("both"), F.size(F.array_intersect("ux", "vx")).alias("c"))
+    return durable(common.where(100 * F.col("c") >= percent * (F.col("both") - F.col("c"))).select("u", "v"))
 
 
 def apart(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -89,7 +94,7 @@ def headed(members: DataFrame) -> DataFrame:
     return join_named(members.select("key", F.col("fp").alias("u")), heads, "key").where("u != v").select("u", "v")
 
 
-def linked(members: DataFrame, sets: DataFrame, percent: int, strays: int = STRAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
+def linked(members: DataFrame, sets: Sets, percent: int, strays: int = STRAYS) -> tuple[DataFrame, DataFrame, DataFrame]:
     """members (key, fp, ...), written, one row for a key and set -> components by the first step, the second's links, and the members of crowded
     keys with their comp."""
     stars = merged(None, verified(headed(members), sets, percent))
@@ -101,7 +106,7 @@ def linked(members: DataFrame, sets: DataFrame, percent: int, strays: int = STRA
     return stars, verified(pairs, sets, percent), open_.where(F.col("strays") > strays).drop("main", "size", "strays")
 
 
-def close(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def close(members: DataFrame, sets: Sets, percent: int) -> DataFrame:
     """The links of all pairs of sets (fp) under keys that few sets have."""
     rows = members.groupBy("key").agg(F.collect_set("fp").alias("fps")).where(F.size("fps") > 1)
     pairs = rows.select(F.explode("fps").alias("u"), "fps").select("u", F.explode("fps").alias("v")).where("u < v")
@@ -131,23 +136,51 @@ def _near(percent: int):
     return run
 
 
-def exhausted(members: DataFrame, sets: DataFrame, percent: int, stars: DataFrame, heads: int = HEADS) -> DataFrame:
+def met(rows: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """(u, v): rows (key, fp, n, comp, bits, size) of a group (key) and its chosen ones (fp) that may be similar, of different components. A group
+    meets them in parts of bounded size."""
+    columns = ("key", "part", "fp", "n", "comp", "bits")
+    parts = F.ceil(F.col("size") / PART).cast("int")
+    own = rows.withColumn("part", F.pmod(F.xxhash64("fp"), parts).cast("int")).select(*columns)
+    spread = rows.join(chosen, "fp", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).select(*[F.col(c).alias(c) for c in columns])
+    return own.groupBy("key", "part").cogroup(spread.groupBy("key", "part")).applyInArrow(_near(percent), "u long, v long")
+
+
+def leading(rows: DataFrame, sets: Sets, percent: int, heads: int = HEADS) -> DataFrame:
+    """rows (key, fp, at): components of similar sets and the sets' rank in them -> (fp, kept): those that go, and the rank of the first that stays for
+    them. In order of rank a set stays unless it is similar to one that stays. The first of a component meet all of it, more each round."""
+    members = durable(rows.join(sets.maps, "fp"))
+    gone, order = None, F.struct("at", "fp")
+    while not members.isEmpty():
+        sizes = durable(members.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("size")))
+        here = durable(join_named(members, sizes.select("key", F.col("n").alias("many"), "size"), "key", "many").withColumn("comp", F.col("fp")))
+        place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))  # a limit of ranks reaches below the shuffle
+        first = durable(here.select("key", "at", "fp").withColumn("place", place).where(F.col("place") <= heads).drop("place"))
+        links = verified(met(here, first.select("fp"), percent), sets, percent)
+        both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        ranked = both.join(first.select(F.col("fp").alias("v"), order.alias("before")), "v").join(here.select(F.col("fp").alias("u"), order.alias("mine")), "u")
+        ranked = durable(ranked.where("before < mine").select("u", "v", F.col("before.at").alias("at")))
+        stay = durable(first.select("fp").join(ranked.select(F.col("u").alias("fp")), "fp", "left_anti"))
+        goes = durable(ranked.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy(F.col("u").alias("fp")).agg(F.min("at").alias("kept")))
+        gone = goes if gone is None else durable(gone.union(goes))
+        members, heads = durable(members.join(stay.union(goes.select("fp")), "fp", "left_anti")), min(4 * heads, RANKS)
+    return rows.select("fp", F.lit(None).cast(rows.schema["at"].dataType).alias("kept")).limit(0) if gone is None else gone
+
+
+def exhausted(members: DataFrame, sets: Sets, percent: int, stars: DataFrame, heads: int = HEADS) -> DataFrame:
     """Components with the links of all pairs of sets that share a key (members: key, fp). Keys that share sets are one group, so that a
     pair is looked at once; heads are drawn by digests, and meet the group's sets in parts of bounded size."""
     groups = merged(None, headed(members).distinct()).select(F.col("u").alias("fp"), F.col("root").alias("key"))
-    members, turn = rooted(groups.join(sets.select("fp", "n", "bits"), "fp"), stars), 0
+    members, turn = rooted(groups.join(sets.maps, "fp"), stars), 0
     while True:
         keys = durable(unsettled(members).select("key", "n", "size"))
         if keys.isEmpty():
             return stars
         drawn = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 20))
-        part = F.pmod(F.xxhash64("fp"), F.ceil(F.col("size") / PART)).cast("int")
-        here = durable(join_named(members, keys.withColumn("parts", F.ceil(F.col("size") / PART).cast("int")), "key").withColumns({"drawn": drawn, "part": part}))
+        here = durable(join_named(members, keys, "key").withColumn("drawn", drawn))
         first = here.groupBy("key").agg(F.min(F.struct("drawn", "fp")).alias("f")).select(F.col("f.fp").alias("fp"))
         chosen = durable(here.where(F.col("drawn") * F.col("size") < heads << 20).select("fp").union(first).distinct())
-        spread = here.join(chosen, "fp", "left_semi").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        columns = ("key", "part", "fp", "n", "comp", "bits")
-        near = here.select(*columns).groupBy("key", "part").cogroup(spread.select(*[F.col(c).alias(c) for c in columns]).groupBy("key", "part")).applyInArrow(_near(percent), "u long, v long")
+        near = met(here, chosen, percent)
         stars = merged(stars, verified(near, sets, percent))
         rest = here.join(chosen, "fp", "left_anti").select("key", "fp", "n", "bits")
         members, heads, turn = rooted(rest, stars), min(4 * heads, MOST), turn + 1

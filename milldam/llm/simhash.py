@@ -11,7 +11,8 @@ them. That is linear in the members, and no link between components is lost.
 
 near_duplicates() goes by the Jaccard similarity of sets of shingles. Two texts of five-word similarity 0.8 differ in about
 ten of the 64 bits of their fingerprints, too many for deletion variants, so candidates come from equal minima of the sets
-in one of BANDS bands; every pair of candidates is verified by the whole sets.
+in one of BANDS bands; candidates are verified by their whole sets, and a key is not paired out (linking.py). In a component of
+similar sets the smallest ids stay, in order, and those similar to one that stays go.
 
 Defined results: texts without words (null, empty, white space) have fingerprint zero and link like any
 other; copies share a fingerprint; of several rows with the smallest id each counts alone; rows without an id get the
@@ -22,26 +23,26 @@ are left out.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import bounded_batches, durable, join_named, schema_with, slices, table, with_columns
 from .components import components
+from .linking import Sets, bitmap, exhausted, leading, linked, merged
 
 #: Distinct fingerprints that are paired out under one key.
 BUCKET = 24
 #: Hashes that are counted bit by bit at once.
 AT_ONCE = 1 << 15
-#: Keys of a set of shingles, minima in a key, and sets of a key that the others are compared with in the first round.
-BANDS, ROWS, HEADS = 32, 4, 8
-#: Pairs whose sets are picked by a broadcast of their digests; of more pairs, by a join.
-PAIRS = 1 << 19
+#: Keys of a set of shingles, minima in a key, and sets of a component that the others are compared with in the first round.
+BANDS, ROWS, HEADS = 32, 4, 64
+#: Documents that are picked by a broadcast of their ids; more, by a join.
+PICKED = 1 << 20
 _factors = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -128,7 +129,7 @@ def band_keys(values: np.ndarray) -> list[int]:
 
 
 def shingle_sets(df: DataFrame, width: int, full: bool) -> DataFrame:
-    """(doc_id, text) -> (doc_id, fp, n, x): digest and size of the set of shingles (0 if there are none); x: its hashes if full, else its keys."""
+    """(doc_id, text) -> (doc_id, fp, n, bits, x): digest, size (0: no shingles) and bitmap of the set of shingles; x: its hashes if full, else its keys."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -141,53 +142,35 @@ def shingle_sets(df: DataFrame, width: int, full: bool) -> DataFrame:
                     x = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(sets).view(np.int64), pa.int64()))
                 else:
                     x = pa.array([band_keys(v) if len(v) else [] for v in sets], pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(list(map(len, sets)), pa.int64()), x], names=["doc_id", "fp", "n", "x"])
+                bits = pa.array(list(map(bitmap, sets)), pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(list(map(len, sets)), pa.int64()), bits, x], names=["doc_id", "fp", "n", "bits", "x"])
 
-    return df.select("doc_id", "text").mapInArrow(run, T.StructType([df.schema["doc_id"], *T._parse_datatype_string("fp long, n long, x array<long>").fields]))
-
-
-def similar(members: DataFrame, heads: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(u, v, at): sets under a common key with at least this similarity, v being the smaller by id, its id being at."""
-    u, v = (d.select("key", F.col("fp").alias(x), F.col("n").alias(f"{x}n"), F.col("at").alias(f"{x}at")) for d, x in ((members, "u"), (heads, "v")))
-    ordered = F.struct("vat", "v") < F.struct("uat", "u")
-    sized = F.least("un", "vn") >= F.lit(similarity) * F.greatest("un", "vn") - 1e-9
-    pairs = u.join(v, "key").where(ordered & sized).select("u", "v", F.col("vat").alias("at"), (F.col("un") + F.col("vn")).alias("both")).distinct()
-    pairs = durable(pairs)
-    if pairs.count() <= PAIRS:  # only the sets of these pairs are moved
-        sets = sets.join(F.broadcast(pairs.select(F.col("u").alias("fp")).union(pairs.select("v")).distinct()), "fp", "left_semi")
-    held = pairs.join(sets.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(sets.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
-    return held.withColumn("c", F.size(F.array_intersect("ux", "vx"))).where(F.col("c") / (F.col("both") - F.col("c")) >= similarity).select("u", "v", "at")
+    return df.select("doc_id", "text").mapInArrow(run, T.StructType([df.schema["doc_id"], *T._parse_datatype_string("fp long, n long, bits binary, x array<long>").fields]))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, heads: int = HEADS) -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest id of the set that stays for it, its own or a similar one."""
+    percent = round(100 * similarity)
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = durable(shingle_sets(docs, width, False))
-    values = marked.groupBy("fp").agg(F.min("doc_id").alias("at"), F.first("n").alias("n"), F.first("x").alias("x"))
-    keyed = values.where("at is not null").select("fp", "at", "n", F.explode("x").alias("key"))  # rows without an id stay anyhow
-    # of sets in order of size, one that fits no neighbour fits none
-    beside = Window.partitionBy("key").orderBy("n", "fp")
-    fits = (F.lag("n").over(beside) >= F.lit(similarity) * F.col("n") - 1e-9) | (F.lead("n").over(beside) * F.lit(similarity) - 1e-9 <= F.col("n"))
-    members = durable(keyed.withColumn("fits", F.coalesce(fits, F.lit(False))).where("fits").drop("fits"))
-    texts = docs.join(members.select(F.col("at").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = durable(shingle_sets(texts, width, True).select("fp", "x").dropDuplicates(["fp"]))
-    least = marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    gone = []
-    while not members.isEmpty():
-        place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))
-        first = durable(members.withColumn("place", place).where(F.col("place") <= heads).drop("place"))
-        edges = durable(similar(members, first, sets, similarity))
-        waiting = members.join(first.select("key", "fp"), ["key", "fp"], "left_anti").select("fp")
-        stay = members.select("fp").distinct().join(waiting.union(edges.select("u")).distinct(), "fp", "left_anti")
-        stay = durable(stay)
-        goes = durable(edges.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy("u").agg(F.min("at").alias("kept")).withColumnRenamed("u", "fp"))
-        gone.append(goes)
-        members = durable(members.join(stay.union(goes.select("fp")), "fp", "left_anti"))
-        heads *= 2  # those that are left have few similar ones: rounds grow as the logarithm of the largest key
-    named = least
-    if gone:
-        named = least.join(reduce(DataFrame.union, gone), "fp", "left").withColumn("least", F.coalesce("kept", "least"))
-    named = durable(named.select("fp", F.col("least").alias("component_id"), "n"))
+    firsts = [F.first(c).alias(k) for c, k in (("x", "x"), ("bits", "bits"), ("n", "size"))]
+    least = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *firsts))
+    keyed = least.where("least is not null").select("fp", F.explode("x").alias("key"))  # rows without an id stay anyhow
+    shared = durable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members = durable(join_named(keyed, shared, "key"))
+
+    def whole(fps: DataFrame) -> DataFrame:
+        ids = fps.join(least.select("fp", F.col("least").alias("doc_id")), "fp").select("doc_id").distinct()
+        texts = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, "doc_id", "left_semi")
+        return durable(shingle_sets(texts, width, True).select("fp", "x").dropDuplicates(["fp"]))
+
+    sets = Sets(least.select("fp", F.col("size").alias("n"), "bits"), whole)
+    stars, links, crowded = linked(members, sets, percent)
+    stars = merged(stars, links)
+    if not crowded.isEmpty():
+        stars = exhausted(crowded.select("key", "fp"), sets, percent, stars)
+    goes = leading(stars.join(least.select(F.col("fp").alias("u"), F.col("least").alias("at")), "u").select(F.col("u").alias("fp"), F.col("root").alias("key"), "at"), sets, percent, heads)
+    named = durable(least.join(goes, "fp", "left").select("fp", F.coalesce("kept", "least").alias("component_id"), "n"))
     return join_named(marked.select("doc_id", "fp"), named, "fp").select("doc_id", "fp", "component_id")
 
 
