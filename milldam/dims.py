@@ -126,7 +126,8 @@ def register(spec: MappingSpec) -> MappingSpec | None:
     """Adds a source; the one that it replaces is returned."""
     if not isinstance(spec, MappingSpec):
         raise TypeError("a MappingSpec is needed")
-    old, REGISTRY[spec.source.strip().lower()] = REGISTRY.get(spec.source), spec
+    name = spec.source.strip().lower()
+    old, REGISTRY[name] = REGISTRY.get(name), spec
     return old
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from milldam.config import bounded
 from milldam.functions.clean import parse_time, payload_kind, text_or
+from milldam.operators.ranks import running_counts
 
 # Spans between the stamps of a message's way.
 SPANS = {
@@ -141,19 +142,6 @@ def first_samples(rejects: DataFrame, order: str, sample: str) -> DataFrame:
     return sums.join(F.broadcast(whole)).select("reason", "count", F.round(F.col("count") * 100 / F.col("_all"), 1).alias("percentage"), "sample")
 
 
-def running_counts(df: DataFrame, group: list[str], value: str, buckets: int = 64) -> DataFrame:
-    """(group, value, _n, _upto): distinct values with their number and that of all up to them, without gathering a group: values
-    are dealt into buckets by their quantiles, summed up there, and begin where the buckets before end."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count("*").alias("_n"))
-    edges = sorted(set(df.approxQuantile(value, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
-    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(value))) if edges else F.lit(0)
-    dealt = counts.withColumn("_bucket", bucket)
-    before = Window.partitionBy(*group, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(*group, "_bucket").agg(F.sum("_n").alias("_m")).select(*group, "_bucket", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_start"))
-    within = dealt.withColumn("_in", F.sum("_n").over(Window.partitionBy(*group, "_bucket").orderBy(value)))
-    return within.join(starts, [*group, "_bucket"]).withColumn("_upto", F.col("_start") + F.col("_in")).drop("_bucket", "_in", "_start")
-
-
 def nearest_rank_rows(df: DataFrame, group: list[str], value: str, p: float, name: str) -> DataFrame:
     """The value at place int(n * p) of the sorted ones, from 0, as load reports define it."""
     running = running_counts(df, group, value)

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from milldam.config import EngineConfig
 from milldam.dims import ALIASES, CANONICAL
+from milldam.durable import durable
 from milldam.functions.similarity import field_name, jaro_winkler
 from milldam.operators import checks, mapping
 
+#: Lists of names that are looked up by a broadcast; a feed has few. More are joined.
+LISTS = 1 << 14
 TRACE = "struct<source_field:string,target_field:string,score:double,algorithm:string,candidates:array<struct<field:string,score:double>>>"
 MATCH = f"keys array<string>, pick map<string,string>, low array<string>, scores array<double>, trace array<{TRACE}>"
 
@@ -65,7 +68,9 @@ def matches(df: DataFrame, config: EngineConfig = EngineConfig(), keys: str = "k
 def mapped(df: DataFrame, config: EngineConfig = EngineConfig()) -> DataFrame:
     """Adds the raw value of each canonical field by the best matching name, and low, scores, trace."""
     keyed = df.withColumn("keys", F.map_keys("fields"))
-    found = matches(keyed, config)
+    found = durable(matches(keyed, config))
+    if found.count() <= LISTS:
+        found = F.broadcast(found)
     joined = keyed.join(found, "keys", "left")
     out = {f"in_{t}": F.col("fields")[F.col("pick")[t]] for t in CANONICAL}
     return mapping.settled(joined, out).drop("keys", "pick")

@@ -70,9 +70,13 @@ def _out(df: DataFrame, error: Column) -> DataFrame:
     return df.select("source", "index", *[F.col(c).cast("double" if c in ("latitude", "longitude") else "string").alias(c) for c in CANONICAL], error.alias("error_type"))
 
 
+#: Stations that one call makes at most.
+MOST = 10_000
+
+
 def valid(spark: SparkSession, count: int, source: str | None = None, seed: int = 0, error_rate: float = 0.0, errors: tuple[str, ...] = INJECTED) -> DataFrame:
     """Stations that pass all checks, except for a share with an injected error."""
-    bounded("count", count, 0, 1e12)
+    bounded("count", count, 0, MOST)
     bounded("error_rate", error_rate, 0, 1)
     if set(errors) - set(INJECTED):
         raise ValueError(f"errors must be among {INJECTED}")
@@ -93,7 +97,7 @@ def valid(spark: SparkSession, count: int, source: str | None = None, seed: int
 
 def invalid(spark: SparkSession, count: int, source: str | None = None, seed: int = 0, errors: tuple[str, ...] = ERRORS) -> DataFrame:
     """Stations with one error each, the errors in turn."""
-    bounded("count", count, 0, 1e12)
+    bounded("count", count, 0, MOST)
     if not errors or set(errors) - set(ERRORS):
         raise ValueError(f"errors must be among {ERRORS}")
     df = _base(_rows(spark, source, count), seed).withColumn("_e", _array(errors)[(F.col("index") % len(errors)).cast("int")])

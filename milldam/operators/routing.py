@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from milldam.config import EngineConfig
@@ -77,18 +77,21 @@ def run(messages: DataFrame, config: EngineConfig = EngineConfig(), strict: bool
     return outputs(durable(found.pop("rows")), messages, config) | found
 
 
-def outputs(found: DataFrame, messages: DataFrame, config: EngineConfig = EngineConfig()) -> dict[str, DataFrame]:
-    """The outputs of normalised rows and of the messages that they come from. The rows are read for each output."""
-    out = route(deduplicated(found, config.dedup_scope))
+def outputs(found: DataFrame, messages: DataFrame, config: EngineConfig = EngineConfig(), seen: Observation | None = None) -> dict[str, DataFrame]:
+    """The outputs of normalised rows and of the messages that they come from. The rows are read for each output. seen gets the figures of
+    counters() from the first output that is written, without a pass of its own."""
+    rows = deduplicated(found, config.dedup_scope)
+    out = route(rows.observe(seen, *_counted()) if seen else rows)
     if config.mode == "FUZZY":
         out["rejected"] = out["rejected"].unionByName(route(fuzzy.low_confidence_events(found))["rejected"])
     return out | {"dead": payloads.check_messages(messages).where("dead is not null")}
 
 
+def _counted() -> list[Column]:
+    good, station = F.col("reason").isNull(), F.col("ordinal").isNotNull()
+    return [F.count_if(good & station).alias("processed"), F.count_if(~good & station).alias("stations_rejected"), F.count_if(~station).alias("messages_rejected")]
+
+
 def counters(rows: DataFrame) -> DataFrame:
     """processed and rejected stations, and messages without any."""
-    return rows.agg(
-        F.count_if(F.col("reason").isNull() & F.col("ordinal").isNotNull()).alias("processed"),
-        F.count_if(F.col("reason").isNotNull() & F.col("ordinal").isNotNull()).alias("stations_rejected"),
-        F.count_if(F.col("ordinal").isNull()).alias("messages_rejected"),
-    )
+    return rows.agg(*_counted())

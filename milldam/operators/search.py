@@ -7,7 +7,11 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from milldam.functions.similarity import EARTH_M, haversine_m, trigram_similarity, trigrams
+from milldam.functions.similarity import EARTH_M, haversine_m, trigram_similarity, trigrams, vincenty_m
+
+
+#: Sources that are looked up by a broadcast.
+SOURCES = 1 << 16
 
 
 def by_name(df: DataFrame, query: str, column: str = "nombre", least: float = 0.3) -> DataFrame:
@@ -38,16 +42,19 @@ def name_join(df: DataFrame, queries: DataFrame, key: str, column: str = "nombre
     return df.select(key, F.col(column).alias("na")).join(found, "na").join(queries.select("qid", F.col("query").alias("nb")), "nb").select("qid", key, "similarity")
 
 
-def within(df: DataFrame, lat0: float, lon0: float, metres: float, lat: str = "latitud", lon: str = "longitud") -> DataFrame:
-    """Rows within a distance; a box of latitudes and longitudes comes first, which reaches the scan where these are stored columns."""
-    dlat = math.degrees(metres / EARTH_M)
+def within(df: DataFrame, lat0: float, lon0: float, metres: float, lat: str = "latitud", lon: str = "longitud", ellipsoid: bool = False) -> DataFrame:
+    """Rows within a distance, on the sphere or on the ellipsoid; a box of latitudes and longitudes comes first, which reaches the scan where
+    these are stored columns. For the ellipsoid the box is of a sphere on which all distances are shorter."""
+    earth = EARTH_M * 0.99 if ellipsoid else EARTH_M
+    dlat = math.degrees(metres / earth)
     out = df.where(F.col(lat).between(lat0 - dlat, lat0 + dlat))
     edge = max(abs(lat0 - dlat), abs(lat0 + dlat))
     if edge < 89:
-        dlon = math.degrees(math.asin(min(1.0, math.sin(metres / EARTH_M) / math.cos(math.radians(lat0)))))
+        dlon = math.degrees(math.asin(min(1.0, math.sin(metres / earth) / math.cos(math.radians(lat0)))))
         if abs(lon0) + dlon < 180:
             out = out.where(F.col(lon).between(lon0 - dlon - 1e-9, lon0 + dlon + 1e-9))
-    return out.withColumn("metres", haversine_m(F.col(lat), F.col(lon), lat0, lon0)).where(F.col("metres") <= metres)
+    distance = vincenty_m if ellipsoid else haversine_m
+    return out.withColumn("metres", distance(F.col(lat), F.col(lon), lat0, lon0)).where(F.col("metres") <= metres)
 
 
 def json_field(df: DataFrame, column: str, path: str, value: str) -> DataFrame:
@@ -63,5 +70,8 @@ def equal(df: DataFrame, **values) -> DataFrame:
 
 
 def count_from_sources(rows: DataFrame, messages: DataFrame, pattern: str) -> DataFrame:
-    """How many rows come from a source that has a message like the pattern."""
-    return rows.join(messages.where(F.col("message_id").cast("string").like(pattern)).select("source"), "source", "left_semi").agg(F.count("*").alias("n"))
+    """How many rows come from a source that has a message like the pattern. Sources are few and broadcast; more than SOURCES are joined."""
+    hits = messages.where(F.col("message_id").cast("string").like(pattern)).select("source").distinct()
+    if hits.limit(SOURCES + 1).count() <= SOURCES:
+        hits = F.broadcast(hits)
+    return rows.join(hits, "source", "left_semi").agg(F.count("*").alias("n"))

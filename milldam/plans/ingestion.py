@@ -9,9 +9,9 @@ from milldam.config import EngineConfig
 from milldam.dims import ALIASES, CANONICAL, REGISTRY
 from milldam.durable import shared_folder
 from milldam.functions.similarity import field_name
-from milldam.operators import analytics, fuzzy, generate, learned, routing
+from milldam.operators import analytics, fuzzy, generate, learned, routing, store
 from milldam.plans.registry import Registry
-from milldam.plans.views import CONTACT_CTE, DEDUP_CTE, messages, stations_sql, table
+from milldam.plans.views import CONTACT_CTE, DEDUP_CTE, messages, raw_st, stations_sql, table
 from milldam.sources import payloads
 
 query = Registry()
@@ -140,6 +140,33 @@ def fuzzy_map_valencia(spark, sf_dir):
     return rows.select(F.col("message_id").alias("mid"), (F.col("ordinal") + 1).alias("seq"), "station_id", "name", "city", "postal_code", "phone", "reason", "confidence")
 
 
+_XML_NAMES = {"raw_id": "codigo", "name": "nombre", "address": "direccion", "city": "poblacion", "province": "provincia", "postal_code": "zip", "latitude": "lat", "longitude": "lng", "phone": "tel", "email": "correo"}
+
+
+@query(stations_sql("SELECT k, station_id, name, city, postal_code, phone, CASE WHEN raw_id IS NULL OR name_given = '' OR reason = 'schema_validation_failed' THEN 'fuzzy_mapping_failure' ELSE reason END AS reason FROM reasoned"))
+def fuzzy_map_xml(spark, sf_dir):
+    """XML with tags that no rule knows, nested in a feed of its own, mapped by names: each message has one station."""
+    rows = raw_st(spark, sf_dir)
+    escaped = lambda c: F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    tags = [F.concat(F.lit(f"<{n}>"), escaped(F.col(f"in_{t}")), F.lit(f"</{n}>")) for t, n in _XML_NAMES.items()]
+    text = F.concat(F.lit('<?xml version="1.0"?><feed v="2"><station>'), *tags, F.lit("<more><note>n</note></more></station></feed>"))
+    found = routing.normalise(rows.select(F.col("k").alias("message_id"), "source", F.lit("xml").alias("format"), text.alias("payload")), config=EngineConfig(mode="FUZZY"))
+    return found.select(F.col("message_id").alias("k"), "station_id", "name", "city", "postal_code", "phone", "reason")
+
+
+_NAMES_BY_REGION = [NAMES[i::5] for i in range(5)]
+_REGION_NAMES = "(VALUES " + ", ".join(f"({i}, '{n}', {k})" for i, names in enumerate(_NAMES_BY_REGION) for k, n in enumerate(names)) + ") rn(region, rname, rplace)"
+
+
+@query(f"WITH {_SCORES}, tops AS (SELECT region, target, name, score, ROW_NUMBER() OVER (PARTITION BY region, target ORDER BY score DESC, rplace) AS rn FROM scores JOIN {_REGION_NAMES} ON name = rname) SELECT n_nationkey, target, rn, name, ROUND(score, 4) AS score FROM tops JOIN nation ON n_regionkey = region WHERE rn <= 3 AND score > 0")
+def fuzzy_top3_records(spark, sf_dir):
+    """The candidates of each record's names; each distinct list of names is matched once."""
+    lists = F.array(*[F.array(*[F.lit(n) for n in names]) for names in _NAMES_BY_REGION])
+    rows = table(spark, sf_dir, "nation").select("n_nationkey", F.element_at(lists, (F.col("n_regionkey") + 1).cast("int")).alias("keys"))
+    tops = rows.join(fuzzy.matches(rows), "keys").select("n_nationkey", F.explode("trace").alias("t")).select("n_nationkey", F.col("t.target_field").alias("target"), F.posexplode("t.candidates").alias("rn", "c"))
+    return tops.select("n_nationkey", "target", (F.col("rn") + 1).cast("bigint").alias("rn"), F.col("c.field").alias("name"), F.col("c.score").alias("score"))
+
+
 # ---- learned rules ---------------------------------------------------------------------------------------------------
 
 _RULES = [("galicia", "lugo", True, "2024-01-01"), ("galicia", "lugo", False, "2023-12-01"), ("galicia", "unknown", True, "2024-01-01"), ("valencia", "alicante", False, "2024-01-01")]
@@ -181,6 +208,34 @@ def rule_invalidate(spark, sf_dir):
     return learned.listing(left).select("source_system", "province_type")
 
 
+_KINDS = "SELECT source, kind, MIN(ts) AS first_at, MAX(ts) AS last_at FROM (SELECT CASE user_id % 3 WHEN 0 THEN 'catalunya' WHEN 1 THEN 'valencia' ELSE 'galicia' END AS source, event_type AS kind, ts FROM events) GROUP BY source, kind"
+
+
+def _event_rules(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Rules of two generations for each source and event type of the log: known at its first event, learned again at its last."""
+    source = F.element_at(F.array(*[F.lit(x) for x in ("catalunya", "valencia", "galicia")]), (F.col("user_id") % 3 + 1).cast("int"))
+    kinds = table(spark, sf_dir, "events").groupBy(source.alias("source_system"), F.col("event_type").alias("province_type")).agg(F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
+    rule = lambda at: kinds.select("source_system", "province_type", F.create_map(F.lit("id"), F.lit("raw_id")).alias("field_mapping"), F.lit(True).alias("is_active"), F.col(at).alias("generated_at"), F.col(at).alias("updated_at"))
+    return rule("first_at"), rule("last_at")
+
+
+@query(f"WITH kinds AS ({_KINDS}) SELECT source AS source_system, kind AS province_type, kind = 'error' AND source <> 'galicia' AS is_active, first_at AS generated_at FROM kinds WHERE kind = 'error' UNION ALL SELECT source, kind, kind <> 'error' AND source <> 'galicia', first_at FROM kinds WHERE kind <> 'error' UNION ALL SELECT source, kind, source <> 'galicia', last_at FROM kinds WHERE kind <> 'error'".replace("kind <> 'error' AND source <> 'galicia', first_at", "FALSE, first_at"))
+def rule_history(spark, sf_dir):
+    """Rules of a log's kinds learned anew (but for one kind), then one source's invalidated: all generations are listed."""
+    old, new = _event_rules(spark, sf_dir)
+    rules = learned.upsert_rules(old, new.where("province_type <> 'error'"))
+    left, _ = learned.invalidate(rules, "galicia")
+    return learned.listing(left, active_only=False).select("source_system", "province_type", "is_active", "generated_at")
+
+
+@query(f"WITH kinds AS ({_KINDS}) SELECT source AS source_system, kind AS province_type, last_at AS generated_at FROM kinds WHERE NOT (source = 'galicia' AND kind = 'click')")
+def rule_listing(spark, sf_dir):
+    """The active rules after one kind of a source was invalidated."""
+    old, new = _event_rules(spark, sf_dir)
+    left, _ = learned.invalidate(learned.upsert_rules(old, new), "galicia", "click")
+    return learned.listing(left).select("source_system", "province_type", "generated_at")
+
+
 @query("""SELECT event_id, LEFT(SHA256(CASE event_id % 4 WHEN 0 THEN '["k"]' WHEN 1 THEN '["a", "k"]' WHEN 2 THEN '["b", "k", "z"]' ELSE '[]' END), 16) AS signature FROM events""")
 def schema_signature(spark, sf_dir):
     four, inner = F.col("event_id") % 4, F.regexp_extract("props", r"^\{(.*)\}$", 1)
@@ -352,6 +407,24 @@ def routing_counters(spark, sf_dir):
     return routing.counters(routing.deduplicated(routing.normalise(raw)))
 
 
+@query(
+    stations_sql(
+        "SELECT source AS source_system, 'batch-' || CAST(message_id % 7 AS VARCHAR) AS seed, COUNT(*) AS n, SUM(message_id) AS gateway_s FROM reasoned LEFT JOIN ended ON reasoned.k = ended.k WHERE reason IS NULL AND dup IS NULL GROUP BY 1, 2",
+        *_ENDED,
+        recursive=True,
+    )
+)
+def audit_provenance(spark, sf_dir):
+    """What messages say of how they came about, from the raw message through the chain to the log's rows."""
+    number = F.substring_index("message_id", "-", -1).cast("bigint")
+    marked = messages(spark, sf_dir).withColumns({
+        "injection": F.struct(F.lit("mixed").alias("type"), F.create_map(F.lit("seed"), F.concat(F.lit("batch-"), (number % 7).cast("string"))).alias("metadata")),
+        "gateway_ingested_at": F.timestamp_seconds(number),
+    })
+    logged = store.audit_success(routing.run(marked)["accepted"], 1, F.lit("2024-05-01").cast("timestamp")).where("metadata.injection.type = 'mixed'")
+    return logged.groupBy("source_system", F.col("metadata.injection.metadata")["seed"].alias("seed")).agg(F.count("*").alias("n"), F.sum(F.unix_seconds("metadata.timing_context.gateway_ingested_at")).alias("gateway_s"))
+
+
 @query(_routes_sql())
 def stream_routes(spark, sf_dir):
     """The same messages from files, through the stream and its sinks."""

@@ -9,7 +9,7 @@ from milldam.operators import analytics as A
 from milldam.plans.registry import Registry
 from milldam.plans.stations import reasoned
 from milldam.plans.views import log, log_sql, stations_sql, table
-from milldam.sources.payloads import numbered_by
+from milldam.operators.ranks import numbered_by
 
 query = Registry()
 QUERIES, ORACLE_SQL = query.queries, query.sql

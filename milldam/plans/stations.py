@@ -149,9 +149,9 @@ def route_three_way(spark, sf_dir):
     return out.groupBy(F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("route"), F.coalesce("reason", F.lit("-")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-@query(stations_sql("SELECT k, station_id AS id_en_fuente, name AS nombre, longitude AS x, latitude AS y, CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN 4326 END AS srid, raw_id AS extra_raw_id, city AS extra_city FROM clean WHERE raw_id IS NOT NULL AND longitude IS NOT NULL AND latitude IS NOT NULL"))
+@query(stations_sql("SELECT k, station_id AS id_en_fuente, name AS nombre, longitude AS x, latitude AS y, CASE WHEN longitude IS NOT NULL AND latitude IS NOT NULL THEN 4326 END AS srid, raw_id AS extra_raw_id, city AS extra_city FROM clean".replace("longitude AS x, latitude AS y", "CASE WHEN latitude IS NOT NULL THEN longitude END AS x, CASE WHEN longitude IS NOT NULL THEN latitude END AS y")))
 def table_mapping(spark, sf_dir):
-    rows = cleaned(spark, sf_dir).where("raw_id is not null and latitude is not null and longitude is not null")
+    rows = cleaned(spark, sf_dir)
     placed = rows.select("k", F.col("station_id").alias("id_en_fuente"), F.col("name").alias("nombre"), clean.point(F.col("latitude"), F.col("longitude")).alias("p"), mapping.overflow(rows).alias("o"))
     return placed.select("k", "id_en_fuente", "nombre", "p.x", "p.y", "p.srid", F.get_json_object("o", "$.raw_id").alias("extra_raw_id"), F.get_json_object("o", "$.city").alias("extra_city"))
 
@@ -248,6 +248,31 @@ def radius_search(spark, sf_dir):
     return found.select("k", F.round(F.col("metres") / 1000, 3).alias("km"))
 
 
+def _vincenty_sql(rounds: int = 8) -> tuple[str, ...]:
+    """Vincenty's iteration from the same point in SQL, one relation for each round: metres in `ellipsoid`."""
+    f, a = "(1 / 298.257223563)", "6378137.0"
+    b = f"({a} * (1 - {f}))"
+    u1 = f"ATAN((1 - {f}) * TAN(RADIANS(40.4)))"
+    out = [f"v0 AS (SELECT k, SIN({u1}) AS s1, COS({u1}) AS c1, SIN(ATAN((1 - {f}) * TAN(RADIANS(latitude)))) AS s2, COS(ATAN((1 - {f}) * TAN(RADIANS(latitude)))) AS c2, RADIANS(longitude + 3.7) AS gap, RADIANS(longitude + 3.7) AS x FROM clean WHERE latitude BETWEEN 30 AND 50 AND longitude BETWEEN -20 AND 20)"]
+    for i in range(rounds):
+        out.append(f"a{i} AS (SELECT *, SQRT(POW(c2 * SIN(x), 2) + POW(c1 * s2 - s1 * c2 * COS(x), 2)) AS sine, s1 * s2 + c1 * c2 * COS(x) AS cosine FROM v{i})")
+        out.append(f"b{i} AS (SELECT *, COALESCE(c1 * c2 * SIN(x) / NULLIF(sine, 0), 0) AS turn FROM a{i})")
+        out.append(f"c{i} AS (SELECT *, 1 - turn * turn AS level, cosine - 2 * s1 * s2 / (1 - turn * turn) AS middle FROM b{i})")
+        c = f"({f} / 16 * level * (4 + {f} * (4 - 3 * level)))"
+        out.append(f"v{i + 1} AS (SELECT k, s1, c1, s2, c2, gap, gap + (1 - {c}) * {f} * turn * (ATAN2(sine, cosine) + {c} * sine * (middle + {c} * cosine * (2 * middle * middle - 1))) AS x, sine, cosine, level, middle FROM c{i})")
+    w = f"(level * ({a} * {a} - {b} * {b}) / ({b} * {b}))"
+    big, small = f"(1 + {w} / 16384 * (4096 + {w} * (-768 + {w} * (320 - 175 * {w}))))", f"({w} / 1024 * (256 + {w} * (-128 + {w} * (74 - 47 * {w}))))"
+    m2 = "(2 * middle * middle - 1)"
+    less = f"({small} * sine * (middle + {small} / 4 * (cosine * {m2} - {small} / 6 * middle * (4 * sine * sine - 3) * (4 * middle * middle - 3))))"
+    return (*out, f"far AS (SELECT k, {b} * {big} * (ATAN2(sine, cosine) - {less}) AS ellipsoid FROM v{rounds})")
+
+
+@query(stations_sql("SELECT k, ROUND(ellipsoid / 1000, 3) AS km FROM far WHERE ellipsoid <= 150000", *_vincenty_sql()))
+def radius_search_ellipsoid(spark, sf_dir):
+    found = search.within(cleaned(spark, sf_dir), 40.4, -3.7, 150_000, "latitude", "longitude", ellipsoid=True)
+    return found.select("k", F.round(F.col("metres") / 1000, 3).alias("km"))
+
+
 @query(stations_sql("SELECT k FROM clean WHERE city = 'NATION_7' AND raw_id IS NOT NULL"))
 def json_city_filter(spark, sf_dir):
     rows = cleaned(spark, sf_dir).where("raw_id is not null")

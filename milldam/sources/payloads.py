@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from milldam.config import FORMATS, EngineConfig, bounded
 from milldam.dims import REGISTRY
 from milldam.functions.clean import clean_source
+from milldam.operators.ranks import numbered_by
 
 # Media types and the formats that they stand for.
 MEDIA_TYPES = {
@@ -293,21 +294,9 @@ def _escaped(x: Column) -> Column:
 
 
 def resample(df: DataFrame, n: int, order: str) -> DataFrame:
-    """n rows, going round the rows of a table in order. Its rows are numbered in buckets of the order's values."""
+    """n rows, going round the rows of a table in order."""
     count = df.count()
     if not count:
         return df.withColumn("sample", F.lit(0).cast("long"))
     numbered = numbered_by(df, order).withColumnRenamed("_place", "_row")
     return df.sparkSession.range(n).select(F.col("id").alias("sample"), (F.col("id") % count).alias("_row")).join(numbered, "_row").drop("_row")
-
-
-def numbered_by(df: DataFrame, order: str, groups: tuple[str, ...] = (), buckets: int = 64) -> DataFrame:
-    """Adds `_place`, from 0 in the order of a numeric column (in each group), without gathering a group: rows are dealt into
-    buckets by quantiles of the column, numbered there, and begin where the buckets before end. Equal values share a bucket."""
-    edges = sorted(set(df.approxQuantile(order, [i / buckets for i in range(1, buckets)], 0.25 / buckets)))
-    bucket = F.size(F.filter(F.array(*[F.lit(e) for e in edges]), lambda e: e < F.col(order))) if edges else F.lit(0)
-    dealt = df.withColumn("_bucket", bucket)
-    before = Window.partitionBy(*groups, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dealt.groupBy(*groups, "_bucket").agg(F.count("*").alias("_n")).select(*groups, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    place = F.row_number().over(Window.partitionBy(*groups, "_bucket").orderBy(order)) - 1
-    return dealt.withColumn("_in", place).join(starts, [*groups, "_bucket"]).withColumn("_place", F.col("_start") + F.col("_in")).drop("_bucket", "_in", "_start")

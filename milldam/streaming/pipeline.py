@@ -13,7 +13,7 @@ import time
 from collections.abc import Callable
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -76,12 +76,14 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfi
         reached("route")
         found = routing.normalised(batch, config=config, rules=learnt.read() if config.mode == "LLM" else None, client=client)
         rows = found["rows"].persist()
-        routed = routing.outputs(rows.withColumn("normalizer_completed_at", F.current_timestamp()), batch, config)
+        seen = Observation()
+        routed = routing.outputs(rows.withColumn("normalizer_completed_at", F.current_timestamp()), batch, config, seen)
         accepted = routed["accepted"].persist()
         try:
             write(accepted, "normalized")
             write(routed["rejected"].withColumn("rejected_at", now), "rejected")
             write(routed["dead"], "dead_letter")
+            write(spark.createDataFrame([seen.get]), "counters")
             write(store.audit_success(accepted, batch_id, now), "audit")
             if "rules" in found:
                 reached("rules")
@@ -95,7 +97,7 @@ def process_batch(batch: DataFrame, batch_id: int, out: str, config: EngineConfi
 
     error = with_retries(attempt, config)
     if error is not None:
-        for name in ("normalized", "rejected"):
+        for name in ("normalized", "rejected", "counters"):
             remove(name)
         learnt.take_back(batch_id)
         write(batch.withColumn("dead", F.lit("batch_failed")), "dead_letter")

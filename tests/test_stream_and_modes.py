@@ -5,11 +5,12 @@ import json
 import random
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from milldam.config import EngineConfig
 from milldam.functions import clean
-from milldam.operators import analytics, checks, dedup, fuzzy, generate, learned, mapping, routing, search, store
+from milldam.operators import analytics, checks, dedup, fuzzy, generate, learned, mapping, ranks, routing, search, store
 from milldam.sources import payloads
 from milldam.streaming import pipeline
 
@@ -252,7 +253,7 @@ def test_percentiles_and_ranks(spark):
     got = {r.g: r.x for r in analytics.nearest_rank_rows(df, ["g"], "v", 0.95, "x").collect()}
     assert got == {g: (t := sorted(v for v in values if ("a" if v % 3 else "b") == g))[int(len(t) * 0.95)] for g in "ab"}
     assert list(analytics.percentiles(df.limit(0), "v", 0.5).first()) == [0.0]
-    placed = payloads.numbered_by(df, "v", ("g",)).collect()
+    placed = ranks.numbered_by(df, "v", ("g",)).collect()
     for g in "ab":
         mine = sorted((r._place, r.v) for r in placed if r.g == g)
         assert [p for p, _ in mine] == list(range(len(mine))) and [v for _, v in mine] == sorted(v for _, v in mine)
@@ -421,3 +422,46 @@ def test_files_by_ending(spark, tmp_path):
         (tmp_path / name).write_text(text)
     found = {r.path.rsplit("/", 1)[1]: (r.refused, r.payload) for r in payloads.scan_files(spark, str(tmp_path), config=EngineConfig(max_file_bytes=20)).collect()}
     assert {k: v[0] for k, v in found.items()} == {"a.json": None, "b.xml": None, "c.csv": None, "d.png": "unsupported_media_type", "e.json": "file_too_large"} and found["e.json"][1] is None
+
+
+def test_counters_without_a_pass(spark, tmp_path):
+    """The figures of counters() come with the first output that is written."""
+    rows = [("a", "valencia", "json", json.dumps({"estaciones": [station(1), station(1), station(2, codigo="")]})), ("b", "valencia", "json", "[]")]
+    messages = spark.createDataFrame(rows, "message_id string, source string, format string, payload string")
+    found, seen = routing.normalise(messages).persist(), Observation()
+    out = routing.outputs(found, messages, seen=seen)
+    out["accepted"].write.json(f"{tmp_path}/a")
+    assert seen.get == routing.counters(routing.deduplicated(found)).first().asDict() == {"processed": 1, "stations_rejected": 2, "messages_rejected": 1}
+
+
+def test_ellipsoid(spark):
+    """Published lines: Flinders Peak to Buninyong, and a degree along the equator and along a meridian from it."""
+    from milldam.functions.similarity import vincenty_m
+
+    deg = lambda d, m, s: d + m / 60 + s / 3600
+    lines = [(-deg(37, 39, 10.1561), deg(143, 55, 35.3839), -deg(37, 57, 3.7203), deg(144, 25, 29.5244), 54972.271), (0.0, 1.0, 0.0, 0.0, 111319.491), (1.0, 0.0, 0.0, 0.0, 110574.389), (0.0, 0.0, 0.0, 0.0, 0.0)]
+    for lat, lon, lat0, lon0, want in lines:
+        df = spark.createDataFrame([(lat, lon)], "latitud double, longitud double")
+        assert abs(df.select(vincenty_m(F.col("latitud"), F.col("longitud"), lat0, lon0).alias("m")).first().m - want) < 0.01
+    east = spark.createDataFrame([(0.0, 1.0)], "latitud double, longitud double")
+    assert search.within(east, 0.0, 0.0, 111_250).count() == 1 and search.within(east, 0.0, 0.0, 111_250, ellipsoid=True).count() == 0
+
+
+def test_ranks_of_one_common_value(spark):
+    """One value in nine tenths of the rows is split over ranges, and all places are right."""
+    rng = random.Random(1)
+    rows = [("ab"[rng.random() < 0.3], 7 if rng.random() < 0.9 else rng.randrange(100), i) for i in range(3000)] + [(None, 5, 9000), (None, 3, 9001)]
+    df = spark.createDataFrame(rows, "g string, v long, i long").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ranks.ranged(df.withColumn("t", F.xxhash64("i")), "v", "t").groupBy("_range").count().collect()]
+        assert len(sizes) == 4 and max(sizes) < 1200
+        placed = ranks.numbered_by(df, "v", ("g",)).collect()
+        counts = ranks.running_counts(df, ["g"], "v").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    for g in ("a", "b", None):
+        values = sorted(v for x, v, _ in rows if x == g)
+        mine = sorted((r._place, r.v) for r in placed if r.g == g)
+        assert mine == list(enumerate(values))
+        assert sorted((r.v, r._upto) for r in counts if r.g == g) == sorted({v: k + 1 for k, v in enumerate(values)}.items())
