@@ -255,11 +255,12 @@ def _vincenty_sql(rounds: int = 8) -> tuple[str, ...]:
     u1 = f"ATAN((1 - {f}) * TAN(RADIANS(40.4)))"
     out = [f"v0 AS (SELECT k, SIN({u1}) AS s1, COS({u1}) AS c1, SIN(ATAN((1 - {f}) * TAN(RADIANS(latitude)))) AS s2, COS(ATAN((1 - {f}) * TAN(RADIANS(latitude)))) AS c2, RADIANS(longitude + 3.7) AS gap, RADIANS(longitude + 3.7) AS x FROM clean WHERE latitude BETWEEN 30 AND 50 AND longitude BETWEEN -20 AND 20)"]
     for i in range(rounds):
+        last = ", sine, cosine, level, middle" if i == rounds - 1 else ""
         out.append(f"a{i} AS (SELECT *, SQRT(POW(c2 * SIN(x), 2) + POW(c1 * s2 - s1 * c2 * COS(x), 2)) AS sine, s1 * s2 + c1 * c2 * COS(x) AS cosine FROM v{i})")
         out.append(f"b{i} AS (SELECT *, COALESCE(c1 * c2 * SIN(x) / NULLIF(sine, 0), 0) AS turn FROM a{i})")
         out.append(f"c{i} AS (SELECT *, 1 - turn * turn AS level, cosine - 2 * s1 * s2 / (1 - turn * turn) AS middle FROM b{i})")
         c = f"({f} / 16 * level * (4 + {f} * (4 - 3 * level)))"
-        out.append(f"v{i + 1} AS (SELECT k, s1, c1, s2, c2, gap, gap + (1 - {c}) * {f} * turn * (ATAN2(sine, cosine) + {c} * sine * (middle + {c} * cosine * (2 * middle * middle - 1))) AS x, sine, cosine, level, middle FROM c{i})")
+        out.append(f"v{i + 1} AS (SELECT k, s1, c1, s2, c2, gap, gap + (1 - {c}) * {f} * turn * (ATAN2(sine, cosine) + {c} * sine * (middle + {c} * cosine * (2 * middle * middle - 1))) AS x{last} FROM c{i})")
     w = f"(level * ({a} * {a} - {b} * {b}) / ({b} * {b}))"
     big, small = f"(1 + {w} / 16384 * (4096 + {w} * (-768 + {w} * (320 - 175 * {w}))))", f"({w} / 1024 * (256 + {w} * (-128 + {w} * (74 - 47 * {w}))))"
     m2 = "(2 * middle * middle - 1)"
