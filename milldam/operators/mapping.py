@@ -78,12 +78,18 @@ def rename_to_table(df: DataFrame, *more: Column) -> DataFrame:
     )
 
 
-def overflow(df: DataFrame) -> Column:
-    """What has no column of its own: a snapshot, when it was made, and the rest; nulls are left out."""
+def overflow(df: DataFrame, extra: Column | None = None) -> Column:
+    """What has no column of its own: a snapshot, when it was made, and the rest; nulls are left out. The keys of extra, a map of texts, come
+    in the place of what stands under them."""
     names = [c for c in ("station_id", "name", "source_system", "address", "city", "province", "postal_code", "latitude", "longitude", "phone", "email", "raw_id") if c in df.columns]
     given = lambda c: F.nullif(F.col(c), F.lit("")).alias(c)
     when = [F.col("normalized_at").cast("string").alias("normalized_at")] if "normalized_at" in df.columns else []
-    return F.to_json(F.struct(F.struct(*names).alias("normalized_snapshot"), *when, given("city"), given("province"), given("raw_id")))
+    whole = F.to_json(F.struct(F.struct(*names).alias("normalized_snapshot"), *when, given("city"), given("province"), given("raw_id")))
+    if extra is None:
+        return whole
+    more = F.coalesce(extra, F.create_map().cast("map<string,string>"))
+    kept = F.map_filter(F.from_json(whole, "map<string,variant>"), lambda k, v: ~F.map_contains_key(more, k))
+    return F.to_json(F.map_concat(kept, F.transform_values(more, lambda k, v: v.cast("variant"))))
 
 
 def unmapped(df: DataFrame) -> Column:

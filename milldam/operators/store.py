@@ -74,6 +74,30 @@ def audit_failure(batch: DataFrame, batch_id: int, step: str, error: str, now: C
     return ok.withColumns({"status": F.lit("failed"), "error_message": F.lit(error[:500]), "metadata": F.struct(F.lit(batch_id).cast("bigint").alias("batch"), F.lit(step).alias("error_in_step"))})
 
 
+def with_metadata(log: DataFrame, **values: Column) -> DataFrame:
+    """Log rows whose metadata also holds these values; what stands there under other names stays."""
+    metadata = F.col("metadata")
+    for name, value in values.items():
+        metadata = metadata.withField(name, value)
+    return log.withColumn("metadata", metadata)
+
+
+def with_timing(log: DataFrame, **milliseconds: Column) -> DataFrame:
+    return with_metadata(log, timing=F.struct(*[v.cast("bigint").alias(k) for k, v in milliseconds.items()]))
+
+
+def with_injection_type(log: DataFrame, kind: Column) -> DataFrame:
+    return with_metadata(log, injection_type=kind)
+
+
+def with_rejections(log: DataFrame, rejected: DataFrame) -> DataFrame:
+    """Log rows with the number of their message's rejects by reason; none: an empty map."""
+    counts = rejected.groupBy("message_id", "reason").agg(F.count("*").alias("n")).groupBy("message_id")
+    named = counts.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("_rejections"))
+    none = F.create_map().cast("map<string,bigint>")
+    return with_metadata(log.join(named, "message_id", "left"), rejection_summary=F.coalesce("_rejections", none)).drop("_rejections")
+
+
 def new_log_rows(log: DataFrame, rows: DataFrame) -> DataFrame:
     """Rows whose message is not in the log yet, once each: delivering a message again adds nothing."""
     return rows.dropDuplicates(["message_id"]).join(log.select("message_id"), "message_id", "left_anti")

@@ -465,3 +465,16 @@ def test_ranks_of_one_common_value(spark):
         mine = sorted((r._place, r.v) for r in placed if r.g == g)
         assert mine == list(enumerate(values))
         assert sorted((r.v, r._upto) for r in counts if r.g == g) == sorted({v: k + 1 for k, v in enumerate(values)}.items())
+
+
+def test_overlay_and_log_metadata(spark):
+    rows = spark.createDataFrame([("VAL_1", "a", "valencia", "Calle", "X", "P", "7", {"city": "Y", "more": "z"}), ("VAL_2", "b", "valencia", None, None, None, "8", None)], "station_id string, name string, source_system string, address string, city string, province string, raw_id string, extra map<string,string>")
+    got = [json.loads(r.o) for r in rows.select(mapping.overflow(rows, F.col("extra")).alias("o")).collect()]
+    assert (got[0]["city"], got[0]["more"], got[0]["province"], got[0]["normalized_snapshot"]["city"]) == ("Y", "z", "P", "X")
+    assert "city" not in got[1] and got[1]["raw_id"] == "8" and got[1] == json.loads(rows.select(mapping.overflow(rows).alias("o")).collect()[1].o)
+    assert rows.select(mapping.unmapped(rows).alias("u")).first().u.asDict() == {"city": "X", "province": "P", "raw_id": "7"}
+    log = store.audit_success(rows.withColumn("message_id", F.col("raw_id")), 3, F.lit("2024-05-01").cast("timestamp"))
+    rejected = spark.createDataFrame([("7", "a"), ("7", "a"), ("7", "b")], "message_id string, reason string")
+    full = store.with_rejections(store.with_injection_type(store.with_timing(log, total_ms=F.lit(12)), F.lit("mixed")), rejected)
+    one = {r.message_id: r.metadata for r in full.collect()}
+    assert one["7"].rejection_summary == {"a": 2, "b": 1} and one["8"].rejection_summary == {} and one["7"].batch == 3 and one["7"].timing.total_ms == 12 and one["8"].injection_type == "mixed"
