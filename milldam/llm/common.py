@@ -47,6 +47,13 @@ def join_named(rows: DataFrame, named: DataFrame, key: str, n: str = "n", heavy:
     return rows.join(few, key).unionByName(rows.join(few.select(key), key, "left_anti").join(many, key))
 
 
+def picked(docs: DataFrame, ids: DataFrame, most: int = 1 << 20) -> tuple[DataFrame, int]:
+    """The rows of docs with one of these ids (doc_id; may be null), and the number of different ids. Up to so many are broadcast."""
+    ids = durable(ids.select(F.col("doc_id").alias("picked")).distinct())
+    n = ids.count()
+    return docs.join(F.broadcast(ids) if n <= most else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi"), n
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

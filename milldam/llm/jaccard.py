@@ -33,15 +33,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, shuffle_partitions, slices, table
+from .common import bounded_batches, durable, join_named, picked, shuffle_partitions, slices, table
 from .linking import STRAYS, Sets, bitmap, close, exhausted, linked, merged
 
 #: Shingles that a subset should have on the mean.
 TELLING = 2.5
 #: One text of so many is looked at for common keys; keys that this share of them has are dealt to so many tasks.
 SAMPLE, COMMON, SALTS = 64, 1 / 1024, 64
-#: Documents that are picked by a broadcast of their ids; more, by a join.
-PICKED = 1 << 20
 #: Different words whose hashes a task keeps.
 WORDS = 1 << 19
 _KEY = np.uint64((1 << 64) - 8)
@@ -285,7 +283,7 @@ def shared_keys(dealt: DataFrame) -> DataFrame:
     more = [c for c in dealt.columns if c not in ("place", "fp", "keys")]
     rows = dealt.select("place", "fp", *more, F.explode_outer("keys").alias("packed"))
     rows = rows.select("place", "fp", *more, F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
-    beside = Window.partitionBy("place", "key")
+    beside = Window.partitionBy("key", "place")  # sorted by the key first: of places a task has few
     seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("kind").over(beside)})
     found = seen.where("key is null or place < 0 or (a != b and own < 4)")
     return found.select("key", "fp", F.expr("kind div 4").cast("int").alias("lower"), F.when(F.col("kind") % 4 == 2, 2).otherwise(1).alias("worth"), *more)
@@ -298,12 +296,9 @@ def once(rows: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
     """(fp, x) of the documents with these ids (doc_id), written."""
-    ids = ids.select(F.col("doc_id").alias("picked")).distinct()
-    picked = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi")
-    found = durable(whole_sets(picked, width))
-    if found.select("fp").distinct().count() < found.count():  # several rows have an id
-        found = durable(found.dropDuplicates(["fp"]))
-    return found
+    rows, n = picked(docs, ids)
+    found = durable(whole_sets(rows, width))
+    return found if found.count() == n else durable(found.dropDuplicates(["fp"]))  # several rows have an id
 
 
 def lacking(crowded: DataFrame, spare: DataFrame) -> DataFrame:

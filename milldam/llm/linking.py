@@ -6,7 +6,7 @@ Only connected components matter, so pairs that links found so far already conne
 2. in keys with few strays (sets outside of the key's largest component), the strays meet all others.
 
 Keys with many strays are crowded and handed back, for the caller to split them by better keys, or for exhausted(), which
-compares heads in growing numbers with all sets outside of their components until each group is done. There bitmaps, which can
+compares some heads, then more, with all sets outside of their components until each group is done. There bitmaps, which can
 only understate how far two sets differ, leave few pairs over.
 Pairs are verified by their whole sets.
 """
@@ -26,7 +26,7 @@ from .components import components
 
 #: Strays of a key that meet all of its sets.
 STRAYS = 16
-#: Heads that a group is compared with in the first round of exhausted(), and in a later one at most; sets that meet them in a task;
+#: Heads that a group is compared with in the first round of exhausted(), which links most of it, and in a later one; sets that meet them in a task;
 #: bytes of a set's bitmap.
 HEADS, MOST, PART, BYTES = 64, 4096, 2048, 128
 #: Ranks that the planner limits below a shuffle.
@@ -41,11 +41,14 @@ class Sets:
     whole: Callable[[DataFrame], DataFrame]
 
 
-def verified(pairs: DataFrame, sets: Sets, percent: int) -> DataFrame:
-    """Of pairs (u, v) those whose sets have at least this similarity, written. Only sets that bitmaps do not tell apart are got whole."""
-    pairs = durable(pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
-    near = durable(apart(pairs, sets.maps, percent))
-    whole = sets.whole(near.select(F.col("u").alias("fp")).union(near.select("v")).distinct())
+def verified(pairs: DataFrame, sets: Sets, percent: int, told: bool = False) -> DataFrame:
+    """Of pairs (u, v) those whose sets have at least this similarity, written. Only sets that bitmaps do not tell apart (told: as their
+    pairs were chosen by bitmaps, all) are got whole."""
+    pairs = pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    near = durable(pairs if told else apart(pairs, sets.maps, percent))
+    if near.isEmpty():
+        return near
+    whole = sets.whole(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct())
     held = near.join(whole.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(whole.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
     common = held.select("u", "v", (F.size("ux") + F.size("vx")).alias("both"), F.size(F.array_intersect("ux", "vx")).alias("c"))
     return durable(common.where(100 * F.col("c") >= percent * (F.col("both") - F.col("c"))).select("u", "v"))
@@ -156,7 +159,7 @@ def leading(rows: DataFrame, sets: Sets, percent: int, heads: int = HEADS) -> Da
         here = durable(join_named(members, sizes.select("key", F.col("n").alias("many"), "size"), "key", "many").withColumn("comp", F.col("fp")))
         place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))  # a limit of ranks reaches below the shuffle
         first = durable(here.select("key", "at", "fp").withColumn("place", place).where(F.col("place") <= heads).drop("place"))
-        links = verified(met(here, first.select("fp"), percent), sets, percent)
+        links = verified(met(here, first.select("fp"), percent), sets, percent, True)
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         ranked = both.join(first.select(F.col("fp").alias("v"), order.alias("before")), "v").join(here.select(F.col("fp").alias("u"), order.alias("mine")), "u")
         ranked = durable(ranked.where("before < mine").select("u", "v", F.col("before.at").alias("at")))
@@ -180,7 +183,6 @@ def exhausted(members: DataFrame, sets: Sets, percent: int, stars: DataFrame, he
         here = durable(join_named(members, keys, "key").withColumn("drawn", drawn))
         first = here.groupBy("key").agg(F.min(F.struct("drawn", "fp")).alias("f")).select(F.col("f.fp").alias("fp"))
         chosen = durable(here.where(F.col("drawn") * F.col("size") < heads << 20).select("fp").union(first).distinct())
-        near = met(here, chosen, percent)
-        stars = merged(stars, verified(near, sets, percent))
+        stars = merged(stars, verified(met(here, chosen, percent), sets, percent, True))
         rest = here.join(chosen, "fp", "left_anti").select("key", "fp", "n", "bits")
-        members, heads, turn = rooted(rest, stars), min(4 * heads, MOST), turn + 1
+        members, heads, turn = rooted(rest, stars), MOST, turn + 1

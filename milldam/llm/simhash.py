@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, schema_with, slices, table, with_columns
+from .common import bounded_batches, durable, join_named, picked, schema_with, slices, table, with_columns
 from .components import components
 from .linking import Sets, bitmap, exhausted, leading, linked, merged
 
@@ -41,8 +41,6 @@ BUCKET = 24
 AT_ONCE = 1 << 15
 #: Keys of a set of shingles, minima in a key, and sets of a component that the others are compared with in the first round.
 BANDS, ROWS, HEADS = 32, 4, 64
-#: Documents that are picked by a broadcast of their ids; more, by a join.
-PICKED = 1 << 20
 _factors = np.random.default_rng(42).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
@@ -160,9 +158,9 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     members = durable(join_named(keyed, shared, "key"))
 
     def whole(fps: DataFrame) -> DataFrame:
-        ids = fps.join(least.select("fp", F.col("least").alias("doc_id")), "fp").select("doc_id").distinct()
-        texts = docs.join(F.broadcast(ids) if ids.count() <= PICKED else ids, "doc_id", "left_semi")
-        return durable(shingle_sets(texts, width, True).select("fp", "x").dropDuplicates(["fp"]))
+        rows, n = picked(docs, fps.join(least.select("fp", F.col("least").alias("doc_id")), "fp").select("doc_id"))
+        found = durable(shingle_sets(rows, width, True).select("fp", "x"))
+        return found if found.count() == n else durable(found.dropDuplicates(["fp"]))  # several rows have an id
 
     sets = Sets(least.select("fp", F.col("size").alias("n"), "bits"), whole)
     stars, links, crowded = linked(members, sets, percent)

@@ -9,7 +9,7 @@ import duckdb
 import numpy as np
 import pytest
 
-from milldam.llm import codes, jaccard, queries, runs
+from milldam.llm import codes, components, jaccard, queries, runs
 
 
 def frame(spark, texts, parts=3):
@@ -223,3 +223,24 @@ def test_join_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f g h", "o"), (3, "A b c d e f g h", "o"), (3, "a b c d e f g", "o"), (None, "only me here", "o"), (9, None, "o"), (9, "", "o")], "doc_id long, text string, key string")
     assert sorted(map(str, map(tuple, jaccard.grouped(df).collect()))) == sorted(map(str, [(None, 4, 3), (3, 4, 3), (3, 3, 3), (None, 1, None), (9, 0, 9), (9, 0, 9)]))
     assert jaccard.grouped(df.limit(0)).count() == 0 and json.dumps(jaccard.grouped(df).columns) == '["doc_id", "n_shingles", "component_id"]'
+
+
+@pytest.mark.parametrize("hub", [1, 1 << 20])
+def test_components_with_and_without_hubs(spark, hub):
+    rng = random.Random(hub)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(200, x) for x in range(201, 260)] + [(x, 400) for x in range(300, 360)]
+    edges += [(rng.randrange(1000, 1200), rng.randrange(1000, 1200)) for _ in range(110)] + [(5, 5), (-3, 7), (7, -3), (-3, 7)]
+    root = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            x = root[x]
+        return x
+
+    for u, v in edges:
+        if u != v:
+            a, b = sorted((find(u), find(v)))
+            root[b] = a
+    got = components.components(spark.createDataFrame(edges, "u long, v long").repartition(3), hub).collect()
+    assert sorted(map(tuple, got)) == sorted((x, find(x)) for x in root)
+    assert components.components(spark.createDataFrame([(1, 1)], "u long, v long"), hub).count() == 0
