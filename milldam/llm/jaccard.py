@@ -161,11 +161,11 @@ def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int, need:
     return np.concatenate(keys), len(at) + int(twice.sum())
 
 
-#: Rows of keys: those of a set that go to one place; places under 0 are of common keys, dealt by sets.
+#: Rows of keys: those of a set, at place 0; at places under 0 its common keys, which are dealt by sets.
 KEYS = "place int, fp long, keys array<long>"
 
 
-def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray, places: int) -> tuple[list[pa.Array], dict]:
+def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, common: np.ndarray) -> tuple[list[pa.Array], dict]:
     """Rows of KEYS, and what each set (fp, lower) may lose."""
     place, fps, sizes, out, spare = [], [], [], [np.empty(0, np.uint64)], {}
     for fp, values, n, only in sets:
@@ -181,7 +181,7 @@ def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, co
         if not parts:
             continue
         keys = np.concatenate(parts)
-        where = ((keys >> np.uint64(32)) % np.uint64(places)).astype(np.int64)
+        where = np.zeros(len(keys), np.int64)
         if len(common):
             base = keys & _KEY
             hit = common[np.minimum(np.searchsorted(common, base), len(common) - 1)] == base
@@ -200,7 +200,7 @@ def _rows(sets: list[tuple[int, np.ndarray, int, list | None]], bands: Bands, co
     return [pa.array(np.concatenate(place).astype(np.int32)), pa.array(np.concatenate(fps)), lists], spare
 
 
-def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray, places: int) -> DataFrame:
+def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray) -> DataFrame:
     """(doc_id, text) -> KEYS, DOCUMENT: rows of keys, equal sets of a batch once, and for each document a row without keys, with its id, its set, and
     the set's size, bitmap, and what it may lose in its own partition and in the one below."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,11 +209,11 @@ def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray,
             for batch in slices(whole, "text"):
                 found = [shingle_set(x or b"", width, known) for x in batch.column("text").cast(pa.binary()).to_pylist()]
                 fps, n = list(map(digest, found)), list(map(len, found))
-                (place, fp, keys), spare = _rows([(fp, v, len(v), None) for fp, v in dict(zip(fps, found, strict=True)).items()], bands, common, places)
+                (place, fp, keys), spare = _rows([(fp, v, len(v), None) for fp, v in dict(zip(fps, found, strict=True)).items()], bands, common)
                 ids = batch.column("doc_id")
                 more = [ids, pa.array(n, pa.int64()), pa.array(list(map(bitmap, found)), pa.binary()), *(pa.array([spare.get((x, k)) for x in fps], pa.int32()) for k in (0, 1))]
                 yield pa.RecordBatch.from_arrays([place, fp, keys, *(pa.nulls(len(fp), x.type) for x in more)], names=names)
-                own = pa.array(((np.array(fps, np.int64) + np.arange(len(fps))) % places).astype(np.int32))
+                own = pa.array(((np.array(fps, np.int64) + np.arange(len(fps))) % (1 << 30)).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([own, pa.array(fps, pa.int64()), pa.nulls(len(ids), keys.type), *more], names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -222,7 +222,7 @@ def keys_of_texts(docs: DataFrame, width: int, percent: int, common: np.ndarray,
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
-def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> DataFrame:
+def keys_of_sets(sets: DataFrame, percent: int, level: int) -> DataFrame:
     """(fp, n, x, only) -> KEYS in the partitions of a level. n: the whole set's size; x: its shingles that are listed, in any order; only: the
     bands (own: 0, lower: 1) that are asked for."""
 
@@ -231,7 +231,7 @@ def keys_of_sets(sets: DataFrame, percent: int, level: int, places: int) -> Data
         for batch in batches:
             values = (np.sort(np.array(x, np.int64).view(np.uint64)) for x in batch.column("x").to_pylist())
             columns = (batch.column(c).to_pylist() for c in ("fp", "n", "only"))
-            rows, _ = _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64), places)
+            rows, _ = _rows([(fp, v, n, only) for (fp, n, only), v in zip(zip(*columns, strict=True), values, strict=True)], bands, np.empty(0, np.uint64))
             yield pa.RecordBatch.from_arrays(rows, names=["place", "fp", "keys"])
 
     return sets.select("fp", "n", "x", "only").mapInArrow(run, KEYS)
@@ -273,20 +273,22 @@ def common_keys(docs: DataFrame, width: int, percent: int) -> np.ndarray:
     """Keys that many of a sample of the texts have, in order: at most (keys of a text) / COMMON."""
     some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0)
     least = max(8, some.count() * COMMON)
-    rows = keys_of_texts(some, width, percent, np.empty(0, np.uint64), 1).where("keys is not null").select(F.explode("keys").alias("key")).groupBy(F.shiftright("key", 3).alias("key")).count()
+    rows = keys_of_texts(some, width, percent, np.empty(0, np.uint64)).where("keys is not null").select(F.explode("keys").alias("key")).groupBy(F.shiftright("key", 3).alias("key")).count()
     return np.sort(np.array([r.key << 3 for r in rows.where(F.col("count") >= least).select("key").collect()], np.int64).view(np.uint64))
 
 
-def shared_keys(dealt: DataFrame) -> DataFrame:
-    """KEYS, dealt by their place, and more columns -> (key, fp, lower, worth, more) of keys that several sets have, one of them in its own band, and
-    the rows without keys."""
-    more = [c for c in dealt.columns if c not in ("place", "fp", "keys")]
-    rows = dealt.select("place", "fp", *more, F.explode_outer("keys").alias("packed"))
-    rows = rows.select("place", "fp", *more, F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
-    beside = Window.partitionBy("key", "place")  # sorted by the key first: of places a task has few
+def shared_keys(rows: DataFrame) -> DataFrame:
+    """KEYS and more columns -> (key, fp, lower, worth, more) of keys that several sets have, one of them in its own band, and
+    the rows without keys. Each key is a row of the shuffle, however many tasks there are."""
+    more = [c for c in rows.columns if c not in ("place", "fp", "keys")]
+    own = [F.when(F.col("keys").isNull(), F.struct(*more)).alias("_own")] if more else []
+    rows = rows.select("place", "fp", *own, F.explode_outer("keys").alias("packed"))
+    rows = rows.select("place", "fp", *["_own" for _ in own], F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
+    rows = rows.repartition(shuffle_partitions(rows.sparkSession), "key", "place")
+    beside = Window.partitionBy("key", "place")  # sorted by the key first: there are few places
     seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("kind").over(beside)})
     found = seen.where("key is null or place < 0 or (a != b and own < 4)")
-    return found.select("key", "fp", F.expr("kind div 4").cast("int").alias("lower"), F.when(F.col("kind") % 4 == 2, 2).otherwise(1).alias("worth"), *more)
+    return found.select("key", "fp", F.expr("kind div 4").cast("int").alias("lower"), F.when(F.col("kind") % 4 == 2, 2).otherwise(1).alias("worth"), *[f"_own.{c}" for c in more])
 
 
 def once(rows: DataFrame) -> DataFrame:
@@ -319,10 +321,8 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     """(doc_id, n_shingles, component_id) of every row: component_id is the smallest id that links reach, its own included."""
     bounded_batches(df.sparkSession)
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    places = shuffle_partitions(df.sparkSession)
     # the keys' pass gives the documents' sets as well: both come out of one shuffle and are written together
-    dealt = keys_of_texts(docs, width, percent, common_keys(docs, width, percent), 4 * places).repartition(places, "place")
-    found = durable(shared_keys(dealt))
+    found = durable(shared_keys(keys_of_texts(docs, width, percent, common_keys(docs, width, percent))))
     marked = found.where("key is null").select("doc_id", "fp", "n")
     members = durable(once(found.where("key is not null").select("key", "fp", "lower", "worth")))
     firsts = [F.first(c).alias(c) for c in ("bits", "spare0", "spare1")]
@@ -335,8 +335,7 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     if not short.isEmpty():
         asked = whole(short.select("fp").distinct()).join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp").join(classes.select("fp", F.col("size").alias("n")), "fp")
         rare = durable(rare_parts(asked, STRAYS))
-        keys = keys_of_sets(rare, percent, 1, 4 * places).repartition(places, "place")
-        stars = merged(stars, links.union(close(shared_keys(keys), sets, percent)))
+        stars = merged(stars, links.union(close(shared_keys(keys_of_sets(rare, percent, 1)), sets, percent)))
         short = short.join(spares(rare, percent, 1).where("spare < 0"), ["fp", "lower"], "left_semi")
         crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp")
         stars = exhausted(durable(crowded), sets, percent, stars)
