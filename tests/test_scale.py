@@ -5,6 +5,7 @@ from contextlib import contextmanager
 from pyspark.sql import functions as F
 
 from milldam.operators import search
+from milldam.plans.views import raw_st, table
 
 
 @contextmanager
@@ -37,3 +38,13 @@ def test_name_join_deals_a_frequent_name(spark):
         assert found.distinct().count() == 2990 * 699
         assert largest_share(found) < 0.6
         found.unpersist()
+
+
+def test_stations_are_dealt_by_rows(spark, sf_dir, tmp_path):
+    """A customer table of one block becomes several tasks, whatever its bytes; rows stay whole."""
+    table(spark, sf_dir, "nation").write.parquet(f"{tmp_path}/nation.parquet")
+    rows = spark.range(0, 20_000, 1, 1).select(F.col("id").alias("c_custkey"), (F.col("id") % 5).cast("int").alias("c_nationkey"))
+    rows.write.parquet(f"{tmp_path}/customer.parquet")
+    made = raw_st(spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() > 1 and largest_share(made) < 0.5
+    assert made.select("k").distinct().count() == 20_000 == made.count()
