@@ -9,9 +9,10 @@ exactly: two fingerprints are within 2 bits if and only if some value is within
 listed under itself and its 64 one-bit neighbours, and all under one value are linked to the smallest of
 them. That is linear in the members, and no link between components is lost.
 
-near_duplicates() goes by the Jaccard similarity of sets of shingles. Two texts of five-word similarity 0.8 differ in about
-ten of the 64 bits of their fingerprints, too many for deletion variants, so candidates come from equal minima of the sets
-in one of BANDS bands; candidates are verified by their whole sets, and a key is not paired out (linking.py). In a component of
+near_duplicates() takes its candidates from the same fingerprints, of its own width: what deletion variants link is one component. Two
+texts of five-word similarity 0.8 differ in about ten of the 64 bits, too many for deletion variants alone, so equal minima of
+the sets in one of BANDS bands give more candidates. All are verified by the Jaccard similarity of their whole sets, and a key is not
+paired out (linking.py). In a component of
 similar sets the smallest ids stay, in order, and those similar to one that stays go.
 
 Defined results: texts without words (null, empty, white space) have fingerprint zero and link like any
@@ -60,7 +61,10 @@ def shingles(text: bytes, width: int) -> list[int]:
 
 def fingerprint(text: bytes, width: int) -> int:
     """Bits set in over half of the hashes of the text's shingles."""
-    hashes = shingles(text, width)
+    return fingerprint_of(shingles(text, width))
+
+
+def fingerprint_of(hashes: list[int]) -> int:
     if not hashes:
         return 0
     counts = np.zeros(64, np.int64)
@@ -127,13 +131,16 @@ def band_keys(values: np.ndarray) -> list[int]:
 
 
 def shingle_sets(df: DataFrame, width: int, full: bool) -> DataFrame:
-    """(doc_id, text) -> (doc_id, fp, n, bits, x): digest, size (0: no shingles) and bitmap of the set of shingles; x: its hashes if full, else its keys."""
+    """(doc_id, text) -> (doc_id, fp, n, bits, sim, x): digest, size (0: no shingles) and bitmap of the set of shingles, and the text's fingerprint; x:
+    the set's hashes if full, else its keys."""
     bounded_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text", 1 << 20):
-                sets = [np.unique(np.array(shingles(x or b"", width), dtype=np.uint64)) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+                hashes = [shingles(x or b"", width) for x in batch.column("text").cast(pa.binary()).to_pylist()]
+                sets = [np.unique(np.array(h, dtype=np.uint64)) for h in hashes]
+                sims = np.array([fingerprint_of(h) for h in hashes], dtype=np.uint64).view(np.int64)
                 fps = np.array([xxhash.xxh64_intdigest(v.tobytes(), 42) if len(v) else 0 for v in sets], dtype=np.uint64).view(np.int64)
                 if full:
                     ends = np.cumsum([0, *map(len, sets)])
@@ -141,9 +148,17 @@ def shingle_sets(df: DataFrame, width: int, full: bool) -> DataFrame:
                 else:
                     x = pa.array([band_keys(v) if len(v) else [] for v in sets], pa.list_(pa.int64()))
                 bits = pa.array(list(map(bitmap, sets)), pa.binary())
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(list(map(len, sets)), pa.int64()), bits, x], names=["doc_id", "fp", "n", "bits", "x"])
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps), pa.array(list(map(len, sets)), pa.int64()), bits, pa.array(sims), x], names=["doc_id", "fp", "n", "bits", "sim", "x"])
+
+    return df.select("doc_id", "text").mapInArrow(run, T.StructType([df.schema["doc_id"], *T._parse_datatype_string("fp long, n long, bits binary, sim long, x array<long>").fields]))
+
 
-    return df.select("doc_id", "text").mapInArrow(run, T.StructType([df.schema["doc_id"], *T._parse_datatype_string("fp long, n long, bits binary, x array<long>").fields]))
+def alike(sets: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(fp, sim) of sets -> (u, v), written: each set with the smallest of those whose fingerprints can be reached over links of deletion variants."""
+    rooted = components(links(sets.select(F.col("sim").alias("fp")).distinct(), bucket))
+    grouped = sets.join(rooted.withColumnRenamed("u", "sim"), "sim", "left").select("fp", F.coalesce("root", "sim").alias("root"))
+    least = grouped.groupBy("root").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
+    return durable(grouped.join(least, "root").where("fp != v").select(F.col("fp").alias("u"), "v"))
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, heads: int = HEADS) -> DataFrame:
@@ -151,7 +166,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     percent = round(100 * similarity)
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     marked = durable(shingle_sets(docs, width, False))
-    firsts = [F.first(c).alias(k) for c, k in (("x", "x"), ("bits", "bits"), ("n", "size"))]
+    firsts = [*(F.first(c).alias(k) for c, k in (("x", "x"), ("bits", "bits"), ("n", "size"))), F.min("sim").alias("sim")]
     least = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *firsts))
     keyed = least.where("least is not null").select("fp", F.explode("x").alias("key"))  # rows without an id stay anyhow
     shared = durable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
@@ -163,8 +178,8 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
         return found if found.count() == n else durable(found.dropDuplicates(["fp"]))  # several rows have an id
 
     sets = Sets(least.select("fp", F.col("size").alias("n"), "bits"), whole)
-    stars, links, crowded = linked(members, sets, percent)
-    stars = merged(stars, links)
+    stars, found, crowded = linked(members, sets, percent)
+    stars = merged(merged(stars, found), alike(least.where("size > 0 and least is not null").select("fp", "sim")))
     if not crowded.isEmpty():
         stars = exhausted(crowded.select("key", "fp"), sets, percent, stars)
     goes = leading(stars.join(least.select(F.col("fp").alias("u"), F.col("least").alias("at")), "u").select(F.col("u").alias("fp"), F.col("root").alias("key"), "at"), sets, percent, heads)
