@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from milldam.config import bounded
 from milldam.functions.clean import parse_time, payload_kind, text_or
+from milldam.operators.mapping import settled
 from milldam.operators.ranks import running_counts
 
 # Spans between the stamps of a message's way.
@@ -18,15 +19,18 @@ SPANS = {
 }
 
 
-def timing(stamps: dict[str, Column], strict: bool = False) -> dict[str, Column]:
-    """Milliseconds of each span, cut towards zero; a bad stamp voids all of them. strict: so does a missing first one."""
-    parsed = {k: parse_time(v) for k, v in stamps.items()}
+def timing(df: DataFrame, strict: bool = False) -> DataFrame:
+    """Adds the milliseconds of each span between the stamps (columns of text), cut towards zero; a bad stamp voids all of them. strict: so
+    does a missing first one. Each stamp is parsed once."""
+    stamps = list(dict.fromkeys(x for span in SPANS.values() for x in span))
+    parsed = settled(df, {f"_{k}": F.unix_micros(parse_time(F.col(k))) for k in stamps})
     sound = F.lit(True)
-    for k, v in stamps.items():
-        sound = sound & (v.isNull() | (v == "") | parsed[k].isNotNull())
+    for k in stamps:
+        sound = sound & (F.col(k).isNull() | (F.col(k) == "") | F.col(f"_{k}").isNotNull())
     if strict:
-        sound = sound & stamps["gateway_ingested_at"].isNotNull()
-    return {name: F.when(sound, ((F.unix_micros(parsed[b]) - F.unix_micros(parsed[a])) / 1000).cast("bigint")) for name, (a, b) in SPANS.items()}
+        sound = sound & F.col("gateway_ingested_at").isNotNull()
+    spans = {name: F.when(sound, ((F.col(f"_{b}") - F.col(f"_{a}")) / 1000).cast("bigint")) for name, (a, b) in SPANS.items()}
+    return settled(parsed, spans).drop(*[f"_{k}" for k in stamps])
 
 
 def status_lookup(log: DataFrame, message_id) -> DataFrame:

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from milldam.functions import clean
 from milldam.operators import analytics as A
+from milldam.operators.mapping import settled
 from milldam.plans.registry import Registry
 from milldam.plans.stations import reasoned
-from milldam.plans.views import log, log_sql, stations_sql, table
+from milldam.plans.views import dealt, log, log_sql, stations_sql, table
 from milldam.operators.ranks import numbered_by
 
 query = Registry()
@@ -104,7 +105,7 @@ _STAMPS = {
     )
 )
 def timing_breakdown(spark, sf_dir):
-    rows = log(spark, sf_dir).withColumn("processed_at", F.col("processed_at").cast("timestamp"))
+    rows = dealt(log(spark, sf_dir).select("message_id", F.col("processed_at").cast("timestamp")), "message_id", 1 << 15)
 
     def stamp(seconds: int, missing: str):
         at = F.timestamp_micros(F.unix_micros("processed_at") + seconds * (1_000_000 + F.col("message_id") % 7 * 10_000))
@@ -112,7 +113,7 @@ def timing_breakdown(spark, sf_dir):
 
     stamps = {k: stamp(*v) for k, v in _STAMPS.items()}
     stamps["persister_started_at"] = F.when(F.col("message_id") % 40 == 13, "yesterday").otherwise(stamps["persister_started_at"])
-    return rows.select("message_id", *[v.alias(k) for k, v in A.timing(stamps).items()])
+    return A.timing(settled(rows, stamps)).select("message_id", *A.SPANS)
 
 
 @query(log_sql("SELECT message_id, source, status FROM log ORDER BY processed_at DESC, message_id DESC LIMIT 10"))

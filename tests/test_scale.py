@@ -4,7 +4,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import functions as F
 
-from milldam.operators import search
+from milldam.operators import analytics, learned, search
+from milldam.plans import monitoring
 from milldam.plans.views import raw_st, table
 
 
@@ -48,3 +49,27 @@ def test_stations_are_dealt_by_rows(spark, sf_dir, tmp_path):
     made = raw_st(spark, str(tmp_path))
     assert made.rdd.getNumPartitions() > 1 and largest_share(made) < 0.5
     assert made.select("k").distinct().count() == 20_000 == made.count()
+
+
+def test_stamps_are_dealt_and_parsed_once(spark, tmp_path):
+    """Events of one block become several tasks; a bad stamp voids all spans, a missing one its own."""
+    rows = spark.range(0, 70_000, 1, 1).selectExpr("id as event_id", "id as user_id", "'view' as event_type", "timestamp_seconds(id) as ts", "1.0D as value", "'{}' as props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    made = monitoring.timing_breakdown(spark, str(tmp_path))
+    assert made.rdd.getNumPartitions() > 1 and largest_share(made) < 0.6 and made.count() == 70_000
+    names = list(dict.fromkeys(x for span in analytics.SPANS.values() for x in span))
+    stamps = [("2024-01-01T00:00:00Z", "2024-01-01T00:00:01.5Z", "", "2024-01-01T00:00:03Z", "2024-01-01T00:00:04Z"), (None, "2024-01-01T00:00:01Z", "x", None, None)]
+    df = spark.createDataFrame(stamps, ", ".join(f"{n} string" for n in names))
+    got = [tuple(r[n] for n in analytics.SPANS) for r in analytics.timing(df).collect()]
+    assert sorted(got, key=str) == sorted([(1500, None, 1000, 4000), (None,) * 4], key=str)
+    assert df.columns == analytics.timing(df).columns[: len(df.columns)]
+
+
+def test_names_are_matched_once(monkeypatch):
+    """The stand-in for a model matches a list of names once, not for each record."""
+    calls = []
+    match = learned.best_match
+    monkeypatch.setattr(learned, "best_match", lambda names: calls.append(names) or match(names))
+    learned._picked.cache_clear()
+    out = learned.stub_client(['{"codigo":"%d","nombre":"x"}' % i for i in range(20)])
+    assert [r["raw_id"] for r in out] == [str(i) for i in range(20)] and len(calls) == 1
