@@ -8,6 +8,7 @@ import json
 import time
 from collections.abc import Callable, Iterator
 from datetime import UTC, datetime
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -136,11 +137,16 @@ def stub_client(records: list[str]) -> list[dict]:
             raise ModelError("llm_invalid_json") from e
         if not isinstance(record, dict):
             raise ModelError("llm_invalid_json")
-        _, pick, *_ = best_match(list(record))
-        out.append({t: record[k] for t, k in pick.items()})
+        out.append({t: record[k] for t, k in _picked(tuple(record)).items()})
     return out
 
 
+@lru_cache(1 << 10)
+def _picked(names: tuple[str, ...]) -> dict[str, str]:
+    """The best matching name of each target; a feed has few lists of names."""
+    return best_match(list(names))[1]
+
+
 def call_model(df: DataFrame, client: Callable[[list[str]], list[dict]] = stub_client, config: EngineConfig = EngineConfig(), record: str = "raw_fragment", pause: Callable[[float], None] | None = None, asked: str | None = None) -> DataFrame:
     """Adds fields and truthy from the client's answers, and model_error. Records go to it in small batches of one source; with a
     pause, from config.model_callers tasks, which share the rate limit. A call of any client but the stub may take
