@@ -102,20 +102,27 @@ def check_messages(df: DataFrame) -> DataFrame:
 
 
 def csv_lines(text: Column) -> Column:
-    """Records of a CSV text: line ends inside quotes do not end one; blank lines are no records."""
-    records = F.regexp_extract_all(text, F.lit(r'((?:[^"\r\n]|"(?:[^"]|"")*"?)+)'), F.lit(1))
+    """Records of a CSV text: line ends inside quotes do not end one; blank lines are no records. Runs of plain characters are one step of the
+    pattern: steps of a group are calls on the JVM's stack, which a long record would overflow."""
+    records = F.regexp_extract_all(text, F.lit(r'((?:[^"\r\n]++|"(?:[^"]++|"")*+"?)++)'), F.lit(1))
     return F.filter(records, lambda r: F.trim(r) != "")
 
 
 def csv_cells(record: Column) -> Column:
     """Cells of a record, quotes undone."""
-    cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r',("(?:[^"]|"")*"[^,]*|[^,]*)'), F.lit(1))
-    return F.transform(cells, lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"((?:[^"]|"")*)"?([^,]*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(c))
+    cells = F.regexp_extract_all(F.concat(F.lit(","), record), F.lit(r',("(?:[^"]++|"")*"[^,]*|[^,]*)'), F.lit(1))
+    return F.transform(cells, lambda c: F.when(c.startswith('"'), F.replace(F.regexp_replace(c, r'^"((?:[^"]++|"")*)"?([^,]*)$', "$1$2"), F.lit('""'), F.lit('"'))).otherwise(c))
+
+
+def csv_header(line: Column) -> Column:
+    """A header's distinct names, and for each its first place (from 1)."""
+    placed = lambda cells, names: F.struct(names.alias("names"), F.transform(names, lambda h: F.array_position(cells, h).cast("int")).alias("places"))
+    return let(csv_cells(line), lambda cells: let(F.array_distinct(cells), lambda names: placed(cells, names)))
 
 
 def csv_record(header: Column, cells: Column) -> Column:
     """A map of a record's cells by column; missing ones are null, surplus ones left out."""
-    return F.map_from_entries(F.transform(F.array_distinct(header), lambda h: F.struct(h.alias("k"), F.get(cells, F.array_position(header, h).cast("int") - 1).alias("v"))))
+    return let(cells, lambda found: F.map_from_arrays(header.names, F.transform(header.places, lambda i: F.get(found, i - 1))))
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -242,7 +249,6 @@ def records(df: DataFrame, strict: bool = True, shapes: bool = False) -> DataFra
 def fan_out(df: DataFrame, strict: bool = True, shapes: bool = False) -> DataFrame:
     """One row for each record: ordinal (from 0), total, fields, truthy, is_object, raw_fragment. Messages without any keep one row with a null ordinal."""
     found = records(df, strict, shapes)
-    header = csv_cells(F.col("found_csv")[0])
     one = "struct<fields:map<string,string>,truthy:map<string,string>,object:boolean,raw:string>"
 
     def record(fields: Column, truthy: Column, is_object: Column, raw: Column) -> Column:
@@ -251,17 +257,20 @@ def fan_out(df: DataFrame, strict: bool = True, shapes: bool = False) -> DataFra
     json = F.transform("found_json", lambda r: let(F.when(r.object, json_record(r.text)), lambda x: record(x.fields, x.truthy, r.object, r.text)))
 
     def of_xml(s: Column) -> Column:
-        fields = F.coalesce(s, F.create_map().cast(TEXTS))
-        return record(fields, text_truthy(fields), s.isNotNull() if shapes else F.lit(True), F.to_json(fields))
-
-    def of_csv(line: Column) -> Column:
-        fields = csv_record(header, csv_cells(line))
-        return record(fields, text_truthy(fields), F.lit(True), F.concat(F.col("found_csv")[0], F.lit("\r\n"), line))
-
-    lines = F.when(F.size("found_csv") > 1, F.slice("found_csv", 2, F.size("found_csv")))
-    all_ = F.coalesce(json, F.transform("found_xml", of_xml), F.transform(lines, of_csv))
+        known = s.isNotNull() if shapes else F.lit(True)
+        return let(F.coalesce(s, F.create_map().cast(TEXTS)), lambda fields: record(fields, text_truthy(fields), known, F.to_json(fields)))
+
+    def of_csv(header: Column, line: Column) -> Column:
+        raw = F.concat(F.col("found_csv")[0], F.lit("\r\n"), line)
+        return let(csv_record(header, csv_cells(line)), lambda fields: record(fields, text_truthy(fields), F.lit(True), raw))
+
+    # a function of elements computes what it names each time: headers and lines are cut once, and records are counted before they are made
+    lines = F.slice("found_csv", 2, F.size("found_csv"))
+    csv = let(csv_header(F.col("found_csv")[0]), lambda header: F.transform(lines, lambda line: of_csv(header, line)))
+    all_ = F.coalesce(json, F.transform("found_xml", of_xml), csv)
+    total = F.coalesce(F.array_size("found_json"), F.array_size("found_xml"), F.array_size("found_csv") - 1, F.lit(0))
     rest = [c for c in df.columns]
-    out = found.select(*rest, F.coalesce(F.size(all_), F.lit(0)).alias("total"), F.posexplode_outer(all_).alias("ordinal", "record"))
+    out = found.select(*rest, total.alias("total"), F.posexplode_outer(all_).alias("ordinal", "record"))
     return out.select(*rest, "total", "ordinal", "record.fields", "record.truthy", F.col("record.object").alias("is_object"), F.col("record.raw").alias("raw_fragment"))
 
 

@@ -1,5 +1,6 @@
 """Work is dealt over tasks by rows: a file of one block, or one frequent name, is not left to one task."""
 
+import time
 from contextlib import contextmanager
 
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql import functions as F
 from milldam.operators import analytics, learned, search
 from milldam.plans import monitoring
 from milldam.plans.views import raw_st, table
+from milldam.sources import payloads
 
 
 @contextmanager
@@ -73,3 +75,17 @@ def test_names_are_matched_once(monkeypatch):
     learned._picked.cache_clear()
     out = learned.stub_client(['{"codigo":"%d","nombre":"x"}' % i for i in range(20)])
     assert [r["raw_id"] for r in out] == [str(i) for i in range(20)] and len(calls) == 1
+
+
+def test_csv_headers_and_lines_are_cut_once(spark):
+    """The work for a CSV payload grows with its cells, not with lines times the square of its columns; repeated names take their first place."""
+    wide, lines = 1500, 20
+    text = "\n".join([",".join(f"h{i}" for i in range(wide)), *[",".join(f"{k}-{i}" for i in range(wide)) for k in range(lines)]])
+    raw = spark.createDataFrame([("m", "galicia", "csv", text), ("n", "galicia", "csv", 'a,b,a\n1,"x ""y"", z"\n3,,5,6')], "message_id string, source string, format string, payload string")
+    started = time.monotonic()
+    found = payloads.fan_out(raw)
+    got = found.where("message_id = 'm'").select("ordinal", "total", F.size("fields"), F.size("truthy"), F.col("fields")[f"h{wide - 1}"]).collect()
+    assert time.monotonic() - started < 25
+    assert sorted(map(tuple, got)) == [(k, lines, wide, wide, f"{k}-{wide - 1}") for k in range(lines)]
+    small = found.where("message_id = 'n'").orderBy("ordinal").collect()
+    assert [(r.fields, r.truthy, r.total) for r in small] == [({"a": "1", "b": 'x "y", z'}, {"a": "1", "b": 'x "y", z'}, 2), ({"a": "3", "b": ""}, {"a": "3"}, 2)]
