@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -24,6 +25,24 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def tidied(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """For operators of many steps: the shuffle files of a step go when it ends, not when the driver happens to collect its garbage. What
+    later steps need is written by durable(). The session's own setting holds again afterwards."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+    @wraps(operator)
+    def run(df: DataFrame, *args, **kwargs) -> DataFrame:
+        conf = df.sparkSession.conf
+        before = conf.get(name)
+        conf.set(name, "true")
+        try:
+            return operator(df, *args, **kwargs)
+        finally:
+            conf.set(name, before)
+
+    return run
+
+
 def durable(df: DataFrame) -> DataFrame:
     """Cuts the lineage: the rows are written to the shared checkpoint folder and read from there.
 

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, picked, shuffle_partitions, slices, table
+from .common import bounded_batches, durable, join_named, picked, shuffle_partitions, slices, table, tidied
 from .linking import STRAYS, Sets, bitmap, close, exhausted, linked, merged
 
 #: Shingles that a subset should have on the mean.
@@ -317,6 +317,7 @@ def rare_parts(sets: DataFrame, most: int) -> DataFrame:
     return sets.drop("x").join(left, "fp", "left").withColumn("x", F.coalesce("x", F.expr("cast(array() as array<long>)")))
 
 
+@tidied
 def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row: component_id is the smallest id that links reach, its own included."""
     bounded_batches(df.sparkSession)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, picked, schema_with, slices, table, with_columns
+from .common import bounded_batches, durable, join_named, picked, schema_with, slices, table, tidied, with_columns
 from .components import components
 from .linking import Sets, bitmap, exhausted, leading, linked, merged
 
@@ -161,6 +161,7 @@ def alike(sets: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return durable(grouped.join(least, "root").where("fp != v").select(F.col("fp").alias("u"), "v"))
 
 
+@tidied
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, heads: int = HEADS) -> DataFrame:
     """(doc_id, fp, component_id) of every row: component_id is the smallest id of the set that stays for it, its own or a similar one."""
     percent = round(100 * similarity)
