@@ -242,8 +242,9 @@ def _odds(rows: DataFrame, bad: int, good: int) -> np.ndarray:
 
     sums = rows.mapInArrow(run, "entry long, clean long, toxic long").groupBy("entry").agg(F.sum("clean"), F.sum("toxic"))
     clean, toxic = np.zeros(TABLE), np.zeros(TABLE)
-    for entry, c, t in sums.collect():  # TABLE rows at most
-        clean[entry], toxic[entry] = c, t
+    found = sums.toArrow()  # TABLE rows at most
+    entry, c, t = (x.to_numpy() for x in found.columns)
+    clean[entry], toxic[entry] = c, t
     odds = np.clip(np.log((toxic + 1) / (bad + 2)) - np.log((clean + 1) / (good + 2)), -3, 3)
     return odds * np.minimum(1, (toxic + clean) / (0.02 * bad + 1))
 
@@ -352,7 +353,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int =
         negative |= dict.fromkeys(x[0] for x in hard.select("piece").union(others).collect())
         if not positive or not negative:
             break
-        weights, bias = _fitted(positive, list(negative), LANDMARKS // 2)
+        task = spark.sparkContext.parallelize([(positive, list(negative), LANDMARKS // 2)], 1)  # as the driver's memory is shared by all stages
+        [(weights, bias)] = task.map(lambda pieces: _fitted(*pieces)).collect()
         machine = Machine(weights, bias, machine.logistic)
     tops = scored(rows.select("text", "toxic"), machine, raw=True).select("tops", "toxic").collect()  # SAMPLE rows at most
     return Machine(machine.weights, machine.bias, logistic(np.array([r[0] for r in tops]), np.array([float(r[1]) for r in tops])))
