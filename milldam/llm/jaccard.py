@@ -42,7 +42,8 @@ TELLING = 2.5
 SAMPLE, COMMON, SALTS = 64, 1 / 1024, 64
 #: Different words whose hashes a task keeps.
 WORDS = 1 << 19
-_KEY = np.uint64((1 << 64) - 8)
+#: Bits that a key leaves unused: it has 45, and three say its kind. Keys that agree by chance give candidates, no links; fewer bytes are shuffled.
+_SHIFT, _KEY = np.uint64(16), np.uint64((1 << 48) - 8)
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _PLACES = np.random.default_rng(42).integers(0, 1 << 63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -152,12 +153,12 @@ def listed(values: np.ndarray, sums: np.ndarray, bands: Bands, band: int, need:
     if len(at) + int(twice.sum()) < need and bands.level == 0:
         at, fewest = np.arange(segments), 0
         twice = at < reach
-    keys = [mixed((sums[ends[at + 1]] - sums[ends[at]]) ^ places[at]) & _KEY | (twice + np.uint64(1))]
+    keys = [mixed((sums[ends[at + 1]] - sums[ends[at]]) ^ places[at]) >> _SHIFT & _KEY | (twice + np.uint64(1))]
     if twice.any():
         where = np.repeat(np.arange(reach), sizes[:reach])
         some = np.flatnonzero(sizes[where] > fewest)
         where = where[some]
-        keys.append(mixed((sums[ends[where + 1]] - sums[ends[where]] - values[some]) ^ places[where]) & _KEY | np.uint64(3))
+        keys.append(mixed((sums[ends[where + 1]] - sums[ends[where]] - values[some]) ^ places[where]) >> _SHIFT & _KEY | np.uint64(3))
     return np.concatenate(keys), len(at) + int(twice.sum())
 
 
@@ -278,17 +279,23 @@ def common_keys(docs: DataFrame, width: int, percent: int) -> np.ndarray:
 
 
 def shared_keys(rows: DataFrame) -> DataFrame:
-    """KEYS and more columns -> (key, fp, lower, worth, more) of keys that several sets have, one of them in its own band, and
-    the rows without keys. Each key is a row of the shuffle, however many tasks there are."""
+    """KEYS and more columns -> (packed, fp, own) of keys that several sets have, one of them in its own band, and
+    the rows without keys (own: more, if there are any). Each key is a row of the shuffle, however many tasks there are, and holds no
+    value twice: told() takes it apart."""
     more = [c for c in rows.columns if c not in ("place", "fp", "keys")]
-    own = [F.when(F.col("keys").isNull(), F.struct(*more)).alias("_own")] if more else []
+    own = [F.when(F.col("keys").isNull(), F.struct(*more)).alias("own")] if more else []
     rows = rows.select("place", "fp", *own, F.explode_outer("keys").alias("packed"))
-    rows = rows.select("place", "fp", *["_own" for _ in own], F.shiftright("packed", 3).alias("key"), F.col("packed").bitwiseAND(F.lit(7)).cast("int").alias("kind"))
-    rows = rows.repartition(shuffle_partitions(rows.sparkSession), "key", "place")
-    beside = Window.partitionBy("key", "place")  # sorted by the key first: there are few places
-    seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "own": F.min("kind").over(beside)})
-    found = seen.where("key is null or place < 0 or (a != b and own < 4)")
-    return found.select("key", "fp", F.expr("kind div 4").cast("int").alias("lower"), F.when(F.col("kind") % 4 == 2, 2).otherwise(1).alias("worth"), *[f"_own.{c}" for c in more])
+    rows = rows.repartition(shuffle_partitions(rows.sparkSession), F.shiftright("packed", 3), "place")
+    beside = Window.partitionBy(F.shiftright("packed", 3), "place")  # sorted by the key first: there are few places
+    seen = rows.withColumns({"a": F.min("fp").over(beside), "b": F.max("fp").over(beside), "least": F.min(F.col("packed").bitwiseAND(F.lit(7))).over(beside)})
+    return seen.where("packed is null or place < 0 or (a != b and least < 4)").select("packed", "fp", *["own" for _ in own])
+
+
+def told(found: DataFrame) -> DataFrame:
+    """(key, fp, lower, worth) of the rows of shared_keys() that have keys."""
+    kind = F.col("packed").bitwiseAND(F.lit(7)).cast("int")
+    rows = found.where("packed is not null")
+    return rows.select(F.shiftright("packed", 3).alias("key"), "fp", F.shiftright(kind, 2).alias("lower"), F.when(kind % 4 == 2, 2).otherwise(1).alias("worth"))
 
 
 def once(rows: DataFrame) -> DataFrame:
@@ -324,10 +331,11 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     # the keys' pass gives the documents' sets as well: both come out of one shuffle and are written together
     found = durable(shared_keys(keys_of_texts(docs, width, percent, common_keys(docs, width, percent))))
-    marked = found.where("key is null").select("doc_id", "fp", "n")
-    members = durable(once(found.where("key is not null").select("key", "fp", "lower", "worth")))
+    texts = found.where("packed is null").select("fp", "own.*")
+    marked = texts.select("doc_id", "fp", "n")
+    members = durable(once(told(found)))
     firsts = [F.first(c).alias(c) for c in ("bits", "spare0", "spare1")]
-    classes = durable(found.where("key is null and n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("n").alias("size"), *firsts))
+    classes = durable(texts.where("n > 0").groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("n").alias("size"), *firsts))
     whole = lambda fps: sets_of(docs, classes.join(fps, "fp", "left_semi").select(F.col("least").alias("doc_id")), width)
     sets = Sets(classes.select("fp", F.col("size").alias("n"), "bits"), whole)
     stars, links, crowded = linked(members, sets, percent)
@@ -336,7 +344,7 @@ def grouped(df: DataFrame, doc_id: str = "doc_id", text: str = "text", width: in
     if not short.isEmpty():
         asked = whole(short.select("fp").distinct()).join(short.groupBy("fp").agg(F.collect_set("lower").alias("only")), "fp").join(classes.select("fp", F.col("size").alias("n")), "fp")
         rare = durable(rare_parts(asked, STRAYS))
-        stars = merged(stars, links.union(close(shared_keys(keys_of_sets(rare, percent, 1)), sets, percent)))
+        stars = merged(stars, links.union(close(told(shared_keys(keys_of_sets(rare, percent, 1))), sets, percent)))
         short = short.join(spares(rare, percent, 1).where("spare < 0"), ["fp", "lower"], "left_semi")
         crowded = crowded.join(short, ["fp", "lower"], "left_semi").select("key", "fp")
         stars = exhausted(durable(crowded), sets, percent, stars)

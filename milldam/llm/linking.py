@@ -27,8 +27,8 @@ from .components import components
 #: Strays of a key that meet all of its sets.
 STRAYS = 16
 #: Heads that a group is compared with in the first round of exhausted(), which links most of it, and in a later one; sets that meet them in a task;
-#: bytes of a set's bitmap.
-HEADS, MOST, PART, BYTES = 64, 4096, 2048, 128
+#: bytes of a set's bitmap at least, and at most.
+HEADS, MOST, PART, BYTES, LARGEST = 64, 4096, 2048, 128, 8192
 #: Ranks that the planner limits below a shuffle.
 RANKS = 1000
 
@@ -60,10 +60,9 @@ def apart(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            u, v = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("ub", "vb"))
             both = batch.column("un").to_numpy() + batch.column("vn").to_numpy()
-            near = np.bitwise_count(u ^ v).sum(axis=1) <= both * (100 - percent) // (100 + percent)
-            yield batch.select(["u", "v"]).filter(pa.array(near))
+            bits = differing(batch.column("ub").to_pylist(), batch.column("vb").to_pylist())
+            yield batch.select(["u", "v"]).filter(pa.array(bits <= both * (100 - percent) // (100 + percent)))
 
     sized = 100 * F.least("un", "vn") >= percent * F.greatest("un", "vn")
     return pairs.join(side("u"), "u").join(side("v"), "v").where(sized).mapInArrow(run, "u long, v long")
@@ -117,23 +116,49 @@ def close(members: DataFrame, sets: Sets, percent: int) -> DataFrame:
 
 
 def bitmap(values: np.ndarray) -> bytes:
-    """Parities of the set's members by slot: two sets differ in at least as many members as their bitmaps do in bits."""
-    odd = np.bincount((values.view(np.uint64) >> np.uint64(7)).astype(np.int64) % (8 * BYTES), minlength=8 * BYTES) & 1
+    """Parities of the set's members by slot: two sets differ in at least as many members as their bitmaps do in bits. There are two slots or
+    more for a member, within the bounds, as fewer than the differences that similar sets may have tell nothing apart."""
+    size = min(max(BYTES, 1 << max(0, (2 * len(values) - 1) // 8).bit_length()), LARGEST)
+    odd = np.bincount((values.view(np.uint64) >> np.uint64(7)).astype(np.int64) % (8 * size), minlength=8 * size) & 1
     return np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def folded(bits: np.ndarray, size: int) -> np.ndarray:
+    """Bitmaps (the last axis, in words) as they are with so many words: sizes are powers of two, and the parity of two slots is their sum's."""
+    while bits.shape[-1] > size:
+        bits = bits[..., : bits.shape[-1] // 2] ^ bits[..., bits.shape[-1] // 2 :]
+    return bits
+
+
+def differing(us: list[bytes], vs: list[bytes]) -> np.ndarray:
+    """Bits that the bitmaps of each pair differ in, at the size of the smaller one."""
+    out = np.zeros(len(us), np.int64)
+    sizes = np.array([(len(u), len(v)) for u, v in zip(us, vs, strict=True)], np.int64).reshape(-1, 2)
+    for m, n in np.unique(sizes, axis=0).tolist():
+        at = np.flatnonzero((sizes == (m, n)).all(axis=1))
+        a, b = (np.frombuffer(b"".join([x[i] for i in at]), np.uint64).reshape(len(at), -1) for x in (us, vs))
+        out[at] = np.bitwise_count(folded(a, min(m, n) // 8) ^ folded(b, min(m, n) // 8)).sum(axis=1)
+    return out
+
+
 def _near(percent: int):
     def run(rows: pa.Table, heads: pa.Table) -> pa.Table:
         """(u, v): rows and heads of different components whose bitmaps do not tell them apart."""
-        (a, an, ac, ab), (b, bn, bc, bb) = (
-            (*(t.column(c).to_numpy() for c in ("fp", "n", "comp")), np.frombuffer(b"".join(t.column("bits").to_pylist()), np.uint64).reshape(t.num_rows, -1)) for t in (rows, heads)
-        )
+        (a, an, ac), (b, bn, bc) = ([t.column(c).to_numpy() for c in ("fp", "n", "comp")] for t in (rows, heads))
+        ab, bb = ([np.frombuffer(x, np.uint64) for x in t.column("bits").to_pylist()] for t in (rows, heads))
         us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for k in range(len(b) if len(a) else 0):
-            most = (an + bn[k]) * (100 - percent) // (100 + percent)
-            near = np.flatnonzero((np.bitwise_count(ab ^ bb[k]).sum(axis=1) <= most) & (ac != bc[k]))
-            us.append(a[near])
-            vs.append(np.full(len(near), b[k]))
+        sizes = np.array(list(map(len, ab)))
+        for size in np.unique(sizes):
+            at = np.flatnonzero(sizes == size)
+            own = {size: np.stack([ab[i] for i in at])}
+            for k, head in enumerate(bb):
+                least = min(size, len(head))
+                if least not in own:
+                    own[least] = folded(own[size], least)
+                most = (an[at] + bn[k]) * (100 - percent) // (100 + percent)
+                near = at[(np.bitwise_count(own[least] ^ folded(head, least)).sum(axis=1) <= most) & (ac[at] != bc[k])]
+                us.append(a[near])
+                vs.append(np.full(len(near), b[k]))
         return pa.table({"u": np.concatenate(us), "v": np.concatenate(vs)})
 
     return run
