@@ -8,11 +8,14 @@ from functools import wraps
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows go to Python in batches of at most so many bytes, however long the texts are.
 BATCH_BYTES = 8 << 20
+#: A written table of numbers with up to so many bytes is one partition: the least that the adaptive planner gives a task by default.
+LEAST_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -57,6 +60,16 @@ def durable(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def compact(df: DataFrame) -> tuple[DataFrame, int]:
+    """durable() for what may have few rows, and their number, counted as they are written. Of numbers, up to LEAST_BYTES are read as one
+    partition, so that steps over small tables take a task and a file each, not one for each shuffle partition of the session."""
+    seen = Observation()
+    written = durable(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    rows, kinds = seen.get["rows"], [f.dataType for f in df.schema.fields]
+    few = all(isinstance(k, (T.NumericType, T.BooleanType)) for k in kinds) and 8 * len(kinds) * rows <= LEAST_BYTES
+    return written.coalesce(1) if few else written, rows
+
+
 def join_named(rows: DataFrame, named: DataFrame, key: str, n: str = "n", heavy: int = 16384) -> DataFrame:
     """rows with the one row of `named` for their key; n says how many rows have it. Keys of 1/heavy of all rows, `heavy` of
     them at most, are joined by a broadcast, so that no task gets all rows of a large one. Both tables are read twice."""
@@ -68,8 +81,7 @@ def join_named(rows: DataFrame, named: DataFrame, key: str, n: str = "n", heavy:
 
 def picked(docs: DataFrame, ids: DataFrame, most: int = 1 << 20) -> tuple[DataFrame, int]:
     """The rows of docs with one of these ids (doc_id; may be null), and the number of different ids. Up to so many are broadcast."""
-    ids = durable(ids.select(F.col("doc_id").alias("picked")).distinct())
-    n = ids.count()
+    ids, n = compact(ids.select(F.col("doc_id").alias("picked")).distinct())
     return docs.join(F.broadcast(ids) if n <= most else ids, F.col("doc_id").eqNullSafe(F.col("picked")), "left_semi"), n
 
 
@@ -110,8 +122,6 @@ def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
 
 def schema_with(df: DataFrame, **columns) -> "StructType":  # noqa: F821
     """df's schema with columns added or replaced in place, as with_columns() does it."""
-    from pyspark.sql import types as T
-
     fields = {f.name: f for f in df.schema.fields}
     fields |= {k: T.StructField(k, v) for k, v in columns.items()}
     return T.StructType(list(fields.values()))

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import compact
 
 #: Edges of a node that one task may see together.
 HUB = 1 << 20
@@ -46,17 +46,17 @@ def _beside(down: DataFrame) -> DataFrame:
 
 def _apart(down: DataFrame) -> DataFrame:
     """The same by aggregates and joins."""
-    low = durable(down.groupBy("u").agg(F.min("v").alias("low")))
-    large = durable(down.join(low.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("low", "v").alias("v")))
-    least = durable(large.groupBy("u").agg(F.min("v").alias("low")))
+    low, _ = compact(down.groupBy("u").agg(F.min("v").alias("low")))
+    large, _ = compact(down.join(low.withColumnRenamed("u", "v"), "v", "left").select("u", F.coalesce("low", "v").alias("v")))
+    least, _ = compact(large.groupBy("u").agg(F.min("v").alias("low")))
     return large.join(least, "u").select(_rows((F.col("u"), F.col("low")), (F.col("v"), F.col("low"))))
 
 
 def components(edges: DataFrame, hub: int = HUB) -> DataFrame:
     """edges (u, v), longs -> (u, root): every node that has an edge, with the smallest node of its component."""
-    down = durable(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
+    down, _ = compact(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u != v").distinct())
     while True:
         odd, most = _degrees(down)
         if not odd:
             return down.select("u", F.col("v").alias("root")).union(down.select(F.col("v").alias("u"), F.col("v").alias("root")).distinct())
-        down = durable((_beside if most <= hub else _apart)(down).where("u != v").distinct())
+        down, _ = compact((_beside if most <= hub else _apart)(down).where("u != v").distinct())

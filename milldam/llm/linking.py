@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import durable, join_named
+from .common import compact, durable, join_named
 from .components import components
 
 #: Strays of a key that meet all of its sets.
@@ -45,13 +45,13 @@ def verified(pairs: DataFrame, sets: Sets, percent: int, told: bool = False) ->
     """Of pairs (u, v) those whose sets have at least this similarity, written. Only sets that bitmaps do not tell apart (told: as their
     pairs were chosen by bitmaps, all) are got whole."""
     pairs = pairs.where("u != v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    near = durable(pairs if told else apart(pairs, sets.maps, percent))
-    if near.isEmpty():
+    near, n = compact(pairs if told else apart(pairs, sets.maps, percent))
+    if not n:
         return near
     whole = sets.whole(near.select(F.explode(F.array("u", "v")).alias("fp")).distinct())
     held = near.join(whole.select(F.col("fp").alias("u"), F.col("x").alias("ux")), "u").join(whole.select(F.col("fp").alias("v"), F.col("x").alias("vx")), "v")
     common = held.select("u", "v", (F.size("ux") + F.size("vx")).alias("both"), F.size(F.array_intersect("ux", "vx")).alias("c"))
-    return durable(common.where(100 * F.col("c") >= percent * (F.col("both") - F.col("c"))).select("u", "v"))
+    return compact(common.where(100 * F.col("c") >= percent * (F.col("both") - F.col("c"))).select("u", "v"))[0]
 
 
 def apart(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
@@ -71,16 +71,16 @@ def apart(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
 def merged(stars: DataFrame | None, links: DataFrame) -> DataFrame:
     """The components of stars (u, root) and links (u, v), as stars, written."""
     if stars is None:
-        return durable(components(links))
+        return compact(components(links))[0]
     if links.isEmpty():
         return stars
-    return durable(components(stars.withColumnRenamed("root", "v").union(links)))
+    return compact(components(stars.withColumnRenamed("root", "v").union(links)))[0]
 
 
 def rooted(members: DataFrame, stars: DataFrame) -> DataFrame:
     """members with the component (comp) of each set; written."""
     roots = stars.withColumnRenamed("u", "fp")
-    return durable(members.drop("comp").join(roots, "fp", "left").withColumn("comp", F.coalesce("root", "fp")).drop("root"))
+    return compact(members.drop("comp").join(roots, "fp", "left").withColumn("comp", F.coalesce("root", "fp")).drop("root"))[0]
 
 
 def unsettled(members: DataFrame) -> DataFrame:
@@ -92,7 +92,7 @@ def unsettled(members: DataFrame) -> DataFrame:
 
 def headed(members: DataFrame) -> DataFrame:
     """(u, v): each set with the head of each of its keys."""
-    heads = durable(members.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1"))
+    heads, _ = compact(members.groupBy("key").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1"))
     return join_named(members.select("key", F.col("fp").alias("u")), heads, "key").where("u != v").select("u", "v")
 
 
@@ -101,7 +101,7 @@ def linked(members: DataFrame, sets: Sets, percent: int, strays: int = STRAYS) -
     keys with their comp."""
     stars = merged(None, verified(headed(members), sets, percent))
     placed = rooted(members, stars)
-    open_ = durable(join_named(placed, durable(unsettled(placed)), "key"))
+    open_, _ = compact(join_named(placed, compact(unsettled(placed))[0], "key"))
     few = open_.where(F.col("strays") <= strays)
     out = durable(few.where("comp != main").groupBy("key").agg(F.collect_list(F.struct("fp", "comp")).alias("out"), F.max("size").alias("n")))
     pairs = join_named(few, out, "key").select("fp", "comp", F.explode("out").alias("o")).where("comp != o.comp").select(F.col("fp").alias("u"), F.col("o.fp").alias("v"))
@@ -180,17 +180,17 @@ def leading(rows: DataFrame, sets: Sets, percent: int, heads: int = HEADS) -> Da
     members = durable(rows.join(sets.maps, "fp"))
     gone, order = None, F.struct("at", "fp")
     while not members.isEmpty():
-        sizes = durable(members.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("size")))
+        sizes, _ = compact(members.groupBy("key").agg(F.count("*").alias("n"), F.count("*").alias("size")))
         here = durable(join_named(members, sizes.select("key", F.col("n").alias("many"), "size"), "key", "many").withColumn("comp", F.col("fp")))
         place = F.row_number().over(Window.partitionBy("key").orderBy("at", "fp"))  # a limit of ranks reaches below the shuffle
-        first = durable(here.select("key", "at", "fp").withColumn("place", place).where(F.col("place") <= heads).drop("place"))
+        first, _ = compact(here.select("key", "at", "fp").withColumn("place", place).where(F.col("place") <= heads).drop("place"))
         links = verified(met(here, first.select("fp"), percent), sets, percent, True)
         both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         ranked = both.join(first.select(F.col("fp").alias("v"), order.alias("before")), "v").join(here.select(F.col("fp").alias("u"), order.alias("mine")), "u")
-        ranked = durable(ranked.where("before < mine").select("u", "v", F.col("before.at").alias("at")))
-        stay = durable(first.select("fp").join(ranked.select(F.col("u").alias("fp")), "fp", "left_anti"))
-        goes = durable(ranked.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy(F.col("u").alias("fp")).agg(F.min("at").alias("kept")))
-        gone = goes if gone is None else durable(gone.union(goes))
+        ranked, _ = compact(ranked.where("before < mine").select("u", "v", F.col("before.at").alias("at")))
+        stay, _ = compact(first.select("fp").join(ranked.select(F.col("u").alias("fp")), "fp", "left_anti"))
+        goes, _ = compact(ranked.join(stay.withColumnRenamed("fp", "v"), "v", "left_semi").groupBy(F.col("u").alias("fp")).agg(F.min("at").alias("kept")))
+        gone = goes if gone is None else compact(gone.union(goes))[0]
         members, heads = durable(members.join(stay.union(goes.select("fp")), "fp", "left_anti")), min(4 * heads, RANKS)
     return rows.select("fp", F.lit(None).cast(rows.schema["at"].dataType).alias("kept")).limit(0) if gone is None else gone
 
@@ -201,13 +201,13 @@ def exhausted(members: DataFrame, sets: Sets, percent: int, stars: DataFrame, he
     groups = merged(None, headed(members).distinct()).select(F.col("u").alias("fp"), F.col("root").alias("key"))
     members, turn = rooted(groups.join(sets.maps, "fp"), stars), 0
     while True:
-        keys = durable(unsettled(members).select("key", "n", "size"))
-        if keys.isEmpty():
+        keys, n = compact(unsettled(members).select("key", "n", "size"))
+        if not n:
             return stars
         drawn = F.pmod(F.xxhash64("fp", F.lit(turn)), F.lit(1 << 20))
         here = durable(join_named(members, keys, "key").withColumn("drawn", drawn))
         first = here.groupBy("key").agg(F.min(F.struct("drawn", "fp")).alias("f")).select(F.col("f.fp").alias("fp"))
-        chosen = durable(here.where(F.col("drawn") * F.col("size") < heads << 20).select("fp").union(first).distinct())
+        chosen, _ = compact(here.where(F.col("drawn") * F.col("size") < heads << 20).select("fp").union(first).distinct())
         stars = merged(stars, verified(met(here, chosen, percent), sets, percent, True))
         rest = here.join(chosen, "fp", "left_anti").select("key", "fp", "n", "bits")
         members, heads, turn = rooted(rest, stars), MOST, turn + 1

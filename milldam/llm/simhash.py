@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_batches, durable, join_named, picked, schema_with, slices, table, tidied, with_columns
+from .common import bounded_batches, compact, durable, join_named, picked, schema_with, slices, table, tidied, with_columns
 from .components import components
 from .linking import Sets, bitmap, exhausted, leading, linked, merged
 
@@ -99,7 +99,7 @@ def links(values: DataFrame, bucket: int = BUCKET) -> DataFrame:
     """Distinct fingerprints (fp) -> edges (u, v) whose components are those of all pairs within 2 bits."""
     keyed = variants(values)
     shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    indexed = durable(keyed.join(shared, "key"))
+    indexed, _ = compact(keyed.join(shared, "key"))
     few = indexed.where(F.col("n") <= bucket).select("key", "fp")
     close = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2
     pairs = few.withColumnRenamed("fp", "u").join(few.withColumnRenamed("fp", "v"), "key").where(F.col("u") < F.col("v")).where(close).select("u", "v").distinct()
@@ -158,7 +158,7 @@ def alike(sets: DataFrame, bucket: int = BUCKET) -> DataFrame:
     rooted = components(links(sets.select(F.col("sim").alias("fp")).distinct(), bucket))
     grouped = sets.join(rooted.withColumnRenamed("u", "sim"), "sim", "left").select("fp", F.coalesce("root", "sim").alias("root"))
     least = grouped.groupBy("root").agg(F.min("fp").alias("v"), F.count("*").alias("n")).where("n > 1")
-    return durable(grouped.join(least, "root").where("fp != v").select(F.col("fp").alias("u"), "v"))
+    return compact(grouped.join(least, "root").where("fp != v").select(F.col("fp").alias("u"), "v"))[0]
 
 
 @tidied
@@ -170,13 +170,13 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     firsts = [*(F.first(c).alias(k) for c, k in (("x", "x"), ("bits", "bits"), ("n", "size"))), F.min("sim").alias("sim")]
     least = durable(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"), *firsts))
     keyed = least.where("least is not null").select("fp", F.explode("x").alias("key"))  # rows without an id stay anyhow
-    shared = durable(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
-    members = durable(join_named(keyed, shared, "key"))
+    shared, _ = compact(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"))
+    members, _ = compact(join_named(keyed, shared, "key"))
 
     def whole(fps: DataFrame) -> DataFrame:
         rows, n = picked(docs, fps.join(least.select("fp", F.col("least").alias("doc_id")), "fp").select("doc_id"))
-        found = durable(shingle_sets(rows, width, True).select("fp", "x"))
-        return found if found.count() == n else durable(found.dropDuplicates(["fp"]))  # several rows have an id
+        found, got = compact(shingle_sets(rows, width, True).select("fp", "x"))
+        return found if got == n else durable(found.dropDuplicates(["fp"]))  # several rows have an id
 
     sets = Sets(least.select("fp", F.col("size").alias("n"), "bits"), whole)
     stars, found, crowded = linked(members, sets, percent)
@@ -184,7 +184,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     if not crowded.isEmpty():
         stars = exhausted(crowded.select("key", "fp"), sets, percent, stars)
     goes = leading(stars.join(least.select(F.col("fp").alias("u"), F.col("least").alias("at")), "u").select(F.col("u").alias("fp"), F.col("root").alias("key"), "at"), sets, percent, heads)
-    named = durable(least.join(goes, "fp", "left").select("fp", F.coalesce("kept", "least").alias("component_id"), "n"))
+    named, _ = compact(least.join(goes, "fp", "left").select("fp", F.coalesce("kept", "least").alias("component_id"), "n"))
     return join_named(marked.select("doc_id", "fp"), named, "fp").select("doc_id", "fp", "component_id")
 
 
