@@ -106,6 +106,7 @@ def slices(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[
             start, total = i, 0
         total += n
     yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers are used again by other steps
 
 
 def with_columns(batch: pa.RecordBatch, **columns: pa.Array) -> pa.RecordBatch:
